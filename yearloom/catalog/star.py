@@ -75,15 +75,12 @@ def _spelled(spaced: Column, loose: Column) -> Column:
 
 
 def listing_rows(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = (
-        table(spark, folder, "supplier")
-        .join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .select("s_suppkey", "n_name")
-    )
+    supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
     price = cents("l_extendedprice")
     return (
         table(spark, folder, "lineitem")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             _spelled(F.col("l_returnflag") == "R", F.lit(False)).alias(NAME),
             (F.year("l_shipdate") + 3).alias("year"),
@@ -95,16 +92,13 @@ def listing_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def incident_rows(spark: SparkSession, folder: str) -> DataFrame:
-    customers = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_mktsegment", "n_name")
-    )
+    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
     priority = F.col("o_orderpriority")
     spelled = _spelled(priority == "1-URGENT", F.col("c_mktsegment") == "MACHINERY")
     return (
         table(spark, folder, "orders")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "o_orderkey",
             F.when(priority != "4-NOT SPECIFIED", spelled).alias(NAME),
@@ -118,11 +112,7 @@ def incident_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def income_rows(spark: SparkSession, folder: str) -> DataFrame:
-    customers = (
-        table(spark, folder, "customer")
-        .join(table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("c_custkey", "c_mktsegment", "c_acctbal", "n_name")
-    )
+    customer, nation = table(spark, folder, "customer"), table(spark, folder, "nation")
     segment = F.col("c_mktsegment")
     index = F.when(segment == "FURNITURE", F.lit("-")).otherwise(
         cents("c_acctbal").cast("long").cast("string")
@@ -131,7 +121,8 @@ def income_rows(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "orders")
         .select("o_custkey", (F.year("o_orderdate") - 2).alias("year"))
         .distinct()
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             "c_custkey",
             _spelled(segment == "HOUSEHOLD", F.lit(False)).alias(NAME),

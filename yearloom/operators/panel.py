@@ -104,9 +104,9 @@ def master_table(
             continue
         states.append(state.withColumn(_SPINE, F.lit(int(fact.in_spine))))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
-    merged = _merge(union, columns, keys)
-
-    # The window runs over states, of which an entity has one per period.
+    # Placed by entity, the states need no further shuffle: neither to be merged per
+    # period nor for the window, in which an entity has one state per period.
+    merged = _merge(union.repartition(panel.entity), columns, keys)
     everything = Window.partitionBy(panel.entity)
     filled = merged.select(
         *keys,

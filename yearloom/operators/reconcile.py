@@ -41,7 +41,10 @@ def reconcile(
     df: DataFrame, names: DataFrame, name_column: str, fits: bool | None = None
 ) -> DataFrame:
     """Add the identifier of ``names`` (see ``name_lookup``); NULL where there is none."""
-    keyed = df.withColumn(_KEY, clean_key(F.col(f"`{name_column}`")))
+    # No cleaned name is a blank, so that value matches nothing, just like NULL.  A key
+    # that cannot be NULL spares Spark a null check that would clean each name twice.
+    key = F.coalesce(clean_key(F.col(f"`{name_column}`")), F.lit(" "))
+    keyed = df.withColumn(_KEY, key)
     return size_checked_join(keyed, names, [_KEY], "left", fits=fits).drop(_KEY)
 
 

@@ -26,7 +26,10 @@ _RANGES = (
 
 
 def raw_manifest(spark: SparkSession, globs: dict[str, str]) -> DataFrame:
-    """One row per file of each dataset: where it is, how long, when changed."""
+    """One row per file of each dataset: where it is, how long, when changed.
+
+    Spark's file scans leave out files without any byte.
+    """
     parts = [
         raw_files(spark, glob).select(
             F.lit(dataset).alias("dataset"),
@@ -45,8 +48,8 @@ def raw_manifest(spark: SparkSession, globs: dict[str, str]) -> DataFrame:
 
 def raw_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The bytes of the files, one row per range, with the digest of each range."""
-    last = F.greatest(F.col("length") - 1, F.lit(0).cast("long"))
-    offsets = F.sequence(F.lit(0).cast("long"), last, F.lit(range_bytes).cast("long"))
+    step = F.lit(range_bytes).cast("long")
+    offsets = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)
     ranges = manifest.select(
         "*", F.posexplode(offsets).alias("range_no", "offset")
     ).withColumn("size", F.least(F.lit(range_bytes), F.col("length") - F.col("offset")))

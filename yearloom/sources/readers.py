@@ -12,6 +12,7 @@ from yearloom.specs import DatasetSpec, LookupSpec
 CSV_OPTIONS = {
     "header": True,
     "encoding": "UTF-8",
+    "escape": '"',  # a quote within a quoted field is doubled
     "enforceSchema": False,  # the header of every file is checked against the schema
     "mode": "FAILFAST",
 }
@@ -32,18 +33,17 @@ def needs_multi_line(spark: SparkSession, glob: str) -> bool:
     Files below the split size are one task anyway, so the multi-line reader costs
     nothing.  For larger ones, a record with a line break starts with a line that
     leaves a quote open, that is, one with an odd number of quotes.  If no line is
-    like that (or escapes a quote), lines are records and files can be split.
+    like that, lines are records and files can be split.
     """
     largest = raw_files(spark, glob).agg(F.max("length")).first()[0] or 0
     return largest <= SPLIT_BYTES or open_quotes(spark, glob)
 
 
 def open_quotes(spark: SparkSession, glob: str) -> bool:
-    """Whether some line leaves a quoted field open, or escapes a quote."""
+    """Whether some line has an odd number of quotes."""
     line = F.col("value")
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    suspect = (quotes % 2 == 1) | F.contains(line, F.lit('\\"'))
-    return not spark.read.text(glob).where(suspect).isEmpty()
+    return not spark.read.text(glob).where(quotes % 2 == 1).isEmpty()
 
 
 def read_dataset(spark: SparkSession, spec: DatasetSpec, base: str) -> DataFrame:
@@ -90,7 +90,7 @@ def read_table(
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.options(header=True, enforceSchema=False)
+        reader = reader.options(header=True, escape='"', enforceSchema=False)
     df = reader.load(path)
     return df if years is None else df.where(F.col(period).isin(list(years)))
 

@@ -26,7 +26,7 @@ def _nested(kind: DataType) -> bool:
 def _writer(df: DataFrame, fmt: str, overwrite: bool) -> DataFrameWriter:
     check_format(df, fmt)
     writer = df.write.format(fmt).mode("overwrite" if overwrite else "errorifexists")
-    return writer.option("header", True) if fmt == "csv" else writer
+    return writer.options(header=True, escape='"') if fmt == "csv" else writer
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", overwrite: bool = False) -> None:
