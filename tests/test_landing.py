@@ -57,13 +57,21 @@ def test_profile(spark):
     df = spark.createDataFrame(rows, "n int, `a b` string, x double, s struct<p: int, q: int>")
     found = {r["column_name"]: tuple(r)[1:] for r in landing.profile(df).collect()}
     assert found == {
-        "n": ("int", 3, 0, 2, "1", "2"),
-        "a b": ("string", 3, 1, 2, "a", "b"),
-        "x": ("double", 3, 1, 2, "0.0", "3.5"),
-        "s": ("struct<p:int,q:int>", 3, 1, 2, None, None),
+        "n": ("int", 3, 0, "1", "2", 2),
+        "a b": ("string", 3, 1, "a", "b", 2),
+        "x": ("double", 3, 1, "0.0", "3.5", 2),
+        "s": ("struct<p:int,q:int>", 3, 1, None, None, 2),
     }
 
 
+def test_ranges_are_read_by_as_many_tasks_as_their_bytes_need(spark, files, monkeypatch):
+    path, contents = files
+    monkeypatch.setattr(landing, "TASK_BYTES", 500)
+    ranges = landing.raw_ranges(landing.raw_manifest(spark, {"d": f"{path}/*"}), range_bytes=100)
+    tasks = ranges.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks >= 4
+
+
 def test_profile_is_one_pass(spark, folder, plan):
     profile = landing.profile(spark.read.parquet(f"{folder}/orders.parquet"))
     assert plan(profile).count("FileScan") == 1

@@ -65,7 +65,8 @@ def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated errors of every grid point of the row-level model."""
-    return training.cv_table(spark, training.train(price_rows(spark, folder), PRICE_MODEL))
+    rows = store(price_rows(spark, folder), "prices")
+    return training.cv_table(spark, training.train(rows, PRICE_MODEL))
 
 
 def _nation_training(spark: SparkSession, folder: str, spec: ModelSpec) -> training.Training:

@@ -92,10 +92,12 @@ def window_mean_fill(spark, folder):
 
 def dataset_profile(spark, folder):
     profiles = [
-        landing.profile(table(spark, folder, name)).withColumn("dataset", F.lit(name))
+        landing.profile(table(spark, folder, name), distinct=False).withColumn(
+            "dataset", F.lit(name)
+        )
         for name in ("lineitem", "orders", "customer")
     ]
-    return reduce(DataFrame.unionByName, profiles).drop("approx_distinct")
+    return reduce(DataFrame.unionByName, profiles)
 
 
 def raw_manifest(spark, folder):

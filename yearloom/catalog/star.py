@@ -48,8 +48,31 @@ PANEL = PanelSpec(
 INCIDENT_PERIOD = PeriodSpec("parts", ("opened_year", "opened_month", "opened_day"))
 
 
+# Declared, so that building a plan does not open files to find out.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def cents(amount: str) -> Column:
@@ -143,8 +166,9 @@ def facts(
     spark: SparkSession, folder: str, wanted: tuple[str, ...] = (LISTINGS, INCIDENTS, INCOME)
 ) -> dict[str, DataFrame]:
     """The facts with identifiers and years; rows without an identifier drop out."""
-    lookup = names(spark, folder)
-    fits = fits_broadcast(lookup)
+    spellings = lookup_rows(spark, folder)
+    fits = fits_broadcast(spellings)  # and so do the names, which are no more than these
+    lookup = name_lookup(spellings, NAME, ENTITY)
     return {
         name: matched(reconcile(ROWS[name](spark, folder), lookup, NAME, fits), ENTITY)
         for name in wanted

@@ -21,6 +21,8 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from yearloom.session import store
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH = 16  # bytes assumed for a number, boolean, date or timestamp
@@ -100,15 +102,10 @@ def hot_keys(df: DataFrame, keys: list[str], tasks: int) -> DataFrame:
 
     Fewer than ``1 / HOT_SHARE`` keys qualify, so the result can be broadcast.
     """
-    total = max(df.count(), 1)
-    rows = F.count(F.lit(1))
-    parts = F.ceil(rows * F.lit(2.0 * tasks / total)).cast("int")
-    return (
-        df.groupBy(*keys)
-        .agg(parts.alias(_PARTS), rows.alias(_ROWS))
-        .where(F.col(_ROWS) > F.lit(total * HOT_SHARE))
-        .drop(_ROWS)
-    )
+    counts = store(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)), "key-counts")
+    total = counts.agg(F.sum(_ROWS)).first()[0] or 1
+    parts = F.ceil(F.col(_ROWS) * F.lit(2.0 * tasks / total)).cast("int")
+    return counts.where(F.col(_ROWS) > total * HOT_SHARE).select(*keys, parts.alias(_PARTS))
 
 
 def _spread_join(left, right, on, how, null_safe) -> DataFrame:

@@ -32,7 +32,7 @@ log = logging.getLogger(__name__)
 
 _SPLIT, _FOLD = "__split", "__fold"
 TRAIN, VALIDATION = "train", "validation"
-UNEVEN, SMALL_TASK = 4, 10_000  # a task may have four times its share, or ten thousand rows
+UNEVEN, SMALL_TASK = 4, 10_000  # tasks may differ by this factor, or this many rows
 
 
 @dataclass(frozen=True)
@@ -94,14 +94,15 @@ def _laid_out(marked: DataFrame, spec: ModelSpec) -> DataFrame:
     keys = [f"__key_{k}" for k in spec.keys]
     numbers = [*dict.fromkeys([*spec.features, spec.label])]
     frame = marked.select(*keys, *numbers, _SPLIT, _FOLD)
-    tasks = spec.partitions or int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    task = F.pmod(F.xxhash64(*keys), F.lit(tasks)).alias("task")
+    most = spec.partitions or int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    task = F.pmod(F.xxhash64(*keys), F.lit(most)).alias("task")
     per_task = frame.groupBy(task).agg(F.count(F.lit(1)).alias("rows"))
     largest, total = per_task.agg(F.max("rows"), F.sum("rows")).first()
-    if largest and largest > UNEVEN * total / tasks + SMALL_TASK:
+    if total and largest > UNEVEN * total / most + SMALL_TASK:
         frame = store(frame, "model-frame")
     else:
-        frame = frame.repartition(tasks, *keys)
+        needed = 1 + (total or 0) // SMALL_TASK
+        frame = frame.repartition(spec.partitions or min(most, needed), *keys)
     return frame.sortWithinPartitions(*keys, *numbers).drop(*keys)
 
 

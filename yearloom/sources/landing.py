@@ -18,6 +18,8 @@ from yearloom.sources.readers import raw_files
 
 NESTED = ("struct", "array", "map", "variant")
 RANGE_BYTES = 8 * 1024 * 1024
+TASK_BYTES = 64 * 1024 * 1024
+MAX_TASKS = 50_000
 
 _RANGES = (
     "dataset string, path string, file_name string, modification_time timestamp, "
@@ -47,13 +49,19 @@ def raw_manifest(spark: SparkSession, globs: dict[str, str]) -> DataFrame:
 
 
 def raw_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The bytes of the files, one row per range, with the digest of each range."""
+    """The bytes of the files, one row per range, with the digest of each range.
+
+    The number of tasks follows from the number of bytes.  It is set, because adaptive
+    execution would judge the ranges by the size of their descriptions.
+    """
+    total = manifest.agg(F.sum("length")).first()[0] or 0
+    tasks = min(max(1, -(-total // TASK_BYTES)), MAX_TASKS)
     step = F.lit(range_bytes).cast("long")
     offsets = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)
     ranges = manifest.select(
         "*", F.posexplode(offsets).alias("range_no", "offset")
     ).withColumn("size", F.least(F.lit(range_bytes), F.col("length") - F.col("offset")))
-    spread = ranges.repartition(F.col("path"), F.col("range_no"))
+    spread = ranges.repartition(tasks, "path", "range_no")
     return spread.mapInArrow(_read_ranges, _RANGES).withColumn(
         "sha256", F.sha2("content", 256)
     )
@@ -93,8 +101,8 @@ def ingest_raw(
         ranges.write.mode(mode).parquet(f"{landing_base}/{dataset}/raw")
 
 
-def profile(df: DataFrame) -> DataFrame:
-    """One row per column: type, rows, nulls, about how many values, smallest, largest.
+def profile(df: DataFrame, distinct: bool = True) -> DataFrame:
+    """One row per column: type, rows, nulls, smallest, largest, about how many values.
 
     One aggregate over the table.  Nested columns have no smallest and largest.
     """
@@ -109,21 +117,23 @@ def profile(df: DataFrame) -> DataFrame:
             ends = [F.when(end == 0, F.lit(0.0)).otherwise(end) for end in ends]  # no -0.0
         aggregates += [
             F.count_if(column.isNull()).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(column.isNotNull(), hashed)).alias(f"d{i}"),
             ends[0].cast("string").alias(f"l{i}"),
             ends[1].cast("string").alias(f"h{i}"),
         ]
-        entries.append(
-            F.struct(
-                F.lit(field.name).alias("column_name"),
-                F.lit(field.dataType.simpleString()).alias("data_type"),
-                F.col("rows").alias("row_count"),
-                F.col(f"n{i}").alias("null_count"),
-                F.col(f"d{i}").alias("approx_distinct"),
-                F.col(f"l{i}").alias("min_value"),
-                F.col(f"h{i}").alias("max_value"),
-            )
-        )
+        if distinct:
+            values = F.when(column.isNotNull(), hashed)
+            aggregates.append(F.approx_count_distinct(values).alias(f"d{i}"))
+        entry = [
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.col("rows").alias("row_count"),
+            F.col(f"n{i}").alias("null_count"),
+            F.col(f"l{i}").alias("min_value"),
+            F.col(f"h{i}").alias("max_value"),
+        ]
+        if distinct:
+            entry.append(F.col(f"d{i}").alias("approx_distinct"))
+        entries.append(F.struct(*entry))
     return df.agg(*aggregates).select(F.inline(F.array(*entries)))
 
 
