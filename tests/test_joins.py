@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from yearloom.operators.joins import (
     fits_broadcast,
     hot_keys,
+    key_counts,
     measured_size,
     size_checked_join,
 )
@@ -80,7 +81,7 @@ def test_large_side_is_not_broadcast_and_hot_keys_are_spread(spark, left, right,
 
 
 def test_hot_keys_take_tasks_by_their_share(left):
-    parts = {r["k"]: r["__parts"] for r in hot_keys(left, ["k"], tasks=100).collect()}
+    parts = {r["k"]: r["__parts"] for r in hot_keys(key_counts(left, ["k"]), ["k"], 100).collect()}
     assert parts["hot"] == 100 and parts["warm"] == 34 and parts[None] == 34
 
 

@@ -31,8 +31,8 @@ FIXED_WIDTH = 16  # bytes assumed for a number, boolean, date or timestamp
 # fewer than 1 / HOT_SHARE hot keys whatever the size of the data.
 HOT_SHARE = 1 / 1000
 
+ROWS = "__rows"
 _SALT = "__salt"
-_ROWS = "__rows"
 _PARTS = "__parts"
 
 
@@ -70,18 +70,20 @@ def size_checked_join(
     how: str = "left",
     null_safe: bool = False,
     fits: bool | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right``, which holds each key at most once.
 
     ``null_safe`` makes NULL keys equal to each other.  ``fits`` is the outcome of
-    ``fits_broadcast(right)``, for callers that join the same side several times.
+    ``fits_broadcast(right)``, for callers that join the same side several times;
+    ``counts`` are the rows of ``left`` per key (column ``ROWS``), if already known.
     The result has the columns of ``left`` and then the non-key columns of ``right``.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type {how!r}")
     if fits_broadcast(right) if fits is None else fits:
         return _join(left, F.broadcast(_renamed(right, on)), on, how, null_safe)
-    return _spread_join(left, right, on, how, null_safe)
+    return _spread_join(left, right, on, how, null_safe, counts)
 
 
 def _renamed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -97,18 +99,22 @@ def _join(left, right, keys, how, null_safe) -> DataFrame:
     return left.join(right, condition, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: list[str], tasks: int) -> DataFrame:
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key, computed once."""
+    return store(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS)), "key-counts")
+
+
+def hot_keys(counts: DataFrame, keys: list[str], tasks: int) -> DataFrame:
     """Keys that hold more than ``HOT_SHARE`` of the rows, and the tasks each should take.
 
     Fewer than ``1 / HOT_SHARE`` keys qualify, so the result can be broadcast.
     """
-    counts = store(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(_ROWS)), "key-counts")
-    total = counts.agg(F.sum(_ROWS)).first()[0] or 1
-    parts = F.ceil(F.col(_ROWS) * F.lit(2.0 * tasks / total)).cast("int")
-    return counts.where(F.col(_ROWS) > total * HOT_SHARE).select(*keys, parts.alias(_PARTS))
+    total = counts.agg(F.sum(ROWS)).first()[0] or 1
+    parts = F.ceil(F.col(ROWS) * F.lit(2.0 * tasks / total)).cast("int")
+    return counts.where(F.col(ROWS) > total * HOT_SHARE).select(*keys, parts.alias(_PARTS))
 
 
-def _spread_join(left, right, on, how, null_safe) -> DataFrame:
+def _spread_join(left, right, on, how, null_safe, counts) -> DataFrame:
     """Shuffle join in which a hot key takes tasks in proportion to its rows.
 
     The salt is a hash of the row, so a task that runs twice sends each row to
@@ -116,7 +122,8 @@ def _spread_join(left, right, on, how, null_safe) -> DataFrame:
     skew splitting of adaptive execution, which cuts by input and not by value.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(_renamed(hot_keys(left, on, tasks), on))
+    counts = key_counts(left, on) if counts is None else counts
+    hot = F.broadcast(_renamed(hot_keys(counts, on, tasks), on))
 
     hashable = [f"`{f.name}`" for f in left.schema.fields if not _holds_map(f.dataType)]
     row_hash = F.xxhash64(*hashable)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearloom.functions import safe_double
-from yearloom.operators.joins import size_checked_join
+from yearloom.operators.joins import ROWS, size_checked_join
 from yearloom.session import store
 from yearloom.specs import FactSpec, Measure, PanelSpec
 
@@ -146,11 +146,15 @@ def mean_fill(
     Equal to ``coalesce(x, avg(x) over (partition by group))``, but a group of any
     size is only ever seen in parts: the means are aggregated, stored and joined.
     """
-    means = df.groupBy(group).agg(
-        *[F.avg(safe_double(F.col(f"`{c}`"))).alias(f"__mean_{c}") for c in columns]
+    means = store(
+        df.groupBy(group).agg(
+            F.count(F.lit(1)).alias(ROWS),
+            *[F.avg(safe_double(F.col(f"`{c}`"))).alias(f"__mean_{c}") for c in columns],
+        ),
+        "group-means",
     )
     joined = size_checked_join(
-        df, store(means, "group-means"), [group], "left", null_safe=True, fits=fits
+        df, means.drop(ROWS), [group], "left", null_safe=True, fits=fits, counts=means
     )
     return joined.withColumns(
         {c: F.coalesce(safe_double(F.col(f"`{c}`")), F.col(f"`__mean_{c}`")) for c in columns}
