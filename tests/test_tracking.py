@@ -56,7 +56,8 @@ def test_track(spark, trainings, tmp_path):
 
     run = tracking.runs(spark, base).where(F.col("run_id") == newer).first()
     assert run["experiment"] == "planted" and run["run_name"] == "Tune_and_Train_weak"
-    assert run["params"] == {"best_regParam": 0.0} and run["metrics"]["rmse"] < 1e-6
+    assert run["params"]["best_regParam"] == "0.0" and run["params"]["best_labelCol"] == "y"
+    assert run["metrics"]["rmse"] < 1e-6
     assert json.loads(run["signature"]) == {
         "inputs": {"a": "double"},
         "output": {"prediction": "double"},

@@ -66,7 +66,8 @@ def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
 def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated errors of every grid point of the row-level model."""
     rows = store(price_rows(spark, folder), "prices")
-    return training.cv_table(spark, training.train(rows, PRICE_MODEL))
+    scores = training.cv_table(spark, training.train(rows, PRICE_MODEL))
+    return scores.withColumns({c: F.to_json(c) for c in ("params", "fold_rmse")})
 
 
 def _nation_training(spark: SparkSession, folder: str, spec: ModelSpec) -> training.Training:
@@ -90,7 +91,8 @@ def tracked_runs(spark: SparkSession, folder: str) -> DataFrame:
     tracking.track(spark, base, _nation_training(spark, folder, INCOME_MODEL))
     stages = tracking.registry(spark, base).select("run_id", "name", "version", "stage")
     runs = tracking.runs(spark, base).drop("logged_at", "model_path")
-    return runs.join(stages, "run_id", "left")
+    shown = runs.withColumns({c: F.to_json(c) for c in ("params", "metrics")})
+    return shown.join(stages, "run_id", "left")
 
 
 QUERIES = {

@@ -23,7 +23,7 @@ log = logging.getLogger(__name__)
 
 RUNS = (
     "experiment string, run_id string, run_name string, run_order int, model_type string, "
-    "params map<string,double>, metrics map<string,double>, model_path string, "
+    "params map<string,string>, metrics map<string,double>, model_path string, "
     "signature string, logged_at timestamp"
 )
 VERSIONS = (
@@ -87,7 +87,7 @@ def log_training(spark: SparkSession, base: str, training: Training) -> list[str
             f"Tune_and_Train_{c.family}",
             c.order,
             c.family,
-            {f"best_{k}": float(v) for k, v in c.params.items()},
+            {f"best_{k}": v for k, v in c.settings.items()},
             {} if c.rmse is None else {"rmse": float(c.rmse)},
             path,
             signature(c),

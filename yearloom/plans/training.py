@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +37,17 @@ UNEVEN, SMALL_TASK = 4, 10_000  # tasks may differ by this factor, or this many
 
 @dataclass(frozen=True)
 class Candidate:
-    """The best model of one family and how it did."""
+    """The best model of one family and how it did.
+
+    ``params`` are the tuned parameters, ``settings`` all parameters of the regressor.
+    """
 
     family: str
     order: int
     run_id: str
     features: list[str]
     params: dict[str, float]
+    settings: dict[str, str]
     rmse: float | None
     model: PipelineModel
     validation: DataFrame
@@ -284,13 +288,28 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     ):
         whole = PipelineModel([*prepare.stages, model.setPredictionCol("prediction")])
         run_id = hashlib.sha256(f"{census.fingerprint}/{family.name}".encode()).hexdigest()[:32]
-        scored = score(whole, source)
         candidates.append(
-            Candidate(family.name, order, run_id, features, point.params, error, whole, scored)
+            Candidate(
+                family=family.name,
+                order=order,
+                run_id=run_id,
+                features=features,
+                params=point.params,
+                settings=_settings(regressor(family, spec.label, spec.seed), model),
+                rmse=error,
+                model=whole,
+                validation=score(whole, source),
+            )
         )
     return Training(spec, census.rows, grid, candidates)
 
 
+def _settings(estimator: Estimator, model: Model) -> dict[str, str]:
+    """Values of the estimator's parameters as the fitted model holds them."""
+    values = {p.name: v for p, v in model.extractParamMap().items()}
+    return {p.name: str(values[p.name]) for p in estimator.params if p.name in values}
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The rows with their ``prediction``; helper columns of the model are dropped."""
     kept = df.columns
