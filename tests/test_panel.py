@@ -77,7 +77,9 @@ def test_master_table_does_not_depend_on_layout(facts):
 
 
 def test_master_of_one_fact(facts):
-    only = as_dict(panel.master_table(facts, SPEC, only="offers"))
+    keys = [SPEC.entity, SPEC.period]
+    states = {f.name: panel.fact_state(facts[f.name], f, keys) for f in SPEC.facts}
+    only = as_dict(panel.master_of_states(states, SPEC, only="offers"))
     assert only == {k: v[:2] for k, v in MASTER.items()}
 
 
@@ -99,15 +101,39 @@ def test_spine_and_kpis(facts):
     assert spine == set(MASTER)
     kpis = as_dict(panel.fact_kpis(facts["offers"], SPEC.fact("offers"), SPEC))
     assert kpis["a", 2021] == (None, 1) and kpis["a", None] == (40.0, 1)
-    whole = {r[0]: tuple(r)[1:] for r in
-             panel.entity_kpis(facts["offers"], SPEC.fact("offers"), SPEC).collect()}
+    state = panel.fact_state(facts["offers"], SPEC.fact("offers"), ["place", "year"])
+    whole = {
+        r[0]: tuple(r)[1:] for r in panel.entity_kpis(state, SPEC.fact("offers"), SPEC).collect()
+    }
     assert whole == {"a": (40.0, 6), "b": (None, 1)}
 
 
+@pytest.mark.parametrize("fits", [True, False])
+def test_aggregating_before_the_lookup_changes_nothing(spark, folder, fits):
+    from yearloom.catalog import star
+
+    early = panel.master_of_states(
+        {
+            name: panel.named_state(
+                rows(spark, folder),
+                star.PANEL.fact(name),
+                star.PANEL,
+                star.NAME,
+                star.names(spark, folder),
+                fits,
+            )
+            for name, rows in star.ROWS.items()
+        },
+        star.PANEL,
+    )
+    late = panel.master_table(star.facts(spark, folder), star.PANEL)
+    assert as_dict(early) == as_dict(late)
+
+
 def test_each_fact_is_scanned_once_and_only_aggregates_are_combined(spark, folder, plan):
     from yearloom.catalog import star
 
-    text = plan(panel.master_table(star.facts(spark, folder), star.PANEL))
+    text = plan(star.master(spark, folder))
     assert text.count("lineitem.parquet") == 1
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "UDF"):
         assert forbidden not in text

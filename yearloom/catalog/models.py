@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from yearloom.catalog import star
 from yearloom.catalog.star import PANEL, table
-from yearloom.operators.panel import master_table
 from yearloom.plans import city, tracking, training
 from yearloom.session import scratch_path, store
 from yearloom.specs import ModelSpec
@@ -71,7 +70,7 @@ def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _nation_training(spark: SparkSession, folder: str, spec: ModelSpec) -> training.Training:
-    master = store(master_table(star.facts(spark, folder), PANEL), "master")
+    master = store(star.master(spark, folder), "master")
     return training.train(master, spec)
 
 

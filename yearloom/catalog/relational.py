@@ -20,7 +20,7 @@ INCIDENT_LABEL, INCOME_LABEL = "incidence_count", "avg_income_index"
 
 def entity_year_kpis(spark: SparkSession, folder: str) -> DataFrame:
     """Per nation and year: prices, sizes, listings, incidents and income."""
-    return panel.sorted_master(panel.master_table(star.facts(spark, folder), PANEL), PANEL)
+    return panel.sorted_master(star.master(spark, folder), PANEL)
 
 
 def reconcile_names(spark, folder):
@@ -63,22 +63,23 @@ def safe_income_cast(spark, folder):
 
 def _kpis(name: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return panel.fact_kpis(star.fact(spark, folder, name), PANEL.fact(name), PANEL)
+        state = star.states(spark, folder, (name,))[name]
+        return panel.state_kpis(state, PANEL.fact(name), [PANEL.entity, PANEL.period])
 
     return query
 
 
 def entity_wide_kpis(spark, folder):
-    listings = star.fact(spark, folder, LISTINGS)
-    return panel.entity_kpis(listings, PANEL.fact(LISTINGS), PANEL)
+    state = star.states(spark, folder, (LISTINGS,))[LISTINGS]
+    return panel.entity_kpis(state, PANEL.fact(LISTINGS), PANEL)
 
 
 def period_spine(spark, folder):
-    return panel.period_spine(star.facts(spark, folder, (INCIDENTS, INCOME)), PANEL)
+    return panel.period_spine(star.states(spark, folder, (INCIDENTS, INCOME)), PANEL)
 
 
 def gap_filled_kpis(spark, folder):
-    return panel.master_table(star.facts(spark, folder), PANEL, only=LISTINGS)
+    return panel.master_of_states(star.states(spark, folder), PANEL, only=LISTINGS)
 
 
 def window_mean_fill(spark, folder):
@@ -108,7 +109,7 @@ def raw_manifest(spark, folder):
 
 
 def complete_rows(spark, folder):
-    master = panel.master_table(star.facts(spark, folder), PANEL)
+    master = star.master(spark, folder)
     return frames.complete_rows(master, [INCIDENT_LABEL, INCOME_LABEL])
 
 
@@ -152,7 +153,7 @@ def rmse_by_model(spark, folder):
 
 
 def small_data_checks(spark, folder):
-    master = panel.master_table(star.facts(spark, folder), PANEL)
+    master = star.master(spark, folder)
 
     def rows_with(*columns):
         return F.count_if(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators.joins import fits_broadcast
+from yearloom.operators.panel import master_of_states, named_state
 from yearloom.operators.reconcile import matched, name_lookup, reconcile, with_period
 from yearloom.specs import FactSpec, Measure, PanelSpec, PeriodSpec
 
@@ -162,18 +163,31 @@ def _incidents_by_year(spark: SparkSession, folder: str) -> DataFrame:
 ROWS = {LISTINGS: listing_rows, INCIDENTS: _incidents_by_year, INCOME: income_rows}
 
 
-def facts(
+def facts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The facts, row by row, with identifiers and years; rows without identifier drop out."""
+    lookup, fits = _checked_names(spark, folder)
+    return {
+        name: matched(reconcile(rows(spark, folder), lookup, NAME, fits), ENTITY)
+        for name, rows in ROWS.items()
+    }
+
+
+def states(
     spark: SparkSession, folder: str, wanted: tuple[str, ...] = (LISTINGS, INCIDENTS, INCOME)
 ) -> dict[str, DataFrame]:
-    """The facts with identifiers and years; rows without an identifier drop out."""
-    spellings = lookup_rows(spark, folder)
-    fits = fits_broadcast(spellings)  # and so do the names, which are no more than these
-    lookup = name_lookup(spellings, NAME, ENTITY)
+    """The facts' sums and counts per entity and year."""
+    lookup, fits = _checked_names(spark, folder)
     return {
-        name: matched(reconcile(ROWS[name](spark, folder), lookup, NAME, fits), ENTITY)
+        name: named_state(ROWS[name](spark, folder), PANEL.fact(name), PANEL, NAME, lookup, fits)
         for name in wanted
     }
 
 
-def fact(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return facts(spark, folder, (name,))[name]
+def _checked_names(spark: SparkSession, folder: str) -> tuple[DataFrame, bool]:
+    spellings = lookup_rows(spark, folder)
+    fits = fits_broadcast(spellings)  # and so do the names, which are no more than these
+    return name_lookup(spellings, NAME, ENTITY), fits
+
+
+def master(spark: SparkSession, folder: str) -> DataFrame:
+    return master_of_states(states(spark, folder), PANEL)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from yearloom.functions import safe_double
 from yearloom.operators.joins import ROWS, size_checked_join
+from yearloom.operators.reconcile import matched, reconcile
 from yearloom.session import store
 from yearloom.specs import FactSpec, Measure, PanelSpec
 
@@ -56,23 +57,47 @@ def _value(m: Measure, of=F.col) -> Column:
     return of(_n(m))
 
 
+def named_state(
+    df: DataFrame,
+    fact: FactSpec,
+    panel: PanelSpec,
+    name_column: str,
+    names: DataFrame,
+    fits: bool | None = None,
+) -> DataFrame:
+    """The state per entity and period of rows that have a raw name, not yet an entity.
+
+    The rows are aggregated by raw name first, so that names are cleaned and looked up
+    (see ``reconcile``) once per distinct name and period, not once per row.
+    """
+    state = fact_state(df, fact, [name_column, panel.period])
+    found = matched(reconcile(state, names, name_column, fits), panel.entity)
+    return _merge(found, _state_columns(fact), [panel.entity, panel.period])
+
+
+def state_kpis(state: DataFrame, fact: FactSpec, keys: list[str]) -> DataFrame:
+    """The fact's indicators per ``keys``, from a state with one row for each of them."""
+    return state.select(*keys, *[_value(m).alias(m.name) for m in fact.measures])
+
+
 def fact_kpis(df: DataFrame, fact: FactSpec, panel: PanelSpec) -> DataFrame:
     """The fact's indicators per entity and period."""
     keys = [panel.entity, panel.period]
-    return fact_state(df, fact, keys).select(
-        *keys, *[_value(m).alias(m.name) for m in fact.measures]
-    )
+    return state_kpis(fact_state(df, fact, keys), fact, keys)
 
 
-def entity_kpis(df: DataFrame, fact: FactSpec, panel: PanelSpec) -> DataFrame:
-    """The fact's indicators per entity, over the rows of all periods."""
-    return fact_state(df, fact, [panel.entity]).select(
-        panel.entity, *[_value(m).alias(m.name) for m in fact.measures]
-    )
+def entity_kpis(state: DataFrame, fact: FactSpec, panel: PanelSpec) -> DataFrame:
+    """The fact's indicators per entity, over the rows of all periods.
+
+    Sums and counts are added up, so every row weighs the same; averaging the yearly
+    averages would not do.
+    """
+    keys = [panel.entity]
+    return state_kpis(_merge(state, _state_columns(fact), keys), fact, keys)
 
 
 def period_spine(facts: dict[str, DataFrame], panel: PanelSpec) -> DataFrame:
-    """The (entity, period) pairs of the facts that are in the spine."""
+    """The (entity, period) pairs of the facts (or their states) that are in the spine."""
     keys = [panel.entity, panel.period]
     pairs = [_pairs(facts[f.name], keys) for f in panel.facts if f.in_spine]
     return reduce(DataFrame.unionByName, pairs).distinct()
@@ -82,28 +107,30 @@ def _pairs(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(F.col(keys[0]).isNotNull()).select(*keys)
 
 
-def master_table(
-    facts: dict[str, DataFrame], panel: PanelSpec, only: str | None = None
-) -> DataFrame:
+def master_table(facts: dict[str, DataFrame], panel: PanelSpec) -> DataFrame:
     """One row per (entity, period) of the spine, with the indicators of all facts.
 
     A NULL period is a row of its own but has no indicators of its own: it only
-    takes filled values.  ``only`` restricts the indicators to one fact.
-    The result is not sorted; see ``sorted_master``.
+    takes filled values.  The result is not sorted; see ``sorted_master``.
     """
     keys = [panel.entity, panel.period]
+    return master_of_states({f.name: fact_state(facts[f.name], f, keys) for f in panel.facts}, panel)
+
+
+def master_of_states(
+    states: dict[str, DataFrame], panel: PanelSpec, only: str | None = None
+) -> DataFrame:
+    """The master table from the facts' states; ``only`` restricts it to one fact's indicators."""
+    keys = [panel.entity, panel.period]
     shown = [f for f in panel.facts if only in (None, f.name)]
-    states, columns = [], [_SPINE]
+    columns = [_SPINE, *[c for f in shown for c in _state_columns(f)]]
+    parts = []
     for fact in panel.facts:
-        if fact in shown:
-            state = fact_state(facts[fact.name], fact, keys)
-            columns += _state_columns(fact)
-        elif fact.in_spine:
-            state = _pairs(facts[fact.name], keys).distinct()
-        else:
-            continue
-        states.append(state.withColumn(_SPINE, F.lit(int(fact.in_spine))))
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), states)
+        if fact in shown or fact.in_spine:
+            kept = _state_columns(fact) if fact in shown else []
+            in_spine = F.lit(int(fact.in_spine)).alias(_SPINE)
+            parts.append(states[fact.name].select(*keys, in_spine, *kept))
+    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     # Placed by entity, the states need no further shuffle: neither to be merged per
     # period nor for the window, in which an entity has one state per period.
     merged = _merge(union.repartition(panel.entity), columns, keys)
