@@ -36,7 +36,8 @@ def trainings(spark):
 
 
 def state(spark, base):
-    return {(r["version"], r["run_id"], r["stage"]) for r in tracking.registry(spark, base).collect()}
+    rows = tracking.registry(spark, base).collect()
+    return {(r["version"], r["run_id"], r["stage"]) for r in rows}
 
 
 def test_track(spark, trainings, tmp_path):
@@ -101,7 +102,8 @@ def test_promote(spark, fits):
         ("m", 4, "r4", "Staging"),
         ("n", 1, "r5", "Production"),
     ]
-    registry = spark.createDataFrame(rows, "name string, version bigint, run_id string, stage string")
+    schema = "name string, version bigint, run_id string, stage string"
+    registry = spark.createDataFrame(rows, schema)
     targets = spark.createDataFrame([("m", 3)], "name string, version bigint")
     after = {(r["name"], r["version"]): r["stage"] for r in
              ops.promote(registry, targets, fits).collect()}

@@ -34,7 +34,10 @@ def base(tmp_path_factory):
     for folder in ("landing/idealista", "landing/incidences", "landing/income", "lookup"):
         (base / folder).mkdir(parents=True)
     listings = {
-        "2020_01_02_idealista.json": [listing("Gràcia", 100.0, 10.0), listing("gràcia ", 300.0, 10.0)],
+        "2020_01_02_idealista.json": [
+            listing("Gràcia", 100.0, 10.0),
+            listing("gràcia ", 300.0, 10.0),
+        ],
         "2021_01_02_idealista.json": [listing("Sarrià - Sant Gervasi", 50.0, 10.0)],
         "2020_11_11_idealista.json": [],
         "listing.json": [listing("Gràcia", 9999.0, 1.0)],  # no date: drops out
@@ -112,6 +115,15 @@ def test_zones(spark, base, tmp_path, fmt):
     assert "__HIVE_DEFAULT_PARTITION__" in "".join(os.listdir(f"{formatted}/incidences"))
 
 
+def test_csv_master_from_a_parquet_zone(spark, base, tmp_path):
+    formatted, _ = stages(spark, base, tmp_path, "parquet")
+    target = str(tmp_path / "csv")
+    cli.main(["exploit", "-f", formatted, "-e", target, "--format", "csv"], spark)
+    schema = zones.master_schema(city.PANEL)
+    rows = readers.read_table(spark, f"{target}/{city.MASTER}", "csv", schema=schema).collect()
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in rows} == EXPECTED
+
+
 def test_nested_columns_are_refused_for_csv_before_anything_is_written(spark, base, tmp_path):
     with pytest.raises(ValueError, match="detailedType"):
         cli.run_format(spark, f"{base}/landing", f"{base}/lookup", str(tmp_path / "f"), "csv")
@@ -139,7 +151,8 @@ def test_overwriting_only_the_given_years(spark, tmp_path):
 
 def test_years_prune_partitions_and_columns(spark, tmp_path, plan):
     path = str(tmp_path / "t")
-    df = spark.range(100).select("id", F.lit("x").alias("unused"), (2000 + F.col("id") % 5).cast("int").alias("year"))
+    year = (2000 + F.col("id") % 5).cast("int").alias("year")
+    df = spark.range(100).select("id", F.lit("x").alias("unused"), year)
     writers.write_by_period(df, path)
     some = readers.read_table(spark, path, years=[2001, 2003])
     assert some.count() == 40

@@ -61,7 +61,10 @@ def run_exploit(
     exploitation_base: str,
     fmt: str = "parquet",
     overwrite: bool = False,
+    input_fmt: str | None = None,
 ) -> None:
+    """Without ``input_fmt`` the formatted zone is read as ``fmt``, or parquet for csv."""
+    input_fmt = input_fmt or ("parquet" if fmt == "csv" else fmt)
     schemas = {s.name: zones.formatted_schema(s, city.LOOKUP) for s in city.DATASETS}
     zones.exploit_zone(
         spark,
@@ -71,7 +74,8 @@ def run_exploit(
         city.MASTER,
         fmt,
         overwrite,
-        schemas if fmt in ("json", "csv") else None,
+        input_fmt,
+        schemas if input_fmt == "json" else None,
     )
 
 
@@ -122,6 +126,7 @@ def _parser() -> argparse.ArgumentParser:
     for stage in (form, exploit, everything):
         stage.add_argument("--overwrite", action="store_true")
     form.add_argument("--only-given-years", action="store_true")
+    exploit.add_argument("--input-format", choices=["parquet", "orc", "json"])
 
     train = add("train", "tune, fit, log and register the models")
     train.add_argument("--exploitation-path", required=True)
@@ -161,7 +166,14 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             getattr(args, "only_given_years", False),
         )
     if args.stage in ("exploit", "all"):
-        run_exploit(spark, args.formatted_base, args.exploitation_base, args.format, args.overwrite)
+        run_exploit(
+            spark,
+            args.formatted_base,
+            args.exploitation_base,
+            args.format,
+            args.overwrite,
+            getattr(args, "input_format", None),
+        )
     if args.stage == "train":
         models = tuple(args.model or city.MODELS)
         run_train(

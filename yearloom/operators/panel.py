@@ -114,7 +114,8 @@ def master_table(facts: dict[str, DataFrame], panel: PanelSpec) -> DataFrame:
     takes filled values.  The result is not sorted; see ``sorted_master``.
     """
     keys = [panel.entity, panel.period]
-    return master_of_states({f.name: fact_state(facts[f.name], f, keys) for f in panel.facts}, panel)
+    states = {f.name: fact_state(facts[f.name], f, keys) for f in panel.facts}
+    return master_of_states(states, panel)
 
 
 def master_of_states(

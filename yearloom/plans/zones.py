@@ -86,12 +86,13 @@ def exploit_zone(
     table: str,
     fmt: str = "parquet",
     overwrite: bool = False,
+    input_fmt: str = "parquet",
     schemas: dict[str, str] | None = None,
     years: Iterable[int] | None = None,
 ) -> None:
     """Build the master table from the formatted datasets and write it, sorted."""
     names = [fact.name for fact in panel.facts]
-    facts = readers.read_tables(spark, formatted_base, names, fmt, years, schemas)
+    facts = readers.read_tables(spark, formatted_base, names, input_fmt, years, schemas)
     master = sorted_master(master_table(facts, panel), panel)
     writers.write_table(master, f"{exploitation_base}/{table}", fmt, overwrite)
 
