@@ -125,7 +125,7 @@ def _spread_join(left, right, on, how, null_safe, counts) -> DataFrame:
     counts = key_counts(left, on) if counts is None else counts
     hot = F.broadcast(_renamed(hot_keys(counts, on, tasks), on))
 
-    hashable = [f"`{f.name}`" for f in left.schema.fields if not _holds_map(f.dataType)]
+    hashable = [f"`{f.name}`" for f in left.schema.fields if not holds_map(f.dataType)]
     row_hash = F.xxhash64(*hashable)
     some_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
     salt = F.when(F.col(_PARTS).isNotNull(), F.pmod(row_hash, F.col(_PARTS)))
@@ -147,11 +147,11 @@ def _spread_join(left, right, on, how, null_safe, counts) -> DataFrame:
     return _join(salted, _renamed(spread, keys), keys, how, null_safe).drop(_SALT)
 
 
-def _holds_map(kind: DataType) -> bool:
+def holds_map(kind: DataType) -> bool:
     if isinstance(kind, (MapType, VariantType)):
         return True
     if isinstance(kind, ArrayType):
-        return _holds_map(kind.elementType)
+        return holds_map(kind.elementType)
     if isinstance(kind, StructType):
-        return any(_holds_map(f.dataType) for f in kind.fields)
+        return any(holds_map(f.dataType) for f in kind.fields)
     return False

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
+from yearloom.operators.joins import holds_map
+
 FORMATS = ("parquet", "orc", "json", "csv")
 
 
@@ -44,7 +46,7 @@ def by_period(df: DataFrame, period: str) -> DataFrame:
     if conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", F.col(period))
     tasks = int(conf.get("spark.sql.shuffle.partitions"))
-    columns = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    columns = [f"`{f.name}`" for f in df.schema.fields if not holds_map(f.dataType)]
     return df.repartition(period, F.pmod(F.xxhash64(*columns), F.lit(tasks)))
 
 
