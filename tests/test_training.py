@@ -172,6 +172,14 @@ def test_random_split_is_disjoint_and_whole(spark):
     assert not parts[0] & parts[1] and len(parts[0] | parts[1]) == 1000
 
 
+def test_large_frames_are_fitted_one_at_a_time(planted, trained, monkeypatch):
+    assert training._workers(SPEC, 1000) == SPEC.parallelism
+    monkeypatch.setattr(training, "PARALLEL_ROWS", 10)
+    assert training._workers(SPEC, 1000) == 1
+    again = training.train(planted, SPEC)
+    assert [c.rmse for c in again.candidates] == [c.rmse for c in trained.candidates]
+
+
 def test_training_runs_without_python_in_the_plan(planted, plan):
     text = plan(training.model_frame(planted, SPEC))
     assert "Python" not in text and "Exchange" not in text

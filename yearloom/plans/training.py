@@ -32,6 +32,7 @@ log = logging.getLogger(__name__)
 
 _SPLIT, _FOLD = "__split", "__fold"
 TRAIN, VALIDATION = "train", "validation"
+PARALLEL_ROWS = 5_000_000
 UNEVEN, SMALL_TASK = 4, 10_000  # tasks may differ by this factor, or this many rows
 
 
@@ -213,7 +214,14 @@ def _errors(models: list, frame: DataFrame, label: str) -> list[float | None]:
     return list(row)
 
 
-def _cross_validate(frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int]):
+def _workers(spec: ModelSpec, rows: int) -> int:
+    """Fits at a time.  A fit on many rows fills the cluster, and each keeps a copy of them."""
+    return spec.parallelism if rows <= PARALLEL_ROWS else 1
+
+
+def _cross_validate(
+    frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], workers: int
+) -> list[GridPoint]:
     points = [(family, params) for family in spec.families for params in grid_points(family)]
     estimators = [regressor(f, spec.label, spec.seed, params) for f, params in points]
     per_fold = []
@@ -224,7 +232,7 @@ def _cross_validate(frame: DataFrame, spec: ModelSpec, features: list[str], fold
         ready = prepare.transform(inside).select("features", spec.label)
         ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            models = _fit_all(estimators, ready, spec.parallelism)
+            models = _fit_all(estimators, ready, workers)
             held_out = prepare.transform(outside).select("features", spec.label)
             per_fold.append(_errors(models, held_out, spec.label))
         finally:
@@ -261,7 +269,8 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     if census.rows[TRAIN] == 0:
         raise ValueError(f"no rows to train {spec.experiment} on")
     frame, features = _apply_null_policy(frame, spec, census)
-    grid = _cross_validate(frame, spec, features, _usable_folds(census))
+    workers = _workers(spec, total)
+    grid = _cross_validate(frame, spec, features, _usable_folds(census), workers)
 
     rows = frame.where(F.col(_SPLIT) == TRAIN)
     prepare = preparation(features).fit(rows)
@@ -272,7 +281,7 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
         models = _fit_all(
             [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
             ready,
-            spec.parallelism,
+            workers,
         )
     finally:
         ready.unpersist()
