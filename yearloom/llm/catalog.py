@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe
+from yearloom.llm import bpe, html_text
 from yearloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +24,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_bpe": op1_bpe}
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages)
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {"op1_bpe": op1_bpe, "op6_html_text": op6_html_text}
 
 ORACLE: dict[str, str] = {}
