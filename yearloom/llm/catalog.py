@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, html_text
+from yearloom.llm import bpe, decontaminate, html_text
 from yearloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -31,6 +31,54 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {"op1_bpe": op1_bpe, "op6_html_text": op6_html_text}
+def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """The words of every document that lie in a window of a benchmark item."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, table(spark, folder, "benchmark"))
+    hit = decontaminate.hit_words()
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        hit.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {
+    "op1_bpe": op1_bpe,
+    "op6_html_text": op6_html_text,
+    "op10_decontaminate": op10_decontaminate,
+}
+
+# Words of lower-cased text, for DuckDB.
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_decontaminate": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+sized AS (SELECT item, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM sized, unnest(range(1, len(w) - n + 2)) AS s(i)),
+places AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM d, (SELECT DISTINCT n FROM windows), unnest(range(1, len(w) - n + 2)) AS s(i)),
+hits AS (SELECT doc_id, i, n, item FROM places JOIN windows USING (n, gram)),
+words AS (
+  SELECT doc_id, count(DISTINCT i + k) AS n_hit
+  FROM (SELECT DISTINCT doc_id, i, n FROM hits), unnest(range(0, n)) AS s(k) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+}

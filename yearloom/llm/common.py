@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from itertools import pairwise
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ def pieces(texts: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, list
     slice holds at least one text.
     """
     start, size, ends = 0, 0, [0]
-    for i, length in enumerate(pa.compute.binary_length(texts).fill_null(0).to_pylist()):
+    for i, length in enumerate(pc.binary_length(texts).fill_null(0).to_pylist()):
         if size and size + length > most:
             ends.append(i)
             size = 0
