@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, html_text
-from yearloom.llm.common import table
+from yearloom.llm import bpe, decontaminate, html_text, quality, toxicity
+from yearloom.llm.common import held_out, table
+from yearloom.session import store
 
+QUALITY = 0.3  # scores from which a document passes
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -24,6 +26,24 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """The largest label of each document that models may learn from."""
+    known = table(spark, folder, "labels").where(~held_out("doc_id") & F.col(label).isin(0, 1))
+    return known.groupBy("doc_id").agg(F.max(label).alias(label))
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    net = toxicity.fit(docs, _labels(spark, folder, "toxic"))
+    return toxicity.score(docs, net).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
@@ -31,6 +51,25 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Discriminant:
+    """Learned from all documents (``doc_id``, ``features``) with a label."""
+    rows = docs.select("doc_id", "features").join(labels, "doc_id")
+    return quality.fit(rows, "quality")
+
+
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from the labelled ones that are not held out."""
+    docs = quality.features(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = store(docs.select("doc_id", "features"), "quality")
+    model = quality_model(docs, _labels(spark, folder, "quality"))
+    return quality.score(docs, model).select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY).cast("int").alias("predicted"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """The words of every document that lie in a window of a benchmark item."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -48,7 +87,9 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op4_toxicity": op4_toxicity,
     "op6_html_text": op6_html_text,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
 
