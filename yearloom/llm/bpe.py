@@ -20,10 +20,10 @@ import heapq
 import json
 import re
 import unicodedata
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -31,7 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 from tokenizers import Tokenizer
 
-MEMO_WORDS = 400_000  # remembered words of one task
+from yearloom.llm.common import pieces
+
+MEMO_WORDS = 300_000  # remembered words of one worker
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
 BUFFER = 4096  # symbols merged at a time beyond the lookahead
 NO_RULE = 1 << 31
@@ -58,7 +60,9 @@ class Vocabulary:
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.names = {i: s for s, i in chain(self.ids.items(), self.specials.items())}
+        names = {i: s for s, i in chain(self.ids.items(), self.specials.items())}
+        self.names = [names.get(i) for i in range(max(names, default=-1) + 1)]
+        self.packed = {s: np.int32(i).tobytes() for i, s in names.items()}
         self.letters = _byte_letters()
         self.longest = max(map(self._length, self.ids))
         self.lookahead = sufficient_lookahead(merges, self._length)
@@ -67,7 +71,7 @@ class Vocabulary:
         return len(symbols) - len(self.suffix) * bool(self.suffix and symbols.endswith(self.suffix)) or 1
 
     def symbols(self, word: bytes) -> list[str]:
-        out = [self.letters[b] for b in word]
+        out = list(word.decode("latin-1").translate(self.letters))
         out[-1] += self.suffix
         return out
 
@@ -99,13 +103,16 @@ def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
 
 
 def _merged_short(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    while len(parts) > 1:
-        found = [ranks.get(pair, NO_RULE) for pair in pairwise(parts)]
-        best = min(found)
-        if best == NO_RULE:
-            break
+    get = ranks.get
+    found = [get(pair, NO_RULE) for pair in pairwise(parts)]
+    while found and (best := min(found)) != NO_RULE:
         i = found.index(best)
-        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        parts[i] += parts.pop(i + 1)
+        del found[i]
+        if i < len(found):
+            found[i] = get((parts[i], parts[i + 1]), NO_RULE)
+        if i:
+            found[i - 1] = get((parts[i - 1], parts[i]), NO_RULE)
     return parts
 
 
@@ -138,18 +145,19 @@ def _merged_long(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[
 
 
 class _Memo(dict):
-    """Ids of short words; forgets everything when full, so memory stays bounded."""
+    """Packed ids of short words; forgets everything when full, so memory stays bounded."""
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         content = word.encode()
-        found = tuple(self.encoder.word_ids(content))
-        if len(content) <= MEMO_LENGTH:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = found
+        if len(content) > MEMO_LENGTH:
+            return b"".join(self.encoder.word_ids(content))
+        v = self.encoder.vocabulary
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        found = self[word] = b"".join(map(v.packed.__getitem__, merged(v.symbols(content), v.ranks)))
         return found
 
 
@@ -203,23 +211,23 @@ class Encoder:
         special = "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
 
-    def word_ids(self, word: bytes) -> Iterator[int]:
-        """The ids of one word; holds one buffer of symbols at a time."""
+    def word_ids(self, word: bytes) -> Iterator[bytes]:
+        """The packed ids of one word; holds one buffer of symbols at a time."""
         v = self.vocabulary
         window = v.lookahead + v.longest + BUFFER
         start = 0
         while len(word) - start > window:
-            buffer = [v.letters[b] for b in word[start : start + window]]
+            buffer = list(word[start : start + window].decode("latin-1").translate(v.letters))
             stable = window - v.lookahead
             end = 0
             for token in merged(buffer, v.ranks):
                 if end + len(token) > stable:
                     break
                 end += len(token)
-                yield v.ids[token]
+                yield v.packed[token]
             start += end
         for token in merged(v.symbols(word[start:]), v.ranks):
-            yield v.ids[token]
+            yield v.packed[token]
 
     def blocks(self, text: str) -> Iterator[str]:
         """Pieces of the text, cut where white space stands, so no word is cut."""
@@ -241,14 +249,15 @@ class Encoder:
             return LATIN.findall(text)
         return scripts(self.vocabulary.path).words(text)
 
-    def ids(self, text: str) -> Iterator[int]:
+    def ids(self, text: str) -> Iterator[bytes]:
+        """The ids as 32-bit integers, block by block."""
         for block in self.blocks(text):
             plain = [block] if self.special is None else self.special.split(block)
             for k, piece in enumerate(plain):
                 if k % 2:
-                    yield self.vocabulary.specials[piece]
+                    yield self.vocabulary.packed[piece]
                 elif piece:
-                    yield from chain.from_iterable(map(self.memo.__getitem__, self.words(piece)))
+                    yield b"".join(map(self.memo.__getitem__, self.words(piece)))
 
 
 class Decoder:
@@ -258,10 +267,12 @@ class Decoder:
         self.names = vocabulary.names
         self.started = False
 
-    def feed(self, ids: Iterable[int]) -> str:
+    def feed(self, ids: np.ndarray) -> str:
         # The file names no decoder: tokens are joined by one space.
-        text = " ".join([self.names[i] for i in ids if i in self.names])
-        if not text:
+        known = ids[(ids >= 0) & (ids < len(self.names))] if len(ids) else ids
+        names = list(map(self.names.__getitem__, known.tolist()))
+        text = " ".join([n for n in names if n is not None] if None in names else names)
+        if not names or not text:
             return ""
         lead, self.started = " " * self.started, True
         return lead + text
@@ -280,25 +291,22 @@ def encoder(path: str) -> Encoder:
 
 def encode_array(texts: pa.Array, path: str) -> pa.Array:
     """List of ids for each text."""
-    coder, flat, ends = encoder(path), array("i"), array("i", [0])
-    for text in texts:
-        flat.extend(coder.ids(text.as_py() or ""))
-        ends.append(len(flat))
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+    coder, rows = encoder(path), []
+    for _, part in pieces(texts):
+        rows += [b"".join(coder.ids(text.decode())) for text in part]
+    ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
+    flat = np.frombuffer(b"".join(rows), np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def decode_array(ids: pa.Array, path: str) -> pa.Array:
     words, out = vocabulary(path), []
-    for row in ids:
-        if not row.is_valid:
-            out.append(None)
-            continue
-        decoder, values = Decoder(words), row.values
-        out.append(
-            "".join(
-                decoder.feed(values.slice(k, BLOCK).to_pylist()) for k in range(0, len(values), BLOCK)
-            )
-        )
+    ends = np.asarray(ids.offsets)
+    flat = ids.values.fill_null(-1).to_numpy()
+    for valid, start, end in zip(ids.is_valid().to_pylist(), ends[:-1], ends[1:], strict=True):
+        decoder = Decoder(words)
+        blocks = (flat[k : min(k + BLOCK, end)] for k in range(start, end, BLOCK))
+        out.append("".join(map(decoder.feed, blocks)) if valid else None)
     return pa.array(out, pa.string())
 
 
