@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, html_text, quality, toxicity
+from yearloom.llm import bpe, decontaminate, html_text, near_copies, quality, toxicity
 from yearloom.llm.common import held_out, table
 from yearloom.session import store
 
@@ -44,6 +44,11 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_near_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of 4-word shingles are nearly equal."""
+    return near_copies.find(table(spark, folder, "documents"), size=4)
+
+
 def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of every page."""
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
@@ -88,6 +93,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_near_copies": op5_near_copies,
     "op6_html_text": op6_html_text,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
