@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, html_text, near_copies, quality, toxicity
+from yearloom.llm import bpe, decontaminate, html_text, near_copies, quality, token_counts, toxicity
 from yearloom.llm.common import held_out, table
-from yearloom.session import store
+from yearloom.session import scratch_path, store
 
 QUALITY = 0.3  # scores from which a document passes
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -56,6 +56,23 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+TOKEN_LIMIT = 2048
+
+
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, from an empty cache."""
+    docs = table(spark, folder, "documents")
+    sized = docs.select(
+        "doc_id",
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+    )
+    counted = token_counts.count(sized, WORD_BPE, scratch_path(spark, "token-counts"))
+    return counted.select(
+        "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Discriminant:
     """Learned from all documents (``doc_id``, ``features``) with a label."""
     rows = docs.select("doc_id", "features").join(labels, "doc_id")
@@ -95,6 +112,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_near_copies": op5_near_copies,
     "op6_html_text": op6_html_text,
+    "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
