@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, html_text, near_copies, quality, token_counts, toxicity
+from yearloom.llm import bpe, decontaminate, grid_join, html_text, near_copies, quality, token_counts, toxicity
 from yearloom.llm.common import held_out, table
 from yearloom.session import scratch_path, store
 
@@ -56,6 +56,11 @@ def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_grid_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of embeddings of a label that point in nearly the same direction."""
+    return grid_join.find(table(spark, folder, "embeddings"))
+
+
 TOKEN_LIMIT = 2048
 
 
@@ -112,6 +117,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_near_copies": op5_near_copies,
     "op6_html_text": op6_html_text,
+    "op7_grid_join": op7_grid_join,
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
