@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, grid_join, html_text, near_copies, quality, token_counts, toxicity
+from yearloom.llm import bpe, decontaminate, grid_join, html_text, licenses, near_copies, quality, token_counts, toxicity
 from yearloom.llm.common import held_out, table
 from yearloom.session import scratch_path, store
 
@@ -32,6 +32,11 @@ def _labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max(label).alias(label))
 
 
+def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence mentions of every document."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -114,6 +119,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_licenses": op3_licenses,
     "op4_toxicity": op4_toxicity,
     "op5_near_copies": op5_near_copies,
     "op6_html_text": op6_html_text,
@@ -129,7 +135,43 @@ _WORDS = (
     "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+_TEMPLATES = ", ".join(
+    f"({k}, '{label}', {base}, string_split('{words}', ' '))"
+    for k, (label, base, words) in enumerate(licenses.TEMPLATES)
+)
+
 ORACLE: dict[str, str] = {
+    "op3_licenses": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT * FROM (VALUES {_TEMPLATES}) AS v(template, label, base, w)),
+grams AS (
+  SELECT template, label, base, len(w) - 1 AS pairs, i - 1 AS place, w[i] AS a, w[i + 1] AS b
+  FROM t, unnest(range(1, len(w))) AS s(i)),
+places AS (SELECT r, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM d, unnest(range(1, len(w))) AS s(i)),
+lines AS (
+  SELECT r, template, label, base, pairs, pos - place AS diagonal, count(*) AS votes
+  FROM places JOIN grams USING (a, b) GROUP BY ALL),
+cut AS (
+  SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER w <= {licenses.NEAR} IS NOT TRUE THEN 1 ELSE 0 END AS apart
+  FROM lines WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)),
+numbered AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM cut),
+spans AS (
+  SELECT r, label, base, min(diagonal) AS start, least(sum(votes) / pairs, 1.0::DOUBLE) AS share,
+    CASE WHEN base THEN sum(votes) = pairs
+      ELSE sum(votes) >= {licenses.VOTES} AND sum(votes) / pairs >= {licenses.SHARE} END AS found
+  FROM numbered GROUP BY r, template, label, base, pairs, span),
+rows AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+    max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM spans WHERE found GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+  first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN rows USING (r)
+""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
