@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, grid_join, html_text, licenses, near_copies, quality, token_counts, toxicity
+from yearloom.llm import bpe, decontaminate, grid_join, html_text, licenses, line_dedup, near_copies, quality, token_counts, toxicity
 from yearloom.llm.common import held_out, table
 from yearloom.session import scratch_path, store
 
@@ -32,6 +32,18 @@ def _labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
     return known.groupBy("doc_id").agg(F.max(label).alias(label))
 
 
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the passages that others hold."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return line_dedup.cut(docs).select(
+        "doc_id",
+        F.col("cut.lines").alias("n_lines"),
+        F.col("cut.gone").alias("n_removed"),
+        F.length("cut.text").cast("long").alias("n_chars"),
+        F.sha2("cut.text", 256).alias("text_sha256"),
+    )
+
+
 def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
     """Licence mentions of every document."""
     return licenses.scan(table(spark, folder, "documents"))
@@ -119,6 +131,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op3_licenses": op3_licenses,
     "op4_toxicity": op4_toxicity,
     "op5_near_copies": op5_near_copies,
