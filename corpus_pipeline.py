@@ -1,22 +1,54 @@
-"""The corpus pipeline: quality, repeated lines, near copies, benchmark passages, tokens."""
+"""The corpus pipeline: quality, repeated passages, near copies, benchmark passages, tokens."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yearloom.llm import bpe
-from yearloom.llm.catalog import WORD_BPE
+from yearloom.llm import bpe, decontaminate, line_dedup, near_copies, quality
+from yearloom.llm.catalog import QUALITY, WORD_BPE, known_labels, quality_model
 from yearloom.llm.common import table
 from yearloom.session import store
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the discriminant, fitted on the labelled ones, does not reject."""
+    model = quality_model(quality.features(docs), known_labels(spark, sf_dir, "quality"))
+    vector, score = "__quality_features", "__quality_score"
+    scored = quality.score(quality.features(docs, out=vector), model, vector, score)
+    return scored.where(F.col(score) >= QUALITY).drop(vector, score)
+
+
+def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that another one holds; of full copies nothing is left."""
+    return line_dedup.dedup(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    copies = near_copies.find(docs).where(~F.col("kept")).select("doc_id")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def no_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return decontaminate.remove(docs, table(spark, sf_dir, "benchmark"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the ids of each text and what they decode to."""
+    """The documents with the ids of their texts, and what the ids decode to."""
     return bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
 
 
-STAGES = [("bpe", tokens)]
+STAGES = [
+    ("quality", good_quality),
+    ("line_dedup", new_lines),
+    ("near_copies", no_near_copies),
+    ("decontaminate", no_benchmarks),
+    ("bpe", tokens),
+]
 
+# Neither hashes of shingles and lines nor the fitted model can be expressed in SQL.
 ORACLE_SQL = None
 
 

@@ -26,7 +26,7 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
+def known_labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
     """The largest label of each document that models may learn from."""
     known = table(spark, folder, "labels").where(~held_out("doc_id") & F.col(label).isin(0, 1))
     return known.groupBy("doc_id").agg(F.max(label).alias(label))
@@ -52,7 +52,7 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learned from the labelled ones that are not held out."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    net = toxicity.fit(docs, _labels(spark, folder, "toxic"))
+    net = toxicity.fit(docs, known_labels(spark, folder, "toxic"))
     return toxicity.score(docs, net).select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
@@ -105,7 +105,7 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learned from the labelled ones that are not held out."""
     docs = quality.features(table(spark, folder, "documents").select("doc_id", "text"))
     docs = store(docs.select("doc_id", "features"), "quality")
-    model = quality_model(docs, _labels(spark, folder, "quality"))
+    model = quality_model(docs, known_labels(spark, folder, "quality"))
     return quality.score(docs, model).select(
         "doc_id",
         held_out("doc_id").alias("held_out"),
