@@ -1,0 +1,110 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from tests.llm.conftest import LONG, MESSY
+from yearloom.llm import catalog, near_copies
+from yearloom.llm.components import components
+from yearloom.llm.shingles import Circulant, shingles
+
+
+def sets_of(text, size):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    n = min(size, len(words))
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+
+
+def brute(rows, size, hundredths=80):
+    """(shingles, component) per key, from all pairs."""
+    sets, root = [(i, sets_of(t, size)) for i, t in rows], {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, (i, s) in enumerate(sets):
+        for j, t in sets[:a]:
+            if s and t and None not in (i, j) and 100 * len(s & t) >= hundredths * len(s | t):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return sorted((str(i), len(s), str(find(i)), i is None or find(i) == i) for i, s in sets)
+
+
+def result(df, **named):
+    rows = near_copies.find(df, **named).collect()
+    return sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"]), r["kept"]) for r in rows)
+
+
+@pytest.mark.parametrize("blocks", [False, True])
+def test_groups_as_by_brute_force(spark, words, monkeypatch, blocks):
+    if blocks:  # many small tasks in place of few large ones
+        monkeypatch.setattr(near_copies, "MEMBERS", 3)
+        monkeypatch.setattr(near_copies, "OUTSIDERS", 4)
+        monkeypatch.setattr(near_copies, "OTHERS", 7)
+        monkeypatch.setattr(near_copies, "MATRIX_ROWS", 50)
+    r, rows, key = random.Random(1), [], 0
+    for group in range(8):
+        base = words(group, 80)
+        for _ in range(16):
+            text = list(base)
+            for _ in range(r.choice([0, 0, 1, 2, 3, 4, 6])):
+                text[r.randrange(len(text))] = "changed" + str(r.randrange(99))
+            rows.append((key, " ".join(text)))
+            key += 3
+    r.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert result(df) == brute(rows, 5)
+
+
+def test_just_at_and_below_the_threshold(spark):
+    words = [f"w{i}" for i in range(94)]
+    one = " ".join(words[:94])  # 90 shingles of five words
+    at = " ".join(words[:76])  # 72 of them: 72 / 90 = 0.8
+    below = " ".join(words[:75])
+    df = spark.createDataFrame([(3, one), (1, at), (7, below)], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["component_id"] for r in near_copies.find(df).collect()}
+    assert found[3] == found[1] == 1
+    rows = spark.createDataFrame([(3, one), (7, below)], "doc_id bigint, text string")
+    assert result(rows) == brute([(3, one), (7, below)], 5)
+
+
+def test_messy_rows(messy):
+    assert result(messy, size=4) == brute(MESSY, 4)
+    assert near_copies.find(messy.limit(0)).count() == 0
+
+
+def test_rows_that_share_a_key_are_one_vertex(spark, words):
+    a, b = " ".join(words(1, 30)), " ".join(words(2, 30))
+    df = spark.createDataFrame([(5, a), (5, b), (2, a), (9, b), (1, "x")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["component_id"]) for r in near_copies.find(df).collect()} == {(5, 2), (2, 2), (9, 2), (1, 1)}
+
+
+def test_query_as_by_brute_force(spark, folder):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    found = catalog.op5_near_copies(spark, folder).collect()
+    assert sorted((str(r[0]), r[1], str(r[2]), r[3]) for r in found) == brute(rows, 4)
+
+
+def test_shingles_of_short_and_long_texts():
+    assert len(shingles(b"", 4)) == len(shingles(b" \n", 4)) == 0
+    assert len(shingles(b"a b", 4)) == 1 and shingles(b"a b", 4) != shingles(b"a b c", 4)
+    assert len(shingles(LONG.encode(), 4)) == 3
+
+
+def test_agreement_of_coordinates_is_the_similarity():
+    circulant, r = Circulant(100, 4), np.random.default_rng(1)
+    x = r.integers(0, 2**63, 1500).astype(np.uint64)
+    a, b = circulant.signature(np.sort(x[:1000])), circulant.signature(np.sort(x[200:1200]))
+    assert abs((a == b).mean() - 800 / 1200) < 0.1
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    chain = [(k, k + 1) for k in range(10, 40)]
+    star = [(100, k) for k in range(101, 160)]
+    odd = [(7, 7), (None, 3), (200, 201), (201, 200)]
+    found = components(spark.createDataFrame(chain + star + odd, "x bigint, y bigint")).collect()
+    expected = {(k, 10) for k in range(11, 41)} | {(k, 100) for k in range(101, 160)} | {(201, 200)}
+    assert {tuple(r) for r in found} == expected and len(found) == len(expected)
