@@ -1,4 +1,6 @@
+import hashlib
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ def files(tmp_path):
     contents = {
         "one.csv": os.urandom(2500),
         "with blank é.csv": b"a,b\r\n1,2\r\n",
+        "empty.csv": b"",
     }
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
@@ -50,6 +53,7 @@ def test_manifest_does_not_read_contents(spark, files, plan):
     path, _ = files
     text = plan(landing.raw_manifest(spark, {"d": f"{path}/*.csv"}))
     assert "ReadSchema: struct<path:string,modificationTime:timestamp,length:bigint>" in text
+    assert "content" not in text
 
 
 def test_profile(spark):
@@ -87,25 +91,70 @@ def spec(schema="a int, b string"):
     return DatasetSpec("d", "csv", "*.csv", schema, "b", PeriodSpec("column", ("a",)))
 
 
-def test_line_breaks_in_fields(spark, tmp_path, monkeypatch):
-    (tmp_path / "x.csv").write_bytes('a,b\r\n1,"é ""x"", y"\r\n2,"two\r\nlines"\r\n'.encode())
-    glob = f"{tmp_path}/*.csv"
-    assert readers.open_quotes(spark, glob)
-    monkeypatch.setattr(readers, "SPLIT_BYTES", 0)
-    assert readers.needs_multi_line(spark, glob)
+def test_line_breaks_in_fields(spark, tmp_path):
+    """How a file is read is declared, and does not depend on its size."""
+    (tmp_path / "x.csv").write_bytes('a,b\r\n1,"é ""x"", y"\r\n2,"two\r\nlines"\r\n3,"a\rb"\r\n'.encode())
     rows = readers.read_dataset(spark, spec(), str(tmp_path)).orderBy("a").collect()
-    assert rows[1]["b"].split() == ["two", "lines"] and len(rows) == 2
-
-
-def test_large_files_without_line_breaks_are_split(spark, tmp_path, monkeypatch):
-    (tmp_path / "x.csv").write_bytes('a,b\r\n1,"x, ""y"""\r\n2,\r\n'.encode())
-    glob = f"{tmp_path}/*.csv"
-    assert not readers.open_quotes(spark, glob)
-    assert readers.needs_multi_line(spark, glob)  # small: no need to look
-    whole = readers.read_dataset(spark, spec(), str(tmp_path)).collect()
-    monkeypatch.setattr(readers, "SPLIT_BYTES", 0)
-    assert not readers.needs_multi_line(spark, glob)
-    assert readers.read_dataset(spark, spec(), str(tmp_path)).collect() == whole
+    assert rows[1]["b"].split() == ["two", "lines"] and rows[2]["b"].split() == ["a", "b"] and len(rows) == 3
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_dataset(spark, replace(spec(), multi_line=False), str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_many_small_files_read_as_one_large_one(spark, tmp_path, multi_line):
+    other = {"quote": "'", "escape": "'"}
+    lines = [f"{k},'x, {k}'" for k in range(300)]
+    (tmp_path / "one").mkdir()
+    (tmp_path / "many").mkdir()
+    (tmp_path / "one" / "x.csv").write_text("a,b\n" + "\n".join(lines) + "\n")
+    for k in range(30):
+        part = "\n".join(lines[k * 10 : k * 10 + 10])
+        (tmp_path / "many" / f"{k}.csv").write_text(f"a,b\n{part}\n")
+    declared = replace(spec(), options=other, multi_line=multi_line)
+    found = [
+        sorted(tuple(r) for r in readers.read_dataset(spark, declared, f"{tmp_path}/{name}").collect())
+        for name in ("one", "many")
+    ]
+    assert found[0] == found[1] and len(found[0]) == 300 and found[0][7] == (7, "x, 7")
+
+
+def test_bad_json_is_an_error_or_is_put_aside(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1, "b": "x"}\n{"a": "2,5", "b": "y"}\n{"a": 3, "b"\n')
+    declared = DatasetSpec("d", "json", "*.json", "a int, b string", "b", PeriodSpec("column", ("a",)))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_dataset(spark, declared, str(tmp_path)).collect()
+    kept = replace(declared, corrupt_column="_bad")
+    rows = readers.read_dataset(spark, kept, str(tmp_path))
+    assert [tuple(r) for r in readers.good_records(rows, kept).collect()] == [(1, "x")]
+    bad = readers.corrupt_records(rows, kept).collect()
+    assert len(bad) == 2 and {r["file_name"] for r in bad} == {"x.json"}
+
+
+def test_undeclared_fields(spark, tmp_path):
+    (tmp_path / "x.json").write_text('{"a": 1}\n')
+    (tmp_path / "y.json").write_text('{"a": 1, "c": 2}\n')
+    declared = DatasetSpec("d", "json", "*.json", "A int, b string", "b", PeriodSpec("column", ("A",)))
+    assert readers.undeclared_fields(spark, declared, str(tmp_path)) == ["c"]
+
+
+def test_files_come_back_from_ranges(spark, files, tmp_path_factory):
+    path, contents = files
+    target, back = str(tmp_path_factory.mktemp("landing")), tmp_path_factory.mktemp("back")
+    landing.ingest_raw(spark, {"d": f"{path}/*.csv"}, target)
+    landed = spark.read.parquet(f"{target}/d/raw")
+    written = landing.restore_files(landed, str(back)).collect()
+    assert {r["length"] for r in written} == {len(c) for c in contents.values()}
+    assert {p.name: p.read_bytes() for p in (back / "d").iterdir() if p.suffix == ".csv"} == contents
+    with pytest.raises(ValueError, match="share a name"):
+        landing.restore_files(landed.unionByName(landed), str(back))
+
+
+def test_digests_of_whole_files(spark, files):
+    path, contents = files
+    rows = landing.file_digests(landing.raw_manifest(spark, {"d": f"{path}/*.csv"})).collect()
+    assert {r["file_name"]: r["sha256"] for r in rows} == {
+        name: hashlib.sha256(content).hexdigest() for name, content in contents.items()
+    }
 
 
 def test_changed_header_is_an_error(spark, tmp_path):

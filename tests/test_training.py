@@ -101,11 +101,37 @@ def test_other_rows_or_settings_are_another_run(planted, trained):
     assert other.candidates[0].run_id != trained.candidates[0].run_id
 
 
-def test_keys_that_do_not_identify_rows(planted, trained, monkeypatch):
-    """One key holds most rows: the frame is stored and its files are the layout."""
-    monkeypatch.setattr(training, "SMALL_TASK", 0)
-    monkeypatch.setattr(training, "UNEVEN", 2)
+def test_settings_of_the_session_change_nothing(spark, planted, trained):
+    """Trees are sampled from a layout that the spec declares."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for setting in ("2", "5"):
+            spark.conf.set("spark.sql.shuffle.partitions", setting)
+            again = training.train(planted, SPEC)
+            assert [c.run_id for c in again.candidates] == [c.run_id for c in trained.candidates]
+            for a, b in zip(trained.candidates, again.candidates):
+                assert a.rmse == pytest.approx(b.rmse, rel=1e-12)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_another_declared_layout_is_another_run(planted, trained):
+    other = training.train(planted, replace(SPEC, partitions=3, families=(LINEAR,)))
+    assert other.candidates[0].run_id != trained.candidates[0].run_id
+
+
+def test_given_split_and_folds(planted):
+    spec = replace(SPEC, families=(LINEAR,), split="id % 5 > 0", fold="id % 3")
+    result = training.train(planted, spec)
+    assert result.rows == {"train": 320, "validation": 80} and result.folds == [0, 1, 2]
+
+
+def test_keys_that_do_not_identify_rows(planted):
+    """One key holds most rows; they are spread by their other columns."""
     skewed = planted.withColumn("id", F.when(F.col("id") % 3 < 2, -1).otherwise(F.col("id")))
+    laid = training._laid_out(training.model_frame(skewed, SPEC), SPEC)
+    tasks = laid.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) == SPEC.partitions and max(r["count"] for r in tasks) < 200
     result = training.train(skewed, SPEC)
     assert sum(result.rows.values()) == 400
     assert result.candidates[0].rmse is None or result.candidates[0].rmse < 0.05
@@ -149,6 +175,7 @@ def test_too_few_rows(spark, caplog):
                                 "id int, a double, b double, y double")
     result = training.train(few, replace(SPEC, families=(LINEAR,)))
     assert "only 3 rows, below 50" in caplog.text
+    assert len(result.folds) == 3 or "folds have rows" in caplog.text
     assert sum(result.rows.values()) == 3
     with pytest.raises(ValueError, match="no rows to train"):
         training.train(few.where("false"), SPEC)
@@ -172,14 +199,6 @@ def test_random_split_is_disjoint_and_whole(spark):
     assert not parts[0] & parts[1] and len(parts[0] | parts[1]) == 1000
 
 
-def test_large_frames_are_fitted_one_at_a_time(planted, trained, monkeypatch):
-    assert training._workers(SPEC, 1000) == SPEC.parallelism
-    monkeypatch.setattr(training, "PARALLEL_ROWS", 10)
-    assert training._workers(SPEC, 1000) == 1
-    again = training.train(planted, SPEC)
-    assert [c.rmse for c in again.candidates] == [c.rmse for c in trained.candidates]
-
-
 def test_training_runs_without_python_in_the_plan(planted, plan):
     text = plan(training.model_frame(planted, SPEC))
     assert "Python" not in text and "Exchange" not in text

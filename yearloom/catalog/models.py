@@ -13,7 +13,7 @@ from yearloom.catalog import star
 from yearloom.catalog.star import PANEL, table
 from yearloom.plans import city, tracking, training
 from yearloom.session import scratch_path, store
-from yearloom.specs import ModelSpec
+from yearloom.specs import Family, ModelSpec
 
 # The city's two models on the nations' master table.
 NATION_KEYS = (PANEL.entity, PANEL.period)
@@ -69,6 +69,82 @@ def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     return scores.withColumns({c: F.to_json(c) for c in ("params", "fold_rmse")})
 
 
+# One feature, arithmetic split and folds, no penalty: plain SQL gives the same errors.
+LINE_MODEL = ModelSpec(
+    experiment="Item_Line_Prediction",
+    model_name="ItemLinePredictor",
+    label="price",
+    features=("quantity",),
+    required=("price",),
+    keys=("l_orderkey", "l_linenumber"),
+    families=(Family("LinearRegression", "linear", (("regParam", (0.0,)),)),),
+    folds=3,
+    min_rows=50,
+    split="l_orderkey % 5 > 0",
+    fold="l_orderkey % 3",
+)
+
+
+def line_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items; the quantity of open ones is unknown."""
+    return table(spark, folder, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_extendedprice").alias("price"),
+        F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("quantity"),
+    )
+
+
+def line_cv_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-validated errors of a line, with means imputed inside each fold."""
+    scores = training.cv_table(spark, training.train(line_rows(spark, folder), LINE_MODEL))
+    return scores.select(
+        "experiment",
+        "model_type",
+        F.round("avg_rmse", 4).alias("avg_rmse"),
+        *[F.round(F.col("fold_rmse")[k], 4).alias(f"fold_{k}") for k in range(LINE_MODEL.folds)],
+    )
+
+
+def line_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of the line items held out, by the model in production, saved and loaded."""
+    base = scratch_path(spark, "tracking")
+    result = training.train(line_rows(spark, folder), LINE_MODEL)
+    tracking.track(spark, base, result)
+    model = tracking.production_model(spark, base, LINE_MODEL.model_name)
+    scored = training.score(model, result.champion.validation.drop("prediction"))
+    return scored.select("l_orderkey", "l_linenumber", F.round("prediction", 4).alias("prediction"))
+
+
+def tracked_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The run, its error and its version, after the same training was tracked twice."""
+    base = scratch_path(spark, "tracking")
+    for _ in range(2):
+        tracking.track(spark, base, training.train(line_rows(spark, folder), LINE_MODEL))
+    stages = tracking.registry(spark, base).select("run_id", "name", "version", "stage")
+    return tracking.runs(spark, base).join(stages, "run_id", "left").select(
+        "experiment", "run_name", "model_type", "cv_folds", "name", "version", "stage",
+        F.round(F.col("metrics")["rmse"], 4).alias("rmse"),
+        F.col("params")[f"{tracking.TUNED}regParam"].alias("reg_param"),
+        "signature",
+    )
+
+
+def forest_group_means(spark: SparkSession, folder: str) -> DataFrame:
+    """One deep tree on all rows and one feature of a few values predicts each value's mean."""
+    items = table(spark, folder, "lineitem").select(
+        F.col("l_linenumber").cast("double").alias("line"), F.col("l_quantity").alias("quantity")
+    )
+    prepare = training.preparation(["line"]).fit(items)
+    ready = prepare.transform(items).select("line", "features", "quantity")
+    tree = {"numTrees": 1, "bootstrap": False, "maxDepth": 7}
+    model = training.regressor(Family("forest", "forest", ()), "quantity", 42, tree).fit(ready)
+    scored = model.transform(ready)
+    return scored.groupBy("line").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.max("prediction"), 6).alias("prediction")
+    )
+
+
 def _nation_training(spark: SparkSession, folder: str, spec: ModelSpec) -> training.Training:
     master = store(star.master(spark, folder), "master")
     return training.train(master, spec)
@@ -95,6 +171,10 @@ def tracked_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "line_cv_scores": line_cv_scores,
+    "line_predictions": line_predictions,
+    "tracked_lines": tracked_lines,
+    "forest_group_means": forest_group_means,
     "linear_fit": linear_fit,
     "cv_scores": cv_scores,
     "validation_scores": validation_scores,

@@ -142,6 +142,24 @@ _CHECKS = {
     "all_rows": ("count(*)", 1_000_000),
 }
 
+# Line items for a line through quantity and price, fitted without each fold and as a whole.
+_LINES = """
+item AS (
+  SELECT l_orderkey, l_linenumber, l_extendedprice AS y,
+         CASE WHEN l_linestatus = 'F' THEN l_quantity END AS x,
+         l_orderkey % 5 > 0 AS train, l_orderkey % 3 AS fold
+  FROM lineitem),
+fold_means AS (
+  SELECT k, avg(x) AS mean FROM item, range(3) AS f(k) WHERE train AND fold <> k GROUP BY k),
+fold_fits AS (
+  SELECT k, any_value(mean) AS mean, regr_slope(y, coalesce(x, mean)) AS slope,
+         regr_intercept(y, coalesce(x, mean)) AS intercept
+  FROM item JOIN fold_means ON fold <> k WHERE train GROUP BY k),
+whole_fit AS (
+  SELECT any_value(mean) AS mean, regr_slope(y, coalesce(x, mean)) AS slope,
+         regr_intercept(y, coalesce(x, mean)) AS intercept
+  FROM item, (SELECT avg(x) AS mean FROM item WHERE train) WHERE train)"""
+
 ORACLE = {
     "entity_year_kpis": _with(_ALL, "SELECT * FROM master ORDER BY entity_id, year NULLS FIRST"),
     "reconcile_names": _with(
@@ -262,8 +280,60 @@ FROM versions v LEFT JOIN added a ON v.name = a.name
 UNION ALL
 SELECT name, version, run_id, 'Production' FROM added""",
     "partitioned_round_trip": """
+SELECT CASE WHEN l_linenumber < 7 THEN CAST(year(l_shipdate) AS INTEGER) END AS year,
+       count(*) AS n_rows, sum(l_quantity) AS sum_quantity, min(l_shipdate) AS first_date,
+       max(l_shipdate) AS last_date
+FROM lineitem GROUP BY 1""",
+    "pruned_years": """
 SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n_rows,
        sum(l_quantity) AS sum_quantity, min(l_shipdate) AS first_date, max(l_shipdate) AS last_date
+FROM lineitem WHERE l_linenumber < 7 AND year(l_shipdate) IN (1994, 1996) GROUP BY 1""",
+    "overwritten_years": """
+SELECT CASE WHEN l_linenumber < 7 THEN CAST(year(l_shipdate) AS INTEGER) END AS year,
+       count(*) AS n_rows, sum(l_quantity) AS sum_quantity, min(l_shipdate) AS first_date,
+       max(l_shipdate) AS last_date
+FROM lineitem WHERE l_linenumber = 1 OR l_linenumber = 7 OR year(l_shipdate) <> 1995
+GROUP BY 1""",
+    "text_columns": """
+SELECT count(*) AS n_rows,
+       'c_custkey,c_name,c_nationkey,c_acctbal,c_mktsegment' AS text_columns,
+       CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name)) AS BIGINT) AS n_characters
+FROM customer""",
+    "lookup_file": _with([_LOOKUP], "SELECT * FROM lookup"),
+    "quarantined_records": f"""
+SELECT CASE WHEN o_orderstatus = 'P' THEN 'corrupt' ELSE 'good' END AS kind, count(*) AS n_rows,
+       sum(CASE WHEN o_orderstatus <> 'P' THEN {_CENTS.format('o_totalprice')} END) AS sum_cents,
+       count(*) FILTER (o_orderstatus = 'P') AS n_spoiled
+FROM orders GROUP BY 1""",
+    "landed_round_trip": f"""
+SELECT c_mktsegment, count(*) AS n_rows, sum({_CENTS.format('c_acctbal')}) AS sum_cents,
+       max(c_custkey) AS last_customer
+FROM customer GROUP BY 1""",
+    "line_cv_scores": f"""
+WITH {_LINES},
+errors AS (
+  SELECT k, sqrt(avg((y - (slope * coalesce(x, mean) + intercept)) ** 2)) AS error
+  FROM item JOIN fold_fits ON fold = k WHERE train GROUP BY k)
+SELECT 'Item_Line_Prediction' AS experiment, 'LinearRegression' AS model_type,
+       round(avg(error), 4) AS avg_rmse, round(max(error) FILTER (k = 0), 4) AS fold_0,
+       round(max(error) FILTER (k = 1), 4) AS fold_1, round(max(error) FILTER (k = 2), 4) AS fold_2
+FROM errors""",
+    "line_predictions": f"""
+WITH {_LINES}
+SELECT l_orderkey, l_linenumber, round(slope * coalesce(x, mean) + intercept, 4) AS prediction
+FROM item, whole_fit WHERE NOT train""",
+    "tracked_lines": f"""
+WITH {_LINES}
+SELECT 'Item_Line_Prediction' AS experiment, 'Tune_and_Train_LinearRegression' AS run_name,
+       'LinearRegression' AS model_type, 3 AS cv_folds, 'ItemLinePredictor' AS name,
+       CAST(1 AS BIGINT) AS version, 'Production' AS stage,
+       round(sqrt(avg((y - (slope * coalesce(x, mean) + intercept)) ** 2)), 4) AS rmse,
+       '0.0' AS reg_param,
+       '{{"inputs": {{"quantity": "double"}}, "output": {{"prediction": "double"}}}}' AS signature
+FROM item, whole_fit WHERE NOT train""",
+    "forest_group_means": """
+SELECT CAST(l_linenumber AS DOUBLE) AS line, count(*) AS n_rows,
+       round(avg(l_quantity), 6) AS prediction
 FROM lineitem GROUP BY 1""",
     "sorted_preview": """
 SELECT o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 5""",
@@ -271,6 +341,7 @@ SELECT o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_ord
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n_orders,
        sum({_CENTS.format('o_totalprice')}) AS sum_cents,
        sum({_CENTS.format('c_acctbal')}) AS sum_balance_cents,
-       max(c_name) AS last_customer
+       max(c_custkey) AS last_customer,
+       count(*) FILTER (c_mktsegment = 'FURNITURE') AS n_furniture, max(o_orderdate) AS last_date
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from yearloom.functions import safe_double, year_from_filename
 from yearloom.operators import frames, panel, reconcile, registry
 from yearloom.session import scratch_path
 from yearloom.sources import landing, readers, writers
-from yearloom.specs import DatasetSpec, PeriodSpec
+from yearloom.specs import DatasetSpec, LookupSpec, PeriodSpec
 
 INCIDENT_LABEL, INCOME_LABEL = "incidence_count", "avg_income_index"
 
@@ -201,12 +202,22 @@ def registry_promote(spark, folder):
 
 
 def partitioned_round_trip(spark, folder):
-    """Line items written by ship year and read back, with the year from the directories."""
-    items = table(spark, folder, "lineitem").withColumn("year", F.year("l_shipdate"))
+    """Line items written by ship year and read back, with the year from the directories.
+
+    The year of seventh lines is not known.
+    """
     path = scratch_path(spark, "items-by-year")
-    writers.write_by_period(items, path)
-    stored = readers.read_table(spark, path, years=range(1900, 2101))
-    return stored.groupBy("year").agg(
+    writers.write_by_period(_items_by_year(spark, folder), path)
+    return _by_year(readers.read_table(spark, path))
+
+
+def _items_by_year(spark: SparkSession, folder: str) -> DataFrame:
+    year = F.when(F.col("l_linenumber") < 7, F.year("l_shipdate"))
+    return table(spark, folder, "lineitem").withColumn("year", year)
+
+
+def _by_year(items: DataFrame) -> DataFrame:
+    return items.groupBy("year").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("l_quantity").alias("sum_quantity"),
         F.min("l_shipdate").alias("first_date"),
@@ -214,6 +225,22 @@ def partitioned_round_trip(spark, folder):
     )
 
 
+def pruned_years(spark, folder):
+    """Two years of the line items; the other directories are not read."""
+    path = scratch_path(spark, "items-by-year")
+    writers.write_by_period(_items_by_year(spark, folder), path)
+    return _by_year(readers.read_table(spark, path, years=(1994, 1996)))
+
+
+def overwritten_years(spark, folder):
+    """Line items written twice, the second time the first lines of one year only."""
+    path, items = scratch_path(spark, "items-by-year"), _items_by_year(spark, folder)
+    writers.write_by_period(items, path, "orc")
+    again = items.where("year = 1995 AND l_linenumber = 1")
+    writers.write_by_period(again, path, "orc", overwrite=True, only_given=True)
+    return _by_year(readers.read_table(spark, path, "orc"))
+
+
 def sorted_preview(spark, folder):
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     return landing.preview(orders, 5, ["o_custkey", "o_orderkey"])
@@ -223,7 +250,7 @@ ORDER_FILES = DatasetSpec(
     name="orders",
     format="json",
     glob="orders/*",
-    schema="o_orderkey bigint, o_custkey bigint, o_totalprice double",
+    schema=star.SCHEMAS["orders"],
     name_column="o_custkey",
     period=PeriodSpec("filename", pattern=FILE_PATTERN),
 )
@@ -231,7 +258,7 @@ CUSTOMER_FILES = DatasetSpec(
     name="customers",
     format="csv",
     glob="customers/*.csv",
-    schema="c_custkey bigint, c_name string, c_nationkey int, c_acctbal double",
+    schema=star.SCHEMAS["customer"],
     name_column="c_name",
     period=PeriodSpec("column", ("c_nationkey",)),
 )
@@ -243,16 +270,12 @@ def csv_json_round_trip(spark, folder):
     The year of an order comes from the path of its file.
     """
     base = scratch_path(spark, "landing")
-    order_files = table(spark, folder, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        "o_totalprice",
-        F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd").alias("snapshot"),
+    snapshot = F.date_format(F.trunc("o_orderdate", "month"), "yyyy_MM_dd")
+    order_files = table(spark, folder, "orders").withColumn(
+        "snapshot", F.concat(snapshot, F.lit("_orders.json"))
     )
-    order_files = order_files.withColumn("snapshot", F.concat("snapshot", F.lit("_orders.json")))
     writers.by_period(order_files, "snapshot").write.partitionBy("snapshot").json(f"{base}/orders")
-    customer_files = table(spark, folder, "customer").drop("c_mktsegment")
-    writers.write_table(customer_files, f"{base}/customers", "csv")
+    writers.write_table(table(spark, folder, "customer"), f"{base}/customers", "csv")
 
     landed = readers.read_landing(spark, [ORDER_FILES, CUSTOMER_FILES], base)
     orders = reconcile.with_period(landed["orders"], ORDER_FILES.period)
@@ -263,11 +286,85 @@ def csv_json_round_trip(spark, folder):
             F.count(F.lit(1)).alias("n_orders"),
             F.sum(star.cents("o_totalprice")).alias("sum_cents"),
             F.sum(star.cents("c_acctbal")).alias("sum_balance_cents"),
-            F.max("c_name").alias("last_customer"),
+            F.max("c_custkey").alias("last_customer"),
+            F.count_if(F.col("c_mktsegment") == "FURNITURE").alias("n_furniture"),
+            F.max("o_orderdate").alias("last_date"),
         )
     )
 
 
+def text_columns(spark, folder):
+    """The customers' CSV read without a schema: every column is text."""
+    base = scratch_path(spark, "landing")
+    writers.write_table(table(spark, folder, "customer"), f"{base}/customers", "csv")
+    rows = readers.preview_dataset(spark, CUSTOMER_FILES, base)
+    texts = [f.name for f in rows.schema.fields if f.dataType.simpleString() == "string"]
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.lit(",".join(texts)).alias("text_columns"),
+        F.sum(F.length("c_custkey") + F.length("c_name")).alias("n_characters"),
+    )
+
+
+LOOKUP_FILE = LookupSpec(
+    file="nations/*.csv",
+    name_column=NAME,
+    id_column=ENTITY,
+    schema=f"{NAME} string, {ENTITY} string",
+)
+
+
+def lookup_file(spark, folder):
+    """The lookup of names, written as CSV and read back."""
+    base = scratch_path(spark, "lookup")
+    writers.write_table(star.lookup_rows(spark, folder), f"{base}/nations", "csv")
+    raw = readers.read_lookup(spark, LOOKUP_FILE, base)
+    found = reconcile.name_lookup(raw, LOOKUP_FILE.name_column, LOOKUP_FILE.id_column)
+    return found.withColumnRenamed(found.columns[0], "name_key")
+
+
+CHECKED_FILES = replace(ORDER_FILES, corrupt_column="bad_record")
+
+
+def quarantined_records(spark, folder):
+    """Orders as JSON, those of status P with text for a price; what fits and what does not."""
+    base = scratch_path(spark, "landing")
+    bad = F.when(F.col("o_orderstatus") == "P", F.lit("n/a"))
+    price = F.coalesce(bad, F.col("o_totalprice").cast("string"))
+    plain = F.to_json(F.struct(*star.table(spark, folder, "orders").columns))
+    spoiled = F.to_json(F.struct("o_orderkey", "o_orderstatus", price.alias("o_totalprice")))
+    lines = table(spark, folder, "orders").select(F.coalesce(F.when(bad.isNotNull(), spoiled), plain))
+    lines.write.text(f"{base}/orders")
+    landed = readers.read_dataset(spark, CHECKED_FILES, base)
+    good = readers.good_records(landed, CHECKED_FILES)
+    corrupt = readers.corrupt_records(landed, CHECKED_FILES)
+    kinds = [
+        good.select(F.lit("good").alias("kind"), "o_totalprice", F.lit(None).cast("string").alias("record")),
+        corrupt.select(F.lit("corrupt").alias("kind"), F.lit(None).cast("double").alias("o_totalprice"), "record"),
+    ]
+    return kinds[0].unionByName(kinds[1]).groupBy("kind").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(star.cents("o_totalprice")).alias("sum_cents"),
+        F.count_if(F.contains("record", F.lit("n/a"))).alias("n_spoiled"),
+    )
+
+
+def landed_round_trip(spark, folder):
+    """Customers as CSV files, landed as ranges of bytes, restored to files, and parsed."""
+    base = scratch_path(spark, "source")
+    writers.write_table(table(spark, folder, "customer"), f"{base}/customers", "csv")
+    landed = scratch_path(spark, "landed")
+    landing.ingest_raw(spark, {"customers": f"{base}/customers/*.csv"}, landed)
+    restored = scratch_path(spark, "restored")
+    files = landing.restore_files(spark.read.parquet(f"{landed}/customers/raw"), restored)
+    assert files.count() > 0
+    return readers.read_dataset(spark, CUSTOMER_FILES, restored).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(star.cents("c_acctbal")).alias("sum_cents"),
+        F.max("c_custkey").alias("last_customer"),
+    )
+
+
 QUERIES = {
     "entity_year_kpis": entity_year_kpis,
     "reconcile_names": reconcile_names,
@@ -293,6 +390,12 @@ QUERIES = {
     "champion_runs": champion_runs,
     "registry_promote": registry_promote,
     "partitioned_round_trip": partitioned_round_trip,
+    "pruned_years": pruned_years,
+    "overwritten_years": overwritten_years,
+    "text_columns": text_columns,
+    "lookup_file": lookup_file,
+    "quarantined_records": quarantined_records,
+    "landed_round_trip": landed_round_trip,
     "sorted_preview": sorted_preview,
     "csv_json_round_trip": csv_json_round_trip,
 }

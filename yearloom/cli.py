@@ -22,14 +22,14 @@ def run_preview(spark: SparkSession, source_base: str) -> None:
     """Schema, row count, column profile and five rows of each dataset."""
     for spec in city.DATASETS:
         df = readers.preview_dataset(spark, spec, source_base)
-        log.info("=== %s ===", spec.name)
+        log.info("Dataset %s, read from %s", spec.name, spec.glob)
         df.printSchema()
         landing.profile(df).show(len(df.columns), truncate=False)
         landing.preview(df).show(truncate=False)
 
 
 def run_copy(spark: SparkSession, source_base: str, landing_base: str, overwrite: bool) -> None:
-    globs = {spec.name: f"{source_base}/{spec.name}/*" for spec in city.DATASETS}
+    globs = {spec.name: f"{source_base}/{spec.glob}" for spec in city.DATASETS}
     landing.ingest_raw(spark, globs, landing_base, overwrite)
 
 
@@ -106,7 +106,7 @@ def _parser() -> argparse.ArgumentParser:
 
     land = stages.add_parser("land", help="look at raw files or bring them into the landing zone")
     land.add_argument("--source-base", "-s", required=True)
-    land.add_argument("--landing-base", "-l", default="./project_data/landing")
+    land.add_argument("--landing-base", "-l", help="needed to copy")
     land.add_argument("--mode", "-m", choices=["preview", "copy"], default="preview")
     land.add_argument("--overwrite", action="store_true")
 
@@ -139,9 +139,12 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     """Run one stage.  A session that was passed in is not stopped."""
-    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)-8s %(message)s")
+    logging.basicConfig(level=logging.INFO, format="%(name)s: %(message)s")
     logging.getLogger("py4j").setLevel(logging.WARNING)
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if args.stage == "land" and args.mode == "copy" and not args.landing_base:
+        parser.error("land --mode copy needs --landing-base")
     session = spark or build_session(f"yearloom-{args.stage}")
     try:
         _run(session, args)
@@ -162,7 +165,7 @@ def _run(spark: SparkSession, args: argparse.Namespace) -> None:
             args.lookup_base,
             args.formatted_base,
             args.format,
-            args.overwrite,
+            args.overwrite or getattr(args, "only_given_years", False),
             getattr(args, "only_given_years", False),
         )
     if args.stage in ("exploit", "all"):

@@ -24,12 +24,14 @@ log = logging.getLogger(__name__)
 RUNS = (
     "experiment string, run_id string, run_name string, run_order int, model_type string, "
     "params map<string,string>, metrics map<string,double>, model_path string, "
-    "signature string, logged_at timestamp"
+    "signature string, cv_folds int, logged_at timestamp"
 )
 VERSIONS = (
     "name string, version bigint, run_id string, stage string, change bigint, "
     "changed_at timestamp"
 )
+# The beginnings of run names and of the names of tuned parameters.
+RUN_NAME, TUNED = "Tune_and_Train_", "best_"
 _STATE = ["name", "version", "run_id", "stage"]
 
 
@@ -84,13 +86,14 @@ def log_training(spark: SparkSession, base: str, training: Training) -> list[str
         row = (
             training.spec.experiment,
             c.run_id,
-            f"Tune_and_Train_{c.family}",
+            f"{RUN_NAME}{c.family}",
             c.order,
             c.family,
-            {f"best_{k}": v for k, v in c.settings.items()},
+            {f"{TUNED}{k}": v for k, v in c.settings.items()},
             {} if c.rmse is None else {"rmse": float(c.rmse)},
             path,
             signature(c),
+            len(training.folds),
             datetime.now(timezone.utc),
         )
         rows.append(row)

@@ -1,8 +1,9 @@
 """Cross-validated regression on a frame of rows with keys, features and a label.
 
-The frame is laid out once by its keys and kept; split and folds are hashes of the
-keys.  So the same rows give the same models, however the input was laid out, and a
-task that runs twice sees the same rows in the same order.
+The frame is laid out once by its rows, in a declared number of tasks, and kept; split
+and folds are hashes of the keys, or given expressions.  So the same rows give the same
+models, whatever the input's layout and the session's settings, and a task that runs twice
+sees the same rows in the same order.
 
 Per fold, missing values are imputed and the vector is assembled once, and all grid
 points of all families are fitted on that frame and scored in one pass.
@@ -32,8 +33,6 @@ log = logging.getLogger(__name__)
 
 _SPLIT, _FOLD = "__split", "__fold"
 TRAIN, VALIDATION = "train", "validation"
-PARALLEL_ROWS = 5_000_000
-UNEVEN, SMALL_TASK = 4, 10_000  # tasks may differ by this factor, or this many rows
 
 
 @dataclass(frozen=True)
@@ -68,6 +67,7 @@ class GridPoint:
 class Training:
     spec: ModelSpec
     rows: dict[str, int]
+    folds: list[int]  # that had rows and were used
     grid: list[GridPoint]
     candidates: list[Candidate]
 
@@ -83,32 +83,30 @@ def model_frame(df: DataFrame, spec: ModelSpec) -> DataFrame:
     numbers = [*dict.fromkeys([*spec.features, spec.label])]
     keys = list(spec.keys)
     complete = frames.complete_rows(df, list(spec.required))
-    split = frames.key_split(complete, keys, spec.train_percent, spec.seed, name=_SPLIT)
-    marked = split.withColumn(_FOLD, frames.key_bucket(keys, spec.seed + 1, spec.folds))
+    if spec.split is None:
+        split = frames.key_split(complete, keys, spec.train_percent, spec.seed, name=_SPLIT)
+    else:
+        part = F.when(F.expr(spec.split), TRAIN).otherwise(VALIDATION)
+        split = complete.withColumn(_SPLIT, part)
+    hashed = frames.key_bucket(keys, spec.seed + 1, spec.folds)
+    marked = split.withColumn(_FOLD, F.expr(spec.fold).cast("int") if spec.fold else hashed)
     for key in keys:  # a key may also be a feature
         marked = marked.withColumn(f"__key_{key}", F.col(f"`{key}`"))
     return frames.as_doubles(marked, numbers)
 
 
 def _laid_out(marked: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Keys, features, label and marks in an even layout that only depends on the keys.
+    """Features, label and marks in a layout that only depends on the rows.
 
-    Keys should identify rows.  If instead some hold so many rows that their tasks would
-    be much larger than the others, the frame is stored and its files are the layout.
+    Each row goes to one of ``spec.partitions`` tasks by a hash of its keys, features and
+    label, and is sorted there, so neither the input's layout nor the session's settings
+    change what trees are sampled.  Rows that share keys are spread; full copies are not.
     """
     keys = [f"__key_{k}" for k in spec.keys]
     numbers = [*dict.fromkeys([*spec.features, spec.label])]
     frame = marked.select(*keys, *numbers, _SPLIT, _FOLD)
-    most = spec.partitions or int(marked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    task = F.pmod(F.xxhash64(*keys), F.lit(most)).alias("task")
-    per_task = frame.groupBy(task).agg(F.count(F.lit(1)).alias("rows"))
-    largest, total = per_task.agg(F.max("rows"), F.sum("rows")).first()
-    if total and largest > UNEVEN * total / most + SMALL_TASK:
-        frame = store(frame, "model-frame")
-    else:
-        needed = 1 + (total or 0) // SMALL_TASK
-        frame = frame.repartition(spec.partitions or min(most, needed), *keys)
-    return frame.sortWithinPartitions(*keys, *numbers).drop(*keys)
+    laid = frame.repartition(spec.partitions, *keys, *numbers)
+    return laid.sortWithinPartitions(*keys, *numbers).drop(*keys)
 
 
 @dataclass(frozen=True)
@@ -147,10 +145,20 @@ def _census(frame: DataFrame, spec: ModelSpec) -> _Census:
 
 def _usable_folds(census: _Census) -> list[int]:
     """Folds with rows of their own and rows outside."""
-    folds = sorted(census.fold_rows)
+    folds = sorted(f for f in census.fold_rows if f is not None)
     return folds if len(folds) > 1 else []
 
 
+def _warn_of_folds(spec: ModelSpec, folds: list[int]) -> None:
+    if not folds:
+        log.warning(
+            "%s: fewer than two folds have rows, so nothing is cross-validated and each "
+            "family's first grid point is taken", spec.experiment,
+        )
+    elif len(folds) < spec.folds:
+        log.warning("%s: only %d of %d folds have rows", spec.experiment, len(folds), spec.folds)
+
+
 def _apply_null_policy(frame: DataFrame, spec: ModelSpec, census: _Census):
     """Deal with features that have no value in the whole or in some fold's training part."""
     folds = _usable_folds(census)
@@ -214,13 +222,8 @@ def _errors(models: list, frame: DataFrame, label: str) -> list[float | None]:
     return list(row)
 
 
-def _workers(spec: ModelSpec, rows: int) -> int:
-    """Fits at a time.  A fit on many rows fills the cluster, and each keeps a copy of them."""
-    return spec.parallelism if rows <= PARALLEL_ROWS else 1
-
-
 def _cross_validate(
-    frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], workers: int
+    frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int]
 ) -> list[GridPoint]:
     points = [(family, params) for family in spec.families for params in grid_points(family)]
     estimators = [regressor(f, spec.label, spec.seed, params) for f, params in points]
@@ -232,7 +235,7 @@ def _cross_validate(
         ready = prepare.transform(inside).select("features", spec.label)
         ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            models = _fit_all(estimators, ready, workers)
+            models = _fit_all(estimators, ready, spec.parallelism)
             held_out = prepare.transform(outside).select("features", spec.label)
             per_fold.append(_errors(models, held_out, spec.label))
         finally:
@@ -269,8 +272,9 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     if census.rows[TRAIN] == 0:
         raise ValueError(f"no rows to train {spec.experiment} on")
     frame, features = _apply_null_policy(frame, spec, census)
-    workers = _workers(spec, total)
-    grid = _cross_validate(frame, spec, features, _usable_folds(census), workers)
+    folds = _usable_folds(census)
+    _warn_of_folds(spec, folds)
+    grid = _cross_validate(frame, spec, features, folds)
 
     rows = frame.where(F.col(_SPLIT) == TRAIN)
     prepare = preparation(features).fit(rows)
@@ -281,7 +285,7 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
         models = _fit_all(
             [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
             ready,
-            workers,
+            spec.parallelism,
         )
     finally:
         ready.unpersist()
@@ -310,7 +314,7 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
                 validation=score(whole, source),
             )
         )
-    return Training(spec, census.rows, grid, candidates)
+    return Training(spec, census.rows, folds, grid, candidates)
 
 
 def _settings(estimator: Estimator, model: Model) -> dict[str, str]:

@@ -11,11 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def build_session(app_name: str) -> SparkSession:
     """Session for the command line; master and sizes come from spark-submit."""
-    spark = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    spark = SparkSession.builder.appName(app_name).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -23,13 +19,14 @@ def build_session(app_name: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing, a local master gets a fresh temporary folder;
-    a cluster must name a folder that all executors reach.
+    Where the setting is missing, a master that runs in one process gets a fresh temporary
+    folder; a cluster, on one machine or many, must name a folder that all executors reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder()
 

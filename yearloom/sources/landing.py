@@ -6,8 +6,12 @@ bytes is read by many tasks and never held whole in memory.
 
 from __future__ import annotations
 
+import functools
+import hashlib
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
+from functools import reduce
+from itertools import groupby
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -19,7 +23,7 @@ from yearloom.sources.readers import raw_files
 NESTED = ("struct", "array", "map", "variant")
 RANGE_BYTES = 8 * 1024 * 1024
 TASK_BYTES = 64 * 1024 * 1024
-MAX_TASKS = 50_000
+BLOCK_BYTES = 1024 * 1024
 
 _RANGES = (
     "dataset string, path string, file_name string, modification_time timestamp, "
@@ -30,57 +34,74 @@ _RANGES = (
 def raw_manifest(spark: SparkSession, globs: dict[str, str]) -> DataFrame:
     """One row per file of each dataset: where it is, how long, when changed.
 
-    Spark's file scans leave out files without any byte.
+    Spark's file scans leave out files without any byte; those are added from its list of
+    files, without a time.
     """
-    parts = [
-        raw_files(spark, glob).select(
-            F.lit(dataset).alias("dataset"),
-            "path",
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
-            F.col("modificationTime").alias("modification_time"),
-            "length",
-        )
-        for dataset, glob in globs.items()
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    parts = [_files_of(spark, dataset, glob) for dataset, glob in globs.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _files_of(spark: SparkSession, dataset: str, glob: str) -> DataFrame:
+    files = raw_files(spark, glob)
+    # Spark's driver holds the list of files in any case; their bytes are not looked at.
+    listed = spark.createDataFrame([(unquote(p),) for p in files.inputFiles()], "listed string")
+    place = lambda path: F.regexp_replace(path, "^([a-z0-9]+):/+", "$1:/")
+    empty = listed.join(files, place(F.col("listed")) == place(F.col("path")), "left_anti").select(
+        F.col("listed").alias("path"),
+        F.lit(None).cast("timestamp").alias("modificationTime"),
+        F.lit(0).cast("long").alias("length"),
+    )
+    return files.unionByName(empty).select(
+        F.lit(dataset).alias("dataset"),
+        "path",
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("modificationTime").alias("modification_time"),
+        "length",
+    )
 
 
 def raw_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The bytes of the files, one row per range, with the digest of each range.
 
-    The number of tasks follows from the number of bytes.  It is set, because adaptive
-    execution would judge the ranges by the size of their descriptions.
+    A file without bytes has one empty range.  The number of tasks follows from the number
+    of bytes.  It is set, because adaptive execution would judge the ranges by the size of
+    their descriptions.
     """
     total = manifest.agg(F.sum("length")).first()[0] or 0
-    tasks = min(max(1, -(-total // TASK_BYTES)), MAX_TASKS)
     step = F.lit(range_bytes).cast("long")
-    offsets = F.sequence(F.lit(0).cast("long"), F.col("length") - 1, step)
+    last = F.greatest(F.col("length") - 1, F.lit(0).cast("long"))
     ranges = manifest.select(
-        "*", F.posexplode(offsets).alias("range_no", "offset")
+        "*", F.posexplode(F.sequence(F.lit(0).cast("long"), last, step)).alias("range_no", "offset")
     ).withColumn("size", F.least(F.lit(range_bytes), F.col("length") - F.col("offset")))
-    spread = ranges.repartition(tasks, "path", "range_no")
+    tasks = max(1, -(-total // TASK_BYTES))
+    spread = ranges.repartition(tasks, "path", "range_no").sortWithinPartitions("path", "range_no")
     return spread.mapInArrow(_read_ranges, _RANGES).withColumn(
         "sha256", F.sha2("content", 256)
     )
 
 
 def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ranges of a file stand together, so a task opens each file once."""
     for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1)
-            system, path = _file_system(row.column("path")[0].as_py())
-            with system.open_input_file(path) as file:
-                content = file.read_at(
-                    row.column("size")[0].as_py(), row.column("offset")[0].as_py()
-                )
-            names = [name for name in row.schema.names if name != "size"]
-            columns = [row.column(name) for name in names]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([content], pa.binary())], [*names, "content"]
-            )
+        names = [name for name in batch.schema.names if name != "size"]
+        rows = zip(*(batch.column(c).to_pylist() for c in ("path", "offset", "size")), strict=True)
+        for path, own in groupby(enumerate(rows), key=lambda row: row[1][0]):
+            system, place = _file_system(path)
+            with system.open_input_file(place) as file:
+                for i, (_, offset, size) in own:
+                    columns = [batch.slice(i, 1).column(name) for name in names]
+                    content = pa.array([file.read_at(size, offset)], pa.binary())
+                    yield pa.RecordBatch.from_arrays([*columns, content], [*names, "content"])
+
+
+@functools.cache
+def _system_of(start: str) -> pyarrow.fs.FileSystem:
+    """Made once per worker process.
+
+    Works for file, hdfs, s3 (s3a), gs and abfs paths, with the credentials that the
+    executors' environment gives; ``s3a`` settings of the Spark session do not count here.
+    """
+    return pyarrow.fs.FileSystem.from_uri(start)[0]
 
 
 def _file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -88,13 +109,87 @@ def _file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     if scheme == "file":
         return pyarrow.fs.LocalFileSystem(), "/" + rest.lstrip("/")
     scheme = {"s3a": "s3"}.get(scheme, scheme)
-    return pyarrow.fs.FileSystem.from_uri(f"{scheme}:{quote(rest)}")
+    host, _, inside = rest.lstrip("/").partition("/")
+    place = f"{host}/{inside}" if scheme in ("s3", "gs", "gcs") else f"/{inside}"
+    return _system_of(f"{scheme}://{quote(host)}/"), place
+
+
+def file_digests(manifest: DataFrame) -> DataFrame:
+    """The SHA-256 digest of each whole file (``sha256``), as publishers give it.
+
+    A digest runs through its file from start to end, so each file is one task's work, read
+    in blocks; files are spread over tasks.
+    """
+    total = manifest.agg(F.sum("length")).first()[0] or 0
+    spread = manifest.repartition(max(1, -(-total // TASK_BYTES)), "path")
+    kinds = {f.name: f.dataType.simpleString() for f in manifest.schema.fields}
+    schema = ", ".join(f"{name} {kind}" for name, kind in kinds.items()) + ", sha256 string"
+    return spread.mapInArrow(_digest_files, schema)
+
+
+def _digest_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for path in batch.column("path").to_pylist():
+            system, place = _file_system(path)
+            digest = hashlib.sha256()
+            with system.open_input_stream(place) as file:
+                while block := file.read(BLOCK_BYTES):
+                    digest.update(block)
+            digests.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(digests)], [*batch.schema.names, "sha256"]
+        )
+
+
+def restore_files(ranges: DataFrame, target: str) -> DataFrame:
+    """Write landed ranges back as files ``<target>/<dataset>/<file_name>``; gives a row per file.
+
+    ``target`` is a folder that all executors reach.  A file is written by one task, range
+    after range, so only one range is in memory.  A task that runs again writes the same
+    file anew.  Files of one dataset that share a name are an error.
+    """
+    clash = ranges.where("range_no = 0").groupBy("dataset", "file_name").count().where("count > 1")
+    if not clash.isEmpty():
+        raise ValueError("files of one dataset share a name")
+    total = ranges.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+    placed = ranges.select("dataset", "file_name", "range_no", "content").repartition(
+        max(1, -(-total // TASK_BYTES)), "dataset", "file_name"
+    )
+    ordered = placed.sortWithinPartitions("dataset", "file_name", "range_no")
+    return ordered.mapInArrow(
+        lambda batches: _write_files(batches, target), "dataset string, path string, length bigint"
+    )
+
+
+def _write_files(batches: Iterator[pa.RecordBatch], target: str) -> Iterator[pa.RecordBatch]:
+    at, stream, done, length = None, None, [], 0
+
+    def finish() -> None:
+        if stream is not None:
+            stream.close()
+            done.append((at[0], "/".join((target, *at)), length))
+
+    for batch in batches:
+        names = zip(batch.column("dataset").to_pylist(), batch.column("file_name").to_pylist(), strict=True)
+        for own, content in zip(names, batch.column("content"), strict=True):
+            if own != at:
+                finish()
+                at, length = own, 0
+                system, folder = _file_system(f"{target}/{own[0]}" if ":" in target else f"file:{target}/{own[0]}")
+                system.create_dir(folder, recursive=True)
+                stream = system.open_output_stream(f"{folder}/{own[1]}")
+            stream.write(content.as_buffer())
+            length += len(content.as_buffer())
+    finish()
+    for row in done:
+        yield pa.RecordBatch.from_pylist([dict(zip(("dataset", "path", "length"), row, strict=True))])
 
 
 def ingest_raw(
     spark: SparkSession, globs: dict[str, str], landing_base: str, overwrite: bool = False
 ) -> None:
-    """Store each dataset's files under ``<landing_base>/<dataset>/raw``."""
+    """Store each dataset's files under ``<landing_base>/<dataset>/raw``; see ``restore_files``."""
     mode = "overwrite" if overwrite else "errorifexists"
     for dataset, glob in globs.items():
         ranges = raw_ranges(raw_manifest(spark, {dataset: glob}))

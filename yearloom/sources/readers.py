@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from yearloom.operators.joins import holds_map
 from yearloom.specs import DatasetSpec, LookupSpec
 
 CSV_OPTIONS = {
@@ -18,42 +19,60 @@ CSV_OPTIONS = {
 }
 
 
-SPLIT_BYTES = 128 * 1024 * 1024  # files up to this size are read by one task anyway
-
-
 def raw_files(spark: SparkSession, glob: str, recursive: bool = False) -> DataFrame:
     """``path``, ``modificationTime`` and ``length`` of the files; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     return reader.load(glob).select("path", "modificationTime", "length")
 
 
-def needs_multi_line(spark: SparkSession, glob: str) -> bool:
-    """Whether CSV records may hold line breaks, which makes a file one unsplittable task.
+def read_dataset(spark: SparkSession, spec: DatasetSpec, base: str) -> DataFrame:
+    """The raw rows of one dataset, as declared by its schema.
 
-    Files below the split size are one task anyway, so the multi-line reader costs
-    nothing.  For larger ones, a record with a line break starts with a line that
-    leaves a quote open, that is, one with an odd number of quotes.  If no line is
-    like that, lines are records and files can be split.
+    A JSON array on one line is one record to Spark, and so is a CSV file whose fields may
+    hold line breaks: such a file is read by one task.  Large arrays are better landed with
+    one object per line, large CSV files without line breaks (``multi_line=False``).
     """
-    largest = raw_files(spark, glob).agg(F.max("length")).first()[0] or 0
-    return largest <= SPLIT_BYTES or open_quotes(spark, glob)
+    options = {"mode": "FAILFAST"}
+    schema = spec.schema
+    if spec.format == "csv":
+        options = CSV_OPTIONS | {"multiLine": spec.multi_line}
+    if spec.corrupt_column:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": spec.corrupt_column}
+        schema += f", `{spec.corrupt_column}` string"
+    reader = spark.read.schema(schema).options(**(options | spec.options))
+    return reader.format(spec.format).load(f"{base}/{spec.glob}")
 
 
-def open_quotes(spark: SparkSession, glob: str) -> bool:
-    """Whether some line has an odd number of quotes."""
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return not spark.read.text(glob).where(quotes % 2 == 1).isEmpty()
+def _corrupt_text(df: DataFrame, spec: DatasetSpec) -> Column:
+    """The text of a record that does not fit the schema, else null.
 
+    Spark parses the columns that a query asks for, and finds faults in those alone, so the
+    text refers to all of them, in a condition that is never true.
+    """
+    others = [f.name for f in df.schema.fields if not holds_map(f.dataType)]
+    row = F.xxhash64(*[f"`{c}`" for c in others if c != spec.corrupt_column])
+    return F.coalesce(F.col(f"`{spec.corrupt_column}`"), F.when((row == 1) & (row == 2), F.lit("")))
 
-def read_dataset(spark: SparkSession, spec: DatasetSpec, base: str) -> DataFrame:
-    """The raw rows of one dataset, as declared by its schema."""
-    glob = f"{base}/{spec.glob}"
-    reader = spark.read.schema(spec.schema)
-    if spec.format == "csv":
-        options = CSV_OPTIONS | {"multiLine": needs_multi_line(spark, glob)} | spec.options
-        return reader.options(**options).csv(glob)
-    return reader.options(**spec.options).format(spec.format).load(glob)
+
+def good_records(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The records that fit the schema, without the column for those that don't."""
+    return df.where(_corrupt_text(df, spec).isNull()).drop(spec.corrupt_column)
+
+
+def corrupt_records(df: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The text (``record``) and the file of the records that don't fit the schema."""
+    rows = df.select(
+        _corrupt_text(df, spec).alias("record"), F.col("_metadata.file_name").alias("file_name")
+    )
+    return rows.where(F.col("record").isNotNull())
+
+
+def undeclared_fields(spark: SparkSession, spec: DatasetSpec, base: str) -> list[str]:
+    """Top-level JSON fields that some file has and the schema does not; reads all files."""
+    reader = spark.read.options(**(spec.options | {"samplingRatio": 1.0}))
+    found = reader.format(spec.format).load(f"{base}/{spec.glob}").columns
+    declared = {c.lower() for c in spark.createDataFrame([], spec.schema).columns}
+    return [c for c in found if c.lower() not in declared]
 
 
 def read_landing(

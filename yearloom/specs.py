@@ -31,7 +31,12 @@ class PeriodSpec:
 
 @dataclass(frozen=True)
 class DatasetSpec:
-    """One raw dataset: where it lies, its schema (DDL text), how to format it."""
+    """One raw dataset: where it lies, its schema (DDL text), how to format it.
+
+    ``multi_line`` says that fields of a CSV file may hold line breaks; then a file is one
+    task.  A record that does not fit the schema is an error, unless ``corrupt_column``
+    names a column that takes its text; such a record has NULL in the other columns.
+    """
 
     name: str
     format: str
@@ -40,6 +45,8 @@ class DatasetSpec:
     name_column: str
     period: PeriodSpec
     options: dict = field(default_factory=dict)
+    multi_line: bool = True
+    corrupt_column: str | None = None
 
 
 @dataclass(frozen=True)
@@ -124,8 +131,10 @@ class ModelSpec:
     ``keys`` identify a row; split and folds are hashes of them.
     ``all_null`` says what to do with a feature that has no value in some
     training part: ``"raise"``, ``"drop"`` the feature, or fill it with
-    ``"zero"``.  ``partitions`` fixes the layout of the training frame, on
-    which tree sampling depends; ``None`` takes the session's shuffle setting.
+    ``"zero"``.  ``partitions`` is the number of tasks that the rows of the training frame are
+    hashed to; tree sampling depends on it, so it is part of the run id.  ``split`` and ``fold``
+    may give SQL expressions in place of the hashes: whether a row is trained on, and the
+    number of its fold.
     """
 
     experiment: str
@@ -140,8 +149,10 @@ class ModelSpec:
     train_percent: int = 80
     seed: int = 42
     all_null: str = "raise"
-    partitions: int | None = None
+    partitions: int = 32
     parallelism: int = 4
+    split: str | None = None
+    fold: str | None = None
 
     def __post_init__(self):
         if self.all_null not in ("raise", "drop", "zero"):
