@@ -135,6 +135,11 @@ def test_each_fact_is_scanned_once_and_only_aggregates_are_combined(spark, folde
 
     text = plan(star.master(spark, folder))
     assert text.count("lineitem.parquet") == 1
+    # Items by supplier, by name; orders by name; customers and years distinct, then by name;
+    # and all states by entity.  What else is shuffled or sent belongs to joins.
+    grouped = [x for x in text.split("\n") if "Exchange hashpartitioning" in x]
+    assert len([x for x in grouped if "key" not in x]) <= 8
+    assert "SortAggregate" not in text
     for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "UDF"):
         assert forbidden not in text
 

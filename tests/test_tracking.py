@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from yearloom.operators.registry import champions
 from yearloom.operators import registry as ops
 from yearloom.plans import tracking, training
 from yearloom.specs import Family, ModelSpec
@@ -114,3 +115,15 @@ def test_promote(spark, fits):
         ("m", 4): "Staging",
         ("n", 1): "Production",
     }
+
+
+def test_champions_are_found_by_hash_aggregates(spark, plan):
+    rows = [
+        ("a", 1, "r1", 2.0), ("a", 2, "r2", 2.0), ("a", 3, "r3", float("nan")), ("a", 4, "r4", None),
+        ("b", 1, "r5", float("inf")), (None, 2, "r6", 5.0), (None, 1, "r7", 5.0), ("c", 1, "r8", 0.0),
+    ]
+    runs = spark.createDataFrame(rows, "experiment string, run_order int, run_id string, rmse double")
+    best = champions(runs)
+    assert {(r["experiment"], r["run_id"]) for r in best.collect()} == {("a", "r1"), (None, "r7"), ("c", "r8")}
+    assert best.columns == runs.columns
+    assert "HashAggregate" in plan(best)

@@ -10,9 +10,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from yearloom import cli
+from yearloom import cli, session
 from yearloom.plans import city, zones
-from yearloom.sources import readers, writers
+from yearloom.sources import landing, readers, writers
 
 SAMPLE = os.environ.get("CITY_ZONES", "")
 
@@ -199,25 +199,63 @@ def test_preview_stage(spark, base, capfd):
 
 
 def test_required_arguments():
-    for arguments in (["format"], ["exploit", "-f", "x"], ["land"], ["train"]):
+    for arguments in (["format"], ["exploit", "-f", "x"], ["land"], ["land", "-s", "x", "-m", "copy"], ["train"]):
         with pytest.raises(SystemExit):
             cli.main(arguments)
 
 
-@pytest.mark.skipif(not os.path.isdir(SAMPLE), reason="sample data is not here")
-def test_sample_data(spark, tmp_path):
-    _, master_path = stages(spark, SAMPLE, tmp_path, "parquet")
-    master = spark.read.parquet(master_path)
-    counts = master.agg(
-        F.count("*"), F.count("incidence_count"), F.sum("incidence_count"),
-        F.count("avg_income_index"), F.sum("avg_income_index"), F.count("avg_price"),
-    ).first()
-    assert tuple(counts)[:4] == (151, 80, 462, 100) and counts[5] == 16
-    assert counts[4] == pytest.approx(10155.35331168831, rel=1e-12)
-    rows = {r["year"]: r for r in master.where("district_id = 'Q753075'").collect()}
-    assert rows[2020]["avg_price"] == pytest.approx(316227.9569892473, rel=1e-12)
-    assert rows[2021]["property_count"] == 7
-    assert (rows[2014]["avg_price"], rows[2014]["property_count"]) == (307592.0, 100)
-    incidents = city.INCIDENT_MODEL.required
-    assert master.dropna(subset=list(incidents)).count() == 29
-    assert master.dropna(subset=list(city.INCOME_MODEL.required)).count() == 3
+def test_copied_files_can_be_formatted(spark, base, tmp_path):
+    """Landed as ranges, restored, and formatted: the same master table."""
+    landed, restored = f"{tmp_path}/landed", f"{tmp_path}/restored"
+    cli.main(["land", "-s", f"{base}/landing", "-l", landed, "-m", "copy"], spark)
+    for name in ("idealista", "incidences", "income"):
+        files = landing.restore_files(spark.read.parquet(f"{landed}/{name}/raw"), restored)
+        assert files.count() == len(os.listdir(base / "landing" / name))
+    (tmp_path / "zones").mkdir()
+    (tmp_path / "zones" / "landing").symlink_to(restored)
+    (tmp_path / "zones" / "lookup").symlink_to(base / "lookup")
+    _, master = stages(spark, tmp_path / "zones", tmp_path / "out", "parquet")
+    rows = readers.read_table(spark, master).collect()
+    assert {tuple(r)[:2]: tuple(r)[2:] for r in rows} == EXPECTED
+
+
+def test_stages_leave_nothing_in_the_shared_folder(spark, base, tmp_path, monkeypatch):
+    shared = tmp_path / "shared"
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(shared))
+    _, master = stages(spark, base, tmp_path, "parquet")
+    rows = spark.range(60).selectExpr(
+        "concat('Q', id % 6) AS district_id", "cast(2000 + id AS int) AS year",
+        "rand(1) AS avg_price", "rand(2) AS avg_size", "rand(3) AS avg_price_per_sqm",
+        "id AS property_count", "id % 7 AS incidence_count", "rand(4) AS avg_income_index",
+    )
+    rows.write.mode("overwrite").parquet(master)
+    arguments = ["train", "--exploitation-path", f"{tmp_path}/exploitation", "--tracking-path"]
+    cli.main([*arguments, f"{tmp_path}/tracking", "--model", "income", "--all-null", "zero"], spark)
+    assert os.path.isdir(f"{tmp_path}/tracking/runs")
+    assert [p for p in shared.rglob("*") if p.is_file()] == []
+
+
+def test_only_given_years_needs_no_other_flag(spark, base, tmp_path):
+    arguments = ["format", "-l", f"{base}/landing", "-k", f"{base}/lookup", "-f", str(tmp_path / "f")]
+    for _ in range(2):
+        cli.main([*arguments, "--only-given-years"], spark)
+
+
+if os.path.isdir(SAMPLE):
+
+    def test_sample_data(spark, tmp_path):
+        _, master_path = stages(spark, SAMPLE, tmp_path, "parquet")
+        master = spark.read.parquet(master_path)
+        counts = master.agg(
+            F.count("*"), F.count("incidence_count"), F.sum("incidence_count"),
+            F.count("avg_income_index"), F.sum("avg_income_index"), F.count("avg_price"),
+        ).first()
+        assert tuple(counts)[:4] == (151, 80, 462, 100) and counts[5] == 16
+        assert counts[4] == pytest.approx(10155.35331168831, rel=1e-12)
+        rows = {r["year"]: r for r in master.where("district_id = 'Q753075'").collect()}
+        assert rows[2020]["avg_price"] == pytest.approx(316227.9569892473, rel=1e-12)
+        assert rows[2021]["property_count"] == 7
+        assert (rows[2014]["avg_price"], rows[2014]["property_count"]) == (307592.0, 100)
+        incidents = city.INCIDENT_MODEL.required
+        assert master.dropna(subset=list(incidents)).count() == 29
+        assert master.dropna(subset=list(city.INCOME_MODEL.required)).count() == 3

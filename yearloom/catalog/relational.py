@@ -64,8 +64,9 @@ def safe_income_cast(spark, folder):
 
 def _kpis(name: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        state = star.states(spark, folder, (name,))[name]
-        return panel.state_kpis(state, PANEL.fact(name), [PANEL.entity, PANEL.period])
+        fact = PANEL.fact(name)
+        state = panel.merged_state(star.states(spark, folder, (name,))[name], fact, PANEL)
+        return panel.state_kpis(state, fact, [PANEL.entity, PANEL.period])
 
     return query
 

@@ -21,8 +21,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators.joins import fits_broadcast
-from yearloom.operators.panel import master_of_states, named_state
+from yearloom.operators.panel import (
+    fact_state,
+    master_of_states,
+    named_state,
+    renamed_state,
+)
 from yearloom.operators.reconcile import matched, name_lookup, reconcile, with_period
+from yearloom.session import store
 from yearloom.specs import FactSpec, Measure, PanelSpec, PeriodSpec
 
 NAME = "raw_name"
@@ -98,21 +104,37 @@ def _spelled(spaced: Column, loose: Column) -> Column:
     return F.concat(F.lit(" "), F.replace(F.col("n_name"), F.lit("_"), hyphen))
 
 
-def listing_rows(spark: SparkSession, folder: str) -> DataFrame:
-    supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
+def _listed_items(spark: SparkSession, folder: str) -> DataFrame:
     price = cents("l_extendedprice")
-    return (
-        table(spark, folder, "lineitem")
-        .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            _spelled(F.col("l_returnflag") == "R", F.lit(False)).alias(NAME),
-            (F.year("l_shipdate") + 3).alias("year"),
-            price.alias("price"),
-            F.col("l_quantity").alias("size"),
-            F.floor(price / F.col("l_quantity")).cast("double").alias("price_by_area"),
-        )
+    return table(spark, folder, "lineitem").select(
+        "l_suppkey",
+        (F.col("l_returnflag") == "R").alias("spaced"),
+        (F.year("l_shipdate") + 3).alias("year"),
+        price.alias("price"),
+        F.col("l_quantity").alias("size"),
+        F.floor(price / F.col("l_quantity")).cast("double").alias("price_by_area"),
+    )
+
+
+def _with_nation(items: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Items, or states of items, with the name of their supplier's nation."""
+    supplier, nation = table(spark, folder, "supplier"), table(spark, folder, "nation")
+    joined = items.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
+        nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
+    kept = [c for c in items.columns if c not in ("l_suppkey", "spaced")]
+    return joined.select(_spelled(F.col("spaced"), F.lit(False)).alias(NAME), *kept)
+
+
+def listing_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return _with_nation(_listed_items(spark, folder), spark, folder)
+
+
+def _listing_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Sums and counts by supplier and year, and only then the names: no items are joined."""
+    fact = PANEL.fact(LISTINGS)
+    state = fact_state(_listed_items(spark, folder), fact, ["l_suppkey", "spaced", "year"])
+    return _with_nation(state, spark, folder)
 
 
 def incident_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -175,18 +197,23 @@ def facts(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def states(
     spark: SparkSession, folder: str, wanted: tuple[str, ...] = (LISTINGS, INCIDENTS, INCOME)
 ) -> dict[str, DataFrame]:
-    """The facts' sums and counts per entity and year."""
+    """The facts' sums and counts per name and year, with the entity."""
     lookup, fits = _checked_names(spark, folder)
-    return {
-        name: named_state(ROWS[name](spark, folder), PANEL.fact(name), PANEL, NAME, lookup, fits)
-        for name in wanted
-    }
+
+    def state(name: str) -> DataFrame:
+        fact = PANEL.fact(name)
+        if name == LISTINGS:
+            reduced = _listing_state(spark, folder)
+            return renamed_state(reduced, fact, PANEL, NAME, lookup, fits)
+        return named_state(ROWS[name](spark, folder), fact, PANEL, NAME, lookup, fits)
+
+    return {name: state(name) for name in wanted}
 
 
 def _checked_names(spark: SparkSession, folder: str) -> tuple[DataFrame, bool]:
-    spellings = lookup_rows(spark, folder)
-    fits = fits_broadcast(spellings)  # and so do the names, which are no more than these
-    return name_lookup(spellings, NAME, ENTITY), fits
+    """The cleaned lookup, stored once for all facts, and whether it may be broadcast."""
+    lookup = store(names(spark, folder), "names")
+    return lookup, fits_broadcast(lookup)
 
 
 def master(spark: SparkSession, folder: str) -> DataFrame:

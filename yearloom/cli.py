@@ -12,7 +12,7 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 
 from yearloom.plans import city, tracking, training, zones
-from yearloom.session import build_session
+from yearloom.session import build_session, scratch_scope
 from yearloom.sources import landing, readers, writers
 
 log = logging.getLogger(__name__)
@@ -147,7 +147,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         parser.error("land --mode copy needs --landing-base")
     session = spark or build_session(f"yearloom-{args.stage}")
     try:
-        _run(session, args)
+        with scratch_scope(session):
+            _run(session, args)
     finally:
         if spark is None:
             session.stop()

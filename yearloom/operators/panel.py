@@ -65,14 +65,28 @@ def named_state(
     names: DataFrame,
     fits: bool | None = None,
 ) -> DataFrame:
-    """The state per entity and period of rows that have a raw name, not yet an entity.
+    """States per raw name and period, with their entity, of rows that have no entity yet.
 
     The rows are aggregated by raw name first, so that names are cleaned and looked up
-    (see ``reconcile``) once per distinct name and period, not once per row.
+    (see ``reconcile``) once per distinct name and period, not once per row.  An entity may
+    have several names; what follows adds its states up, see ``merged_state``.
     """
     state = fact_state(df, fact, [name_column, panel.period])
-    found = matched(reconcile(state, names, name_column, fits), panel.entity)
-    return _merge(found, _state_columns(fact), [panel.entity, panel.period])
+    return matched(reconcile(state, names, name_column, fits), panel.entity)
+
+
+def merged_state(state: DataFrame, fact: FactSpec, panel: PanelSpec) -> DataFrame:
+    """One state per entity and period."""
+    return _merge(state, _state_columns(fact), [panel.entity, panel.period])
+
+
+def renamed_state(
+    state: DataFrame, fact: FactSpec, panel: PanelSpec, name_column: str, names: DataFrame,
+    fits: bool | None = None,
+) -> DataFrame:
+    """``named_state`` of rows that were reduced before they had a name."""
+    reduced = _merge(state, _state_columns(fact), [name_column, panel.period])
+    return matched(reconcile(reduced, names, name_column, fits), panel.entity)
 
 
 def state_kpis(state: DataFrame, fact: FactSpec, keys: list[str]) -> DataFrame:
@@ -133,7 +147,7 @@ def master_of_states(
             parts.append(states[fact.name].select(*keys, in_spine, *kept))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     # Placed by entity, the states need no further shuffle: neither to be merged per
-    # period nor for the window, in which an entity has one state per period.
+    # name and period nor for the window, in which an entity has one state per period.
     merged = _merge(union.repartition(panel.entity), columns, keys)
     everything = Window.partitionBy(panel.entity)
     filled = merged.select(

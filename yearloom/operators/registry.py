@@ -20,9 +20,13 @@ def champions(
     Runs without a score, or with NaN or infinity, never win.
     """
     value = F.col(score)
-    valid = value.isNotNull() & ~F.isnan(value) & (value < F.lit(float("inf")))
-    best = F.min_by(F.struct("*"), F.struct(F.col(score), F.col(order)))
-    return runs.where(valid).groupBy(group).agg(best.alias("best")).select("best.*")
+    valid = runs.where(value.isNotNull() & ~F.isnan(value) & (value < F.lit(float("inf"))))
+    # The lowest score is a hash aggregate; only the few runs that have it are compared whole.
+    lowest = valid.groupBy(F.col(group).alias("__group")).agg(F.min(value).alias("__lowest"))
+    same = F.col(group).eqNullSafe(F.col("__group")) & (value == F.col("__lowest"))
+    tied = valid.join(lowest, same, "left_semi")
+    best = F.min_by(F.struct("*"), F.col(order)).alias("best")
+    return tied.groupBy(group).agg(best).select("best.*")
 
 
 def next_versions(registry: DataFrame, candidates: DataFrame) -> DataFrame:
