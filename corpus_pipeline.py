@@ -37,7 +37,7 @@ def no_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the ids of their texts, and what the ids decode to."""
-    return bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
+    return bpe.encode(docs, WORD_BPE, decoded="decoded")
 
 
 STAGES = [

@@ -62,7 +62,8 @@ def test_both_ways_to_merge_agree():
     v, r = bpe.vocabulary(PATH), random.Random(5)
     for _ in range(300):
         word = bytes(r.choice(b"thein gaslorst") for _ in range(r.randrange(1, 60)))
-        assert bpe._merged_short(v.symbols(word), v.ranks) == bpe._merged_long(v.symbols(word), v.ranks)
+        ids = [*(v.inner[b] for b in word[:-1]), v.final[word[-1]]]
+        assert bpe.merged_ids(ids, v.rules) == [v.ids[t] for t in bpe.merged(v.symbols(word), v.ranks)]
 
 
 def test_decoding_block_by_block(library, monkeypatch):
@@ -75,6 +76,10 @@ def test_decoding_block_by_block(library, monkeypatch):
 def test_messy_rows(messy, same_extras, library):
     result = bpe.decode(bpe.encode(messy, PATH), PATH)
     same_extras(result)
+    once = bpe.encode(messy.withColumn("ids", messy["id"]), PATH, decoded="decoded")
+    assert set(once.columns) == set(result.columns)
+    both = [sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in df.collect()) for df in (once, result)]
+    assert both[0] == both[1]
     for row in result.collect():
         expected = library.encode(row["text"] or "", add_special_tokens=False).ids
         assert row["ids"] == expected

@@ -31,12 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 from tokenizers import Tokenizer
 
-from yearloom.llm.common import pieces
+from yearloom.llm.common import add_columns, pieces
 
-MEMO_WORDS = 300_000  # remembered words of one worker
+MEMO_WORDS = 500_000  # remembered words of one worker
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
 BUFFER = 4096  # symbols merged at a time beyond the lookahead
-NO_RULE = 1 << 31
+ID_BITS = 20  # of an id in a rule
+ID_MASK = (1 << ID_BITS) - 1
+NO_RULE = 1 << 60
 BLOCK = 1 << 16  # ids decoded, or characters read, at a time
 
 
@@ -64,6 +66,14 @@ class Vocabulary:
         self.names = [names.get(i) for i in range(max(names, default=-1) + 1)]
         self.packed = {s: np.int32(i).tobytes() for i, s in names.items()}
         self.letters = _byte_letters()
+        # Pair of ids to rank and id of what it makes, and the ids of single bytes.
+        self.rules = {
+            self.ids[a] << ID_BITS | self.ids[b]: rank << ID_BITS | self.ids[a + b]
+            for (a, b), rank in self.ranks.items()
+        }
+        self.inner = [self.ids[c] for c in self.letters]
+        self.final = [self.ids[c + self.suffix] for c in self.letters]
+        self.by_id = [None if s is None else self.packed[s] for s in self.names]
         self.longest = max(map(self._length, self.ids))
         self.lookahead = sufficient_lookahead(merges, self._length)
 
@@ -97,27 +107,23 @@ def sufficient_lookahead(merges: list[tuple[str, str]], length=len) -> int:
 SHORT = 24  # symbols up to which the plain loop is the faster one
 
 
-def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """Apply the rules, best rule first and from left to right."""
-    return _merged_short(symbols, ranks) if len(symbols) <= SHORT else _merged_long(symbols, ranks)
-
-
-def _merged_short(parts: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    get = ranks.get
-    found = [get(pair, NO_RULE) for pair in pairwise(parts)]
+def merged_ids(parts: list[int], rules: dict[int, int]) -> list[int]:
+    """Apply the rules to the ids of a short word, best rule first and from left to right."""
+    get = rules.get
+    found = [get(a << ID_BITS | b, NO_RULE) for a, b in pairwise(parts)]
     while found and (best := min(found)) != NO_RULE:
         i = found.index(best)
-        parts[i] += parts.pop(i + 1)
-        del found[i]
+        parts[i] = best & ID_MASK
+        del parts[i + 1], found[i]
         if i < len(found):
-            found[i] = get((parts[i], parts[i + 1]), NO_RULE)
+            found[i] = get(parts[i] << ID_BITS | parts[i + 1], NO_RULE)
         if i:
-            found[i - 1] = get((parts[i - 1], parts[i]), NO_RULE)
+            found[i - 1] = get(parts[i - 1] << ID_BITS | parts[i], NO_RULE)
     return parts
 
 
-def _merged_long(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """The same in n log n time."""
+def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
+    """The same for the symbols of a word of any length, in n log n time."""
     n = len(symbols)
     parts: list[str | None] = list(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -157,7 +163,13 @@ class _Memo(dict):
         v = self.encoder.vocabulary
         if len(self) >= MEMO_WORDS:
             self.clear()
-        found = self[word] = b"".join(map(v.packed.__getitem__, merged(v.symbols(content), v.ranks)))
+        if len(content) > SHORT:
+            found = b"".join(self.encoder.word_ids(content))
+        else:
+            parts = [v.inner[b] for b in content]
+            parts[-1] = v.final[content[-1]]
+            found = b"".join([v.by_id[i] for i in merged_ids(parts, v.rules)])
+        self[word] = found
         return found
 
 
@@ -310,15 +322,24 @@ def decode_array(ids: pa.Array, path: str) -> pa.Array:
     return pa.array(out, pa.string())
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Add the ids of each whole text as an array of integers.
 
-    ``path`` is a tokenizer file that every executor can open.  Null and empty texts give
-    an empty array.  Every row is kept, repeated ones too; other columns are untouched and
-    a column of the name ``ids`` is replaced.  The text's special strings give their ids.
+    ``path`` is a tokenizer file that every executor can open.  With ``decoded``, a column of
+    that name takes what the ids decode to, in the same pass.  Null and empty texts give an
+    empty array.  Every row is kept, repeated ones too; other columns are untouched, and
+    columns of the names ``ids`` and ``decoded`` are replaced.  The text's special strings
+    give their ids.
     """
-    call = F.arrow_udf(lambda texts: encode_array(texts, path), ArrayType(IntegerType()))
-    return df.withColumn(ids, call(F.col(f"`{text}`").cast("string")))
+    added = {ids: ArrayType(IntegerType())} | ({decoded: StringType()} if decoded else {})
+
+    def call(texts: pa.Array) -> list[pa.Array]:
+        found = encode_array(texts, path)
+        return [found, decode_array(found, path)] if decoded else [found]
+
+    return add_columns(df, text, added, call)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:

@@ -17,7 +17,7 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, WORD_BPE), WORD_BPE)
+    coded = bpe.encode(docs, WORD_BPE, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
