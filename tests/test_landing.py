@@ -68,6 +68,13 @@ def test_profile(spark):
     }
 
 
+def test_exact_numbers_of_values(spark):
+    rows = [(1, "b", -0.0, (1, 2)), (2, None, 0.0, None), (2, "a", None, (3, 4))]
+    df = spark.createDataFrame(rows, "n int, `a b` string, x double, s struct<p: int, q: int>")
+    found = {r["column_name"]: r["n_distinct"] for r in landing.exact_distinct(df).collect()}
+    assert found == {"n": 2, "a b": 2, "x": 1, "s": 2}
+
+
 def test_ranges_are_read_by_as_many_tasks_as_their_bytes_need(spark, files, monkeypatch):
     path, contents = files
     monkeypatch.setattr(landing, "TASK_BYTES", 500)

@@ -128,7 +128,8 @@ _PROFILE = "\nUNION ALL\n".join(
     f"SELECT '{name}' AS dataset, '{column}' AS column_name, '{kind}' AS data_type, "
     f"count(*) AS row_count, count(*) - count({column}) AS null_count, "
     f"CAST({_end('min', column, kind)} AS VARCHAR) AS min_value, "
-    f"CAST({_end('max', column, kind)} AS VARCHAR) AS max_value "
+    f"CAST({_end('max', column, kind)} AS VARCHAR) AS max_value, "
+    f"count(DISTINCT {column}) AS n_distinct "
     f"FROM {name}"
     for name, columns in _PROFILED.items()
     for column, kind in columns.items()
@@ -220,6 +221,11 @@ SELECT l_orderkey, l_linenumber, l_suppkey,
 FROM (SELECT l_orderkey, l_linenumber, l_suppkey,
              CASE WHEN l_linestatus = 'F' THEN l_quantity END AS quantity FROM lineitem)""",
     "dataset_profile": _PROFILE,
+    "approximate_distinct": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS dataset, '{column}' AS column_name, true AS close"
+        for name, columns in _PROFILED.items()
+        for column in columns
+    ),
     "complete_rows": _with(
         _ALL,
         "SELECT * FROM master WHERE incidence_count IS NOT NULL AND avg_income_index IS NOT NULL",

@@ -94,13 +94,26 @@ def window_mean_fill(spark, folder):
 
 
 def dataset_profile(spark, folder):
-    profiles = [
-        landing.profile(table(spark, folder, name), distinct=False).withColumn(
-            "dataset", F.lit(name)
-        )
-        for name in ("lineitem", "orders", "customer")
-    ]
-    return reduce(DataFrame.unionByName, profiles)
+    """Every column of three tables, with its exact number of values."""
+
+    def profile(name: str) -> DataFrame:
+        rows = table(spark, folder, name)
+        found = landing.profile(rows, distinct=False).join(landing.exact_distinct(rows), "column_name")
+        return found.withColumn("dataset", F.lit(name))
+
+    return reduce(DataFrame.unionByName, map(profile, ("lineitem", "orders", "customer")))
+
+
+def approximate_distinct(spark, folder):
+    """Whether the approximate numbers of values are within a tenth of the exact ones."""
+
+    def checked(name: str) -> DataFrame:
+        rows = table(spark, folder, name)
+        both = landing.profile(rows).join(landing.exact_distinct(rows), "column_name")
+        off = F.abs(F.col("approx_distinct") - F.col("n_distinct")) / F.col("n_distinct")
+        return both.select(F.lit(name).alias("dataset"), "column_name", (off <= 0.1).alias("close"))
+
+    return reduce(DataFrame.unionByName, map(checked, ("lineitem", "orders", "customer")))
 
 
 def raw_manifest(spark, folder):
@@ -381,6 +394,7 @@ QUERIES = {
     "gap_filled_kpis": gap_filled_kpis,
     "window_mean_fill": window_mean_fill,
     "dataset_profile": dataset_profile,
+    "approximate_distinct": approximate_distinct,
     "raw_manifest": raw_manifest,
     "complete_rows": complete_rows,
     "mean_imputed": mean_imputed,
