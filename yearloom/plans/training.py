@@ -232,14 +232,11 @@ def _cross_validate(
     for fold in folds:
         inside, outside = train.where(F.col(_FOLD) != fold), train.where(F.col(_FOLD) == fold)
         prepare = preparation(features).fit(inside)
+        # Each fit keeps a copy in a form of its own; vectors are made again from the kept frame.
         ready = prepare.transform(inside).select("features", spec.label)
-        ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            models = _fit_all(estimators, ready, spec.parallelism)
-            held_out = prepare.transform(outside).select("features", spec.label)
-            per_fold.append(_errors(models, held_out, spec.label))
-        finally:
-            ready.unpersist()
+        models = _fit_all(estimators, ready, spec.parallelism)
+        held_out = prepare.transform(outside).select("features", spec.label)
+        per_fold.append(_errors(models, held_out, spec.label))
     result = []
     for i, (family, params) in enumerate(points):
         errors = [fold_errors[i] for fold_errors in per_fold]
@@ -279,16 +276,12 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     rows = frame.where(F.col(_SPLIT) == TRAIN)
     prepare = preparation(features).fit(rows)
     ready = prepare.transform(rows).select("features", spec.label)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     best = [_best([p for p in grid if p.family == f.name]) for f in spec.families]
-    try:
-        models = _fit_all(
-            [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
-            ready,
-            spec.parallelism,
-        )
-    finally:
-        ready.unpersist()
+    models = _fit_all(
+        [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
+        ready,
+        spec.parallelism,
+    )
     held_out = prepare.transform(frame.where(F.col(_SPLIT) == VALIDATION))
     errors = _errors(models, held_out.select("features", spec.label), spec.label)
     # What is handed out is read from the input again, as the kept frame is released.
