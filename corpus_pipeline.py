@@ -13,7 +13,8 @@ from yearloom.session import store
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the discriminant, fitted on the labelled ones, does not reject."""
-    model = quality_model(quality.features(docs), known_labels(spark, sf_dir, "quality"))
+    known = store(quality.features(docs).select("doc_id", "features"), "quality")
+    model = quality_model(known, known_labels(spark, sf_dir, "quality"))
     vector, score = "__quality_features", "__quality_score"
     scored = quality.score(quality.features(docs, out=vector), model, vector, score)
     return scored.where(F.col(score) >= QUALITY).drop(vector, score)

@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 
 from yearloom.llm.common import add_columns, pieces
 
-MEMO_WORDS = 500_000  # remembered words of one worker
+MEMO_WORDS = 150_000  # remembered words of one worker
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
 BUFFER = 4096  # symbols merged at a time beyond the lookahead
 ID_BITS = 20  # of an id in a rule

@@ -26,7 +26,7 @@ from yearloom.session import store
 
 WINDOW = 10  # words
 BLOCK_BYTES = 16 * 1024 * 1024  # benchmark text searched for at a time
-SHARD_BYTES = 8 * 1024 * 1024  # document text in one suffix array
+SHARD_BYTES = 4 * 1024 * 1024  # document text in one suffix array
 
 _FOUND = (
     "struct<n_words:bigint,hits:array<struct<first:int,past:int>>,items:array<string>,"
