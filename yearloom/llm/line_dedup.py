@@ -10,6 +10,7 @@ the repeated chunks next to it make a passage: several lines, or one of many wor
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,22 +52,25 @@ def _signed(number: int) -> int:
 
 def _listed(texts: pa.Array, contents: bool) -> pa.Array:
     """The chunks with words of each text: hash and bytes, or hash and place."""
-    kind = [("hash", pa.int64())]
-    kind += [("content", pa.binary())] if contents else [
-        ("start", pa.int32()), ("lines", pa.int32()), ("words", pa.int32())
-    ]
-    rows = []
+    ends, hashes, rest = [0], array("q"), [] if contents else [array("i") for _ in range(3)]
     for _, part in pieces(texts):
         for text in part:
-            lines, row = text.split(b"\n"), []
+            lines = text.split(b"\n")
             for start, many, words in chunks(lines):
                 if not words:
                     continue
                 content = b"\n".join(lines[start : start + many])
-                rest = (content,) if contents else (start, many, words)
-                row.append(dict(zip((n for n, _ in kind), (_signed(_hash(content)), *rest), strict=True)))
-            rows.append(row)
-    return pa.array(rows, pa.list_(pa.struct(kind)))
+                hashes.append(_signed(_hash(content)))
+                if contents:
+                    rest.append(content)
+                else:
+                    for values, value in zip(rest, (start, many, words), strict=True):
+                        values.append(value)
+            ends.append(len(hashes))
+    names = ["hash", "content"] if contents else ["hash", "start", "lines", "words"]
+    columns = [pa.array(rest, pa.binary())] if contents else [pa.array(x, pa.int32()) for x in rest]
+    rows = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), *columns], names)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 def _cut(text: bytes, found: list[dict]) -> tuple[bytes, int, int]:
@@ -149,7 +153,8 @@ def cut(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "cut"
     chunk = F.struct("hash", "start", "lines", "words", (F.col("id") == F.col("keeper")).alias("keeps"))
     found = own.groupBy(F.col("id").alias("__id")).agg(F.collect_set(chunk).alias("__found"))
     joined = df.join(found, F.col(f"`{key}`") == F.col("__id"), "left")
-    call = F.arrow_udf(_cut_all, "struct<text:string,lines:bigint,gone:bigint>")
+    # Not to be moved or repeated by the optimizer, which would cut each text twice.
+    call = F.arrow_udf(_cut_all, "struct<text:string,lines:bigint,gone:bigint>").asNondeterministic()
     none = F.coalesce("__found", F.array().cast(found.schema["__found"].dataType))
     return joined.withColumn(out, call(F.col(f"`{text}`").cast("string"), none)).drop("__id", "__found")
 

@@ -230,7 +230,8 @@ def find(
     shared = store(_leaders(ones), "near-keys")
 
     wanted = shared.select("id").distinct()
-    content = F.arrow_udf(lambda texts: _sets(texts, size), "binary")
+    # Not to be moved or repeated by the optimizer, which would make each set twice.
+    content = F.arrow_udf(lambda texts: _sets(texts, size), "binary").asNondeterministic()
     # A key that several texts share is one class with all their sets.
     chosen = docs.join(wanted, "id", "left_semi").select("id", content("text").alias("content"))
     chosen = chosen.select("id", "content", (F.octet_length("content") / 8).cast("long").alias("n"))

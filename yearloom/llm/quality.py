@@ -129,7 +129,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, 1 + d + d * d))
     for batch in batches:
         label = batch.column(0).to_numpy(zero_copy_only=False)
-        x = np.asarray(batch.column(1).flatten()).reshape(-1, d)
+        label = label[np.asarray(batch.column(1).is_valid())]
+        x = np.asarray(batch.column(1).drop_null().flatten()).reshape(-1, d)
         for k in (0, 1):
             own = x[label == k]
             total[k] += np.concatenate([[len(own)], own.sum(0), (own.T @ own).reshape(-1)])
@@ -138,13 +139,13 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(rows: DataFrame, label: str = "label", vector: str = "features") -> Discriminant:
-    """Learn from all rows whose label is 0 or 1 (others are left out).
+    """Learn from all rows with a vector whose label is 0 or 1 (others are left out).
 
     Every task sums up its rows and Spark adds the sums, so a fixed, small number of values
     reaches the driver however many rows there are.
     """
     d = len(NAMES)
-    known = rows.where(F.col(label).isin(0, 1) & F.col(vector).isNotNull())
+    known = rows.where(F.col(label).isin(0, 1))
     sums = (
         known.select(F.col(label).cast("int"), vector)
         .mapInArrow(_sums, "place long, value double")
