@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import frames
-from yearloom.session import store
 from yearloom.specs import Family, ModelSpec
 
 log = logging.getLogger(__name__)
