@@ -97,3 +97,56 @@ def test_query_as_by_brute_force(spark, folder):
         assert found[i]["n_lines"] == len(own)
         cuts += gone > 0
     assert len(found) == len(rows) and cuts > 0
+
+
+SHAPES = [(2, 10), (3, 20), (3, 24), (4, 15), (5, 12), (6, 10), (12, 5), (2, 24)]
+
+
+def test_passages_of_short_lines_go_as_a_whole(spark, words):
+    docs, own, passages = [], {}, {}
+    for s, (many, each) in enumerate(SHAPES):
+        for k in range(10):
+            passage = lines(words, 300 + 10 * s + k, many, each)
+            for copy in range(2):
+                i = 100 * s + 2 * k + copy
+                own[i], passages[i] = lines(words, 2000 + i, 6), passage
+                at = (i + k) % 7
+                docs.append((i, "\n".join(own[i][:at] + passage + own[i][at:])))
+    found = cut(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    for i, text in docs:
+        assert found[i]["text"] == (text if i % 2 == 0 else "\n".join(own[i])), len(passages[i])
+
+
+def test_passages_with_different_keepers_and_blank_lines(spark, words):
+    a, b, c, d = lines(words, 1, 4, 8)
+    own = lines(words, 2, 8)
+    docs = [
+        (1, "\n".join([own[0], a, b, own[1]])), (2, "\n".join([own[2], c, d, own[3]])),
+        (3, "\n".join([own[4], a, b, c, d, own[5]])), (4, "\n".join([own[6], a, "", b, c, d, own[7]])),
+    ]
+    found = cut(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert [found[k]["gone"] for k in (1, 2, 4)] == [0, 0, 5]
+    assert found[4]["text"] == f"{own[6]}\n{own[7]}" and found[3]["text"].startswith(own[4])
+
+
+def test_query_removes_all_runs_of_lines(spark, folder):
+    """Runs found by comparing lines with those of all earlier documents, without chunks."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").orderBy("doc_id")
+    texts = [(i, (t or "").split("\n")) for i, t in docs.collect()]
+    left, places, found = cut(docs), {}, 0
+    for i, own in texts:
+        gone = set()
+        for p in range(len(own) - 1):
+            for other, q in places.get((own[p], own[p + 1]), []):
+                n = 0
+                while p + n < len(own) and q + n < len(other) and own[p + n] == other[q + n]:
+                    n += 1
+                if sum(len(x.split()) for x in own[p : p + n]) >= 20:
+                    gone |= set(range(p, p + n))
+        assert left[i]["gone"] >= len(gone)
+        found += len(gone)
+        for p in range(len(own) - 1):
+            places.setdefault((own[p], own[p + 1]), []).append((own, p))
+    assert found > 0
+    stay = {line for row in left.values() for line in row["text"].split("\n")}
+    assert {line for _, own in texts for line in own} - stay <= {""}  # each line stays somewhere

@@ -3,15 +3,18 @@
 Lines are grouped to chunks whose boundaries depend on what is around them and not on where
 they are: a rolling hash over the hashes of two neighbouring lines decides whether a chunk
 ends between them, and a long line is a chunk of its own.  Lines put in or left out elsewhere
-move no boundary.  Chunks are grouped by hash and bytes over all documents.  The document
-with the smallest key keeps its first copy of a chunk; elsewhere the chunk goes where it and
-the repeated chunks next to it make a passage: several lines, or one of many words.
+move no boundary.  At the ends of a passage chunks take in lines around it, and a short passage
+may hold no whole chunk; so pairs of lines that follow each other count beside the chunks, and
+a passage is found from its first line to its last wherever its boundaries are.  The document
+with the smallest key keeps its first copy of a chunk or pair; elsewhere its lines go where
+they and the repeated lines next to them make a passage: several lines, or one of many words.
 """
 
 from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 import xxhash
@@ -19,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.llm.common import pieces
+from yearloom.session import store
 
 LONG_LINE = 25  # words of a line that is a chunk of its own
 SPARSE = 2  # one in so many other places between lines is a boundary
@@ -50,61 +54,74 @@ def _signed(number: int) -> int:
     return number - (1 << 64) if number >> 63 else number
 
 
-def _listed(texts: pa.Array, contents: bool) -> pa.Array:
-    """The chunks with words of each text: hash and bytes, or hash and place."""
-    ends, hashes, rest = [0], array("q"), [] if contents else [array("i") for _ in range(3)]
+def _units(lines: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
+    """First line, line after the last, and bytes of each chunk and each pair of lines with words.
+
+    Blank lines between the two lines of a pair do not count.
+    """
+    for start, many, words in chunks(lines):
+        if words:
+            yield start, start + many, b"\n".join(lines[start : start + many])
+    before = None
+    for i, line in enumerate(lines):
+        if line.strip():
+            if before is not None:
+                yield before, i + 1, lines[before] + b"\n" + line
+            before = i
+
+
+def _listed(texts: pa.Array) -> pa.Array:
+    """The hashes of the chunks and pairs of each text, and at how many of its lines each begins."""
+    ends, hashes, counts = [0], array("q"), array("i")
     for _, part in pieces(texts):
         for text in part:
-            lines = text.split(b"\n")
-            for start, many, words in chunks(lines):
-                if not words:
-                    continue
-                content = b"\n".join(lines[start : start + many])
-                hashes.append(_signed(_hash(content)))
-                if contents:
-                    rest.append(content)
-                else:
-                    for values, value in zip(rest, (start, many, words), strict=True):
-                        values.append(value)
+            places: dict[int, set[int]] = {}
+            for start, _, content in _units(text.split(b"\n")):
+                places.setdefault(_signed(_hash(content)), set()).add(start)
+            hashes.extend(places)
+            counts.extend(map(len, places.values()))
             ends.append(len(hashes))
-    names = ["hash", "content"] if contents else ["hash", "start", "lines", "words"]
-    columns = [pa.array(rest, pa.binary())] if contents else [pa.array(x, pa.int32()) for x in rest]
-    rows = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), *columns], names)
+    rows = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), pa.array(counts, pa.int32())], ["hash", "n"])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and bytes of the chunks and pairs found in each text."""
+    for batch in batches:
+        for first, part in pieces(batch.column(0)):
+            rows = set()
+            for text, own in zip(part, batch.column(1).slice(first, len(part)).to_pylist(), strict=True):
+                wanted = {c["hash"] for c in own}
+                for _, _, content in _units(text.split(b"\n")):
+                    if (hashed := _signed(_hash(content))) in wanted:
+                        rows.add((hashed, content))
+            columns = [pa.array([h for h, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["hash", "content"])
+
+
 def _cut(text: bytes, found: list[dict]) -> tuple[bytes, int, int]:
     """The text without its repeated passages, its number of lines and of lines that went."""
     lines = text.split(b"\n")
-    places = {c["start"]: c for c in found}
-    kept, run, seen, gone = [], [], set(), 0
-
-    def end_run() -> None:
-        nonlocal gone
-        many, words = sum(c["lines"] for c in run), sum(c["words"] for c in run)
-        if many >= LINES and words >= WORDS or words >= MANY_WORDS:
-            gone += many
-        else:
-            for c in run:
-                kept.extend(lines[c["start"] : c["start"] + c["lines"]])
-        run.clear()
-
+    keeps = {c["hash"]: c["keeps"] for c in found}
+    places = [(start, end, h) for start, end, content in _units(lines) if (h := _signed(_hash(content))) in keeps]
+    first: dict[int, int] = {}
+    for start, _, h in places:
+        first[h] = min(start, first.get(h, start))
+    again = bytearray(len(lines))
+    for start, end, h in places:
+        if not (keeps[h] and start == first[h]):
+            again[start:end] = b"\1" * (end - start)
     for start, many, words in chunks(lines):
-        c = places.get(start)
-        first = c is not None and c["keeps"] and c["hash"] not in seen
-        if c is not None:
-            seen.add(c["hash"])
-        same = c is not None and c["lines"] == many and c["hash"] == _signed(
-            _hash(b"\n".join(lines[start : start + many]))
-        )
-        if same and not first:
-            run.append(c)
-        elif not words and run:
-            run.append({"start": start, "lines": many, "words": 0})  # blank lines go along
+        if not words and start and again[start - 1]:
+            again[start : start + many] = b"\1" * many  # blank lines go along
+    kept, gone = [], 0
+    for same, run in groupby(lines, lambda _, marks=iter(again): next(marks)):
+        part = list(run)
+        words = sum(len(line.split()) for line in part) if same else 0
+        if same and (len(part) >= LINES and words >= WORDS or words >= MANY_WORDS):
+            gone += len(part)
         else:
-            end_run()
-            kept.extend(lines[start : start + many])
-    end_run()
+            kept += part
     return b"\n".join(kept), len(lines), gone
 
 
@@ -122,36 +139,38 @@ def _cut_all(texts: pa.Array, found: pa.Array) -> pa.Array:
     )
 
 
+def _by_document(found: DataFrame) -> DataFrame:
+    own = F.collect_set(F.struct("hash", "keeps"))
+    return found.groupBy(F.col("id").alias("__id")).agg(own.alias("__found"))
+
+
 def repeated(docs: DataFrame) -> DataFrame:
-    """Hashes of chunks that stand more than once (``hash``), and the key that keeps them."""
-    contents = F.arrow_udf(
-        lambda texts: _listed(texts, True), "array<struct<hash:bigint,content:binary>>"
-    )
-    rows = docs.select("id", F.inline(contents("text")))
-    # Grouping by the bytes compares them; a hash that two different chunks share is left out.
-    exact = rows.groupBy("hash", "content").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("keeper"))
-    by_hash = exact.groupBy("hash").agg(
-        F.count(F.lit(1)).alias("different"), F.sum("n").alias("n"), F.min("keeper").alias("keeper")
-    )
-    return by_hash.where("different = 1 and n > 1 and keeper is not null").select("hash", "keeper")
+    """What stands more than once: ``id``, ``hash``, and whether this document ``keeps`` it.
+
+    Of the documents with a key.  Hashes that different bytes share are left out.
+    """
+    docs = docs.where("id is not null")
+    listed = F.arrow_udf(_listed, "array<struct<hash:bigint,n:int>>")
+    rows = docs.select("id", F.inline(listed("text")))
+    more = rows.groupBy("hash").agg(F.sum("n").alias("all"), F.min("id").alias("keeper")).where("`all` > 1")
+    own = rows.join(more, "hash").select("id", "hash", (F.col("id") == F.col("keeper")).alias("keeps"))
+    found = store(own, "repeated-lines")
+    # Grouping by the bytes compares them.
+    texts = docs.join(_by_document(found), F.col("id") == F.col("__id")).select("text", "__found")
+    contents = texts.mapInArrow(_contents, "hash bigint, content binary")
+    different = contents.groupBy("hash", "content").agg(F.lit(1).alias("one")).groupBy("hash").count()
+    return found.join(different.where("count > 1"), "hash", "left_anti")
 
 
 def cut(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "cut") -> DataFrame:
     """Add a struct: the ``text`` without repeated passages, its ``lines``, and those ``gone``.
 
-    Null and empty texts have an empty ``text`` and one line.  Rows without a key count for
-    what is repeated but keep their text; rows that share a key count as one document.
+    Null and empty texts have an empty ``text`` and one line.  Rows without a key
+    keep their text, and no other row loses what only they hold; rows that share a key count as one document.
     Every row is kept; other columns are untouched, a column of the name ``out`` is replaced.
     """
     docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    places = F.arrow_udf(
-        lambda texts: _listed(texts, False),
-        "array<struct<hash:bigint,start:int,lines:int,words:int>>",
-    )
-    rows = docs.where("id is not null").select("id", F.inline(places("text")))
-    own = rows.join(repeated(docs), "hash")
-    chunk = F.struct("hash", "start", "lines", "words", (F.col("id") == F.col("keeper")).alias("keeps"))
-    found = own.groupBy(F.col("id").alias("__id")).agg(F.collect_set(chunk).alias("__found"))
+    found = _by_document(repeated(docs))
     joined = df.join(found, F.col(f"`{key}`") == F.col("__id"), "left")
     # Not to be moved or repeated by the optimizer, which would cut each text twice.
     call = F.arrow_udf(_cut_all, "struct<text:string,lines:bigint,gone:bigint>").asNondeterministic()
