@@ -58,3 +58,26 @@ def test_query_gives_the_articles(spark, folder):
         # The words of the article, without markup, are the words of the text.
         bare = re.sub(r"<[^>]*>", " ", article)
         assert re.findall(r"[a-zA-Z]{3,}", row["text"]) == re.findall(r"[a-zA-Z]{3,}", re.sub(r"&(amp|quot|lt|gt|am);?", " ", bare))
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "body class='single no-sidebar'", "body class='with_sidebar menu-open'", "main id=sidebar", "article class='post comments'",
+        "div class='content has-sidebar'", "div class='post comments-open'", "div class='layout-no-sidebar'", "div data-id='social'",
+        "div data-role=menu", "div title='id=\"sidebar\"'", "div class='a' data-hidden=1", "div aria-hidden='false' class=x",
+    ],
+)
+def test_wrappers_keep_their_text(wrapper):
+    assert main_text(f"<{wrapper}><p>{GOOD}</p></{wrapper.split()[0]}>") == GOOD
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "div class='x' hidden", "div hidden id=x", "div class='has-image sidebar'", "div CLASS = 'widget-with-image'",
+        "div id=comments data-id=x", "div aria-hidden='true' class='x'", "section role='complementary'", "div class='menu menu-open'",
+    ],
+)
+def test_parts_of_the_page_go(part):
+    assert main_text(f"<{part}><p>{GOOD}</p></{part.split()[0]}><p>Own. {GOOD}</p>") == f"Own. {GOOD}"

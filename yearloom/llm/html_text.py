@@ -41,6 +41,10 @@ ASIDE_NAME = re.compile(
     r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
     re.I,
 )
+# Elements that hold the article, whatever their names say, and names that tell what a page has.
+WHOLE = frozenset("html body main article".split())
+_HAS = re.compile(r"(?:^|[_-])(?:no|not|has|with|without|hide|show)[_-].*", re.I | re.S)
+_STATE = re.compile(r"[_-](?:open|opened|closed|enabled|disabled)$", re.I)
 
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -66,7 +70,7 @@ _TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[^\W\d_]+")
 _HEADING = re.compile(r"h[1-6]")
 
@@ -124,7 +128,7 @@ class _Reader:
         if name in VOID:
             return
         # A header names the page, unless it stands inside the article.
-        away = name in ASIDE or name == "header" and not section or self.marked(attributes)
+        away = name in ASIDE or name == "header" and not section or self.marked(name, attributes)
         if name in SECTION and not away:
             self.sections += 1
             section = self.sections
@@ -134,16 +138,15 @@ class _Reader:
             self.stack.append((name, aside or away, section))
 
     @staticmethod
-    def marked(attributes: str) -> bool:
-        if "=" not in attributes:
-            return bool(re.search(r"\bhidden\b", attributes))
+    def marked(element: str, attributes: str) -> bool:
         for m in _ATTRIBUTE.finditer(attributes):
-            value = m[2] or m[3] or m[4] or ""
-            if m[1].lower() in ("hidden", "aria-hidden"):
-                if value.lower() != "false":
+            name, given = m[1].lower(), m[2] or m[3] or m[4] or ""
+            if name == "hidden" or name == "aria-hidden" and "=" in m[0]:
+                if given.lower() != "false":
+                    return True
+            elif name in ("class", "id", "role") and element not in WHOLE:
+                if any(ASIDE_NAME.search(_HAS.sub("", x)) for x in given.split() if not _STATE.search(x)):
                     return True
-            elif ASIDE_NAME.search(value):
-                return True
         return False
 
     def close(self, name: str) -> None:
