@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 
 import pytest
 
@@ -86,3 +87,31 @@ def test_empty_tables(spark, messy):
     none = spark.createDataFrame([], ITEMS)
     assert decontaminate.remove(messy, none).count() == len(MESSY)
     assert decontaminate.find(messy.limit(0), none).count() == 0
+
+
+def test_a_passage_of_many_items_in_many_documents(words):
+    """Documents, windows and items are never multiplied in one array."""
+    passage = " ".join(words(1, 30))
+    items = [(f"{k:04}", f"{passage} own{k}".encode()) for k in range(3000)]
+    tests = decontaminate.Tests(items, 10)
+    texts = [f"text{k} {passage} end{k}".encode() for k in range(300)]
+    tracemalloc.start()
+    rows = decontaminate._shard(tests, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(rows) == 300 and peak < 50e6  # 300 documents x 21 windows x 3,000 items of 16 bytes are 302 MB
+    sizes, at = [], 0
+    for start, part in decontaminate._named(tests, rows, True):
+        assert start == at and all(r["items"] == tests.names for r in part)
+        sizes.append(len(part))
+        at += len(part)
+    assert at == 300 and max(sizes) * 3000 < decontaminate.MOST_ITEMS + 3000
+
+
+def test_many_shared_items_by_spark(spark, words):
+    passage = words(1, 14)
+    items = [(k, " ".join([*passage, f"own{k}"][k % 3 :])) for k in range(40)] + [(99, " ".join(passage[:3]))]
+    texts = [" ".join([f"text{k}", *passage[k % 4 :], f"own{k}"]) for k in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = found(docs, spark.createDataFrame(items, ITEMS))
+    assert sorted((r["n_words"], r["n_hit"], r["items"]) for r in rows) == sorted(expected(t, items) for t in texts)

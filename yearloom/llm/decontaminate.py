@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import uuid
 from array import array
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from yearloom.llm.common import WORDS, pieces
 from yearloom.session import store
@@ -27,11 +29,19 @@ from yearloom.session import store
 WINDOW = 10  # words
 BLOCK_BYTES = 16 * 1024 * 1024  # benchmark text searched for at a time
 SHARD_BYTES = 4 * 1024 * 1024  # document text in one suffix array
+MOST_ITEMS = 250_000  # items named in one batch of rows, or a single row
 
 _FOUND = (
     "struct<n_words:bigint,hits:array<struct<first:int,past:int>>,items:array<string>,"
     "longest:int,longest_at:int,longest_item:string>"
 )
+_KIND = pa.struct(
+    [
+        ("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))),
+        ("items", pa.list_(pa.string())), ("longest", pa.int32()), ("longest_at", pa.int32()),
+        ("longest_item", pa.string()),
+    ]
+)
 
 
 class Tests:
@@ -55,8 +65,11 @@ class Tests:
         self.per_key = max(1, 62 // self.bits)
         self.flat = np.array(flat, np.int64)
         starts, lengths, owners = (np.array(x, np.int64) for x in (starts, lengths, owners))
-        # By length: the keys of the different windows, where one stands, and their items.
+        # By length: the keys of the different windows, where one stands, the number of their
+        # set of items, and the first of it.
         self.groups = []
+        self.sets: list[np.ndarray] = []
+        known: dict[bytes, int] = {}
         for size in np.unique(lengths).tolist():
             own = np.flatnonzero(lengths == size)
             keys = self.keys(self.flat, starts[own], size)
@@ -65,10 +78,23 @@ class Tests:
             )
             pairs = np.unique(np.stack([inverse.reshape(-1), owners[own]], 1), axis=0)
             ends = np.searchsorted(pairs[:, 0], np.arange(len(first) + 1))
+            sets = np.zeros(len(first), np.int64)
+            for k, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                members = pairs[a:b, 1].tobytes()
+                sets[k] = known.setdefault(members, len(known))
+                if len(known) > len(self.sets):
+                    self.sets.append(np.frombuffer(members, np.int64))
             self.groups.append(
-                (size, [k[first] for k in keys], starts[own][first], ends, pairs[:, 1])
+                (size, [k[first] for k in keys], starts[own][first], sets, pairs[ends[:-1], 1])
             )
 
+    def items(self, sets: list[int]) -> list[str]:
+        """The names of the items in any of the sets."""
+        if not sets:
+            return []
+        members = np.unique(np.concatenate([self.sets[k] for k in sets]))
+        return [self.names[k] for k in members.tolist()]
+
     def keys(self, words: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
         """The words from each place on, some to a key, so that keys compare as suffixes do."""
         padded = np.concatenate([words, np.zeros(size, np.int64)])
@@ -117,7 +143,7 @@ def _longer(tests: Tests, words: np.ndarray, at: np.ndarray, test: np.ndarray, s
 
 
 def _shard(tests: Tests, texts: list[bytes]) -> list[dict]:
-    """What each text of a shard shares with the tests."""
+    """What each text of a shard shares with the tests; for items, the numbers of their sets."""
     flat, starts, counts = array("q"), [], []
     get = tests.vocabulary.get
     for text in texts:
@@ -133,7 +159,7 @@ def _shard(tests: Tests, texts: list[bytes]) -> list[dict]:
     ]
     hits, owners, best = [], [], []
     known = np.flatnonzero(words)
-    for size, keys, starts_of, ends, items in tests.groups:
+    for size, keys, starts_of, sets, items in tests.groups:
         lead = min(size, tests.per_key)
         prefix = tests.keys(words, known, lead)[0]
         wanted = np.unique(keys[0])
@@ -153,13 +179,9 @@ def _shard(tests: Tests, texts: list[bytes]) -> list[dict]:
         places = suffixes[np.arange(len(window)) - np.repeat(np.cumsum(found) - found, found) + low[window]]
         hits.append(np.stack([places, places + size], 1))
         doc = np.searchsorted(first, places, "right") - 1
-        pairs = np.unique(np.stack([doc, window], 1), axis=0)
-        many = ends[pairs[:, 1] + 1] - ends[pairs[:, 1]]
-        begin = np.repeat(ends[pairs[:, 1]], many)
-        inner = np.arange(len(begin)) - np.repeat(np.cumsum(many) - many, many)
-        owners.append(np.stack([np.repeat(pairs[:, 0], many), items[begin + inner]], 1))
+        owners.append(np.unique(np.stack([doc, sets[window]], 1), axis=0))
         length = _longer(tests, words, places, starts_of[window], size)
-        best.append(np.stack([doc, -length, places, items[ends[window]]], 1))
+        best.append(np.stack([doc, -length, places, items[window]], 1))
     if not hits:
         return rows
     spans = np.concatenate(hits)
@@ -170,8 +192,8 @@ def _shard(tests: Tests, texts: list[bytes]) -> list[dict]:
     docs = np.searchsorted(first, spans[new, 0], "right") - 1
     for d, a, b in zip(docs.tolist(), spans[new, 0].tolist(), past.tolist(), strict=True):
         rows[d]["hits"].append({"first": a - starts[d], "past": b - starts[d]})
-    for d, item in np.unique(np.concatenate(owners), axis=0).tolist():
-        rows[d]["items"].append(tests.names[item])
+    for d, number in np.unique(np.concatenate(owners), axis=0).tolist():
+        rows[d]["items"].append(number)
     best = np.concatenate(best)
     best = best[np.lexsort(best.T[::-1])]
     for d, length, at, item in best[np.unique(best[:, 0], return_index=True)[1]].tolist():
@@ -185,23 +207,43 @@ def _tests(key: str, window: int, shared: Broadcast) -> Tests:
     return Tests(shared.value, window)
 
 
-def _finder(items: list[tuple[str, bytes]], window: int, spark):
-    shared, key = spark.sparkContext.broadcast(items), uuid.uuid4().hex
+def _named(tests: Tests, rows: list[dict], named: bool) -> Iterator[tuple[int, list[dict]]]:
+    """The rows with their items' names, or none, and the place of the first, some at a time."""
+    start, size = 0, 0
+    own: list[dict] = []
+    for i, row in enumerate(rows):
+        own.append(row | {"items": tests.items(row["items"]) if named else []})
+        size += len(own[-1]["items"])
+        if size >= MOST_ITEMS:
+            yield start, own
+            start, size, own = i + 1, 0, []
+    if own:
+        yield start, own
 
-    def find(texts: pa.Array) -> pa.Array:
-        tests, out = _tests(key, window, shared), []
-        for _, part in pieces(texts, SHARD_BYTES):
-            out += _shard(tests, part)
-        span = pa.list_(pa.struct([("first", pa.int32()), ("past", pa.int32())]))
-        kind = pa.struct(
-            [
-                ("n_words", pa.int64()), ("hits", span), ("items", pa.list_(pa.string())),
-                ("longest", pa.int32()), ("longest_at", pa.int32()), ("longest_item", pa.string()),
-            ]
-        )
-        return pa.array(out, kind)
 
-    return F.arrow_udf(find, _FOUND)
+def _searched(
+    df: DataFrame, text: str, found: str, items: list[tuple[str, bytes]], window: int, named: bool, merge: bool
+) -> DataFrame:
+    """``df`` with what a block of the benchmark finds, merged with what the last ones found."""
+    shared, key = df.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
+    others = [f for f in df.schema.fields if f.name != found]
+    schema = StructType([*others, StructField(found, DataType.fromDDL(_FOUND))])
+    names, many = [f.name for f in schema.fields], len(others)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tests = _tests(key, window, shared)
+        for batch in batches:
+            for first, texts in pieces(batch.column(batch.num_columns - 1), SHARD_BYTES):
+                for start, rows in _named(tests, _shard(tests, texts), named):
+                    part = batch.slice(first + start, len(rows))
+                    if merge:
+                        rows = list(map(_merged, part.column(many).to_pylist(), rows))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:many], pa.array(rows, _KIND)], names)
+
+    hidden = F.col(f"`{text}`").cast("string").alias(f"__text_{key}")
+    old = [F.col(f"`{found}`")] if merge else []
+    rows = df.select(*[f"`{f.name}`" for f in others], *old, hidden).mapInArrow(run, schema)
+    return rows.select(*[f"`{c}`" for c in [*df.columns, *([] if found in df.columns else [found])]])
 
 
 def _merged(old: dict | None, new: dict) -> dict:
@@ -222,10 +264,6 @@ def _merged(old: dict | None, new: dict) -> dict:
     }
 
 
-def _merge(old: pa.Array, new: pa.Array) -> pa.Array:
-    return pa.array([_merged(a, b) for a, b in zip(old.to_pylist(), new.to_pylist(), strict=True)], new.type)
-
-
 def find(
     df: DataFrame,
     benchmark: DataFrame,
@@ -234,6 +272,7 @@ def find(
     item_text: str = "text",
     window: int = WINDOW,
     found: str = "found",
+    named: bool = True,
 ) -> DataFrame:
     """Add what each whole text shares with the benchmark, as one struct column.
 
@@ -248,9 +287,9 @@ def find(
 
     The benchmark is searched for in blocks of about ``BLOCK_BYTES`` of text; only one
     block at a time is in the memory of the driver and of a worker.  (A single item beyond
-    that size is a block of its own.)
+    that size is a block of its own.)  The items of a document are named when its row is
+    written; with ``named`` off the lists of items stay empty.
     """
-    spark = df.sparkSession
     items = benchmark.select(
         F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("name"),
         F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("words"),
@@ -258,14 +297,9 @@ def find(
     size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     count = -(-size // BLOCK_BYTES) or 1
     block = F.pmod(F.xxhash64("name", "words"), F.lit(count))
-    column = F.col(f"`{text}`").cast("string")
     for k in range(count):
         own = [(r["name"], r["words"].encode()) for r in items.where(block == k).collect()]
-        call = _finder(own, window, spark)(column)
-        if k == 0:
-            df = df.withColumn(found, call)
-        else:
-            df = store(df, "decontaminate").withColumn(found, F.arrow_udf(_merge, _FOUND)(F.col(f"`{found}`"), call))
+        df = _searched(store(df, "decontaminate") if k else df, text, found, own, window, named, k > 0)
     return df
 
 
@@ -279,5 +313,5 @@ def hit_words(found: str = "found"):
 def remove(df: DataFrame, benchmark: DataFrame, text: str = "text", **named) -> DataFrame:
     """The documents without any benchmark window, with their columns as they were."""
     found = f"found_{uuid.uuid4().hex}"
-    rows = find(df, benchmark, text=text, found=found, **named)
+    rows = find(df, benchmark, text=text, found=found, **{"named": False} | named)
     return rows.where(F.size(f"{found}.hits") == 0).drop(found)
