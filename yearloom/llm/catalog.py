@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.llm import bpe, decontaminate, grid_join, html_text, licenses, line_dedup, near_copies, quality, token_counts, toxicity
+from yearloom.llm import (
+    bpe, decontaminate, grid_join, hard_negatives, html_text, impact_index, licenses, line_dedup,
+    near_copies, quality, token_counts, toxicity, whitening,
+)
 from yearloom.llm.common import held_out, table
 from yearloom.session import scratch_path, store
 
@@ -129,6 +132,27 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of other labels that score nearly as high as an anchor's best ones of its own."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op12_impact_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best vectors for every fiftieth one."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    queries = impact_index.build(vectors.where(F.col("vec_id") % 50 == 0))
+    found = impact_index.search(impact_index.build(vectors), queries)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vector along the four leading components, each scaled to variance one."""
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -140,6 +164,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_impact_search": op12_impact_search,
+    "op13_whitening": op13_whitening,
 }
 
 # Words of lower-cased text, for DuckDB.
@@ -148,6 +175,13 @@ _WORDS = (
     "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 )
 
+# Vectors of whole numbers, for DuckDB.
+_WHOLE = """
+SELECT vec_id, {label} AS label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+FROM embeddings
+WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0"""
+
 _TEMPLATES = ", ".join(
     f"({k}, '{label}', {base}, string_split('{words}', ' '))"
     for k, (label, base, words) in enumerate(licenses.TEMPLATES)
@@ -184,6 +218,32 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
   coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
   coalesce(score, 0)::DOUBLE AS score
 FROM d LEFT JOIN rows USING (r)
+""",
+    "op11_hard_negatives": f"""
+WITH v AS (SELECT * FROM ({_WHOLE.format(label="CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")})
+  WHERE label IS NOT NULL),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+  other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""",
+    "op12_impact_search": f"""
+WITH v AS ({_WHOLE.format(label="NULL")}),
+scores AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.x) = len(v.x))
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id, score
+FROM scores QUALIFY rank <= 5
 """,
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
