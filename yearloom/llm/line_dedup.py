@@ -1,135 +1,270 @@
-"""Removal of passages of lines that stand in several documents.
-
-Lines are grouped to chunks whose boundaries depend on what is around them and not on where
-they are: a rolling hash over the hashes of two neighbouring lines decides whether a chunk
-ends between them, and a long line is a chunk of its own.  Lines put in or left out elsewhere
-move no boundary.  At the ends of a passage chunks take in lines around it, and a short passage
-may hold no whole chunk; so pairs of lines that follow each other count beside the chunks, and
-a passage is found from its first line to its last wherever its boundaries are.  The document
-with the smallest key keeps its first copy of a chunk or pair; elsewhere its lines go where
-they and the repeated lines next to them make a passage: several lines, or one of many words.
+"""Removal of passages of lines that stand in several places.
+
+1. Lines are grouped to content-defined chunks: a rolling hash over the hashes of neighbouring
+   lines puts a boundary wherever it is smaller than at a gap beside it, and a line of some words is a
+   chunk of its own.  Lines put in or left out elsewhere move no boundary.
+2. From every chunk on, the shortest run of chunks that makes a passage is an anchor if it stands more than once.
+   The first place of an anchor is its keeper.  From every other place the run is
+   extended line by line, both ways, as long as both texts are equal.  That gives an extent: a passage
+   that stands in the keeper as well.  Runs that begin inside an extent with the same keeper are not extended again.
+3. Each line of an extent is owed to the extent with the first keeper, and goes.  What is owed to a keeper
+   stays there, whatever the keeper itself could lose.  So everything that goes stands in the result,
+   what an extent loses in one piece.
+4. A passage may end up cut in all its places, where different keepers meet.  Short windows of
+   lines at such cuts are therefore compared too, and the first place of a repeated one stays as it is.
+
+Lines are compared by hashes; all lines that go, and those they are owed to, are
+then compared byte by byte, and hashes that different lines share count as unequal.
 """
 
 from __future__ import annotations
 
 from array import array
 from collections.abc import Iterator
-from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yearloom.llm.common import pieces
+from yearloom.operators.joins import ROWS, size_checked_join
 from yearloom.session import store
 
-LONG_LINE = 25  # words of a line that is a chunk of its own
-SPARSE = 2  # one in so many other places between lines is a boundary
+LONG_LINE = 5  # words of a line that is a chunk of its own
 LINES, WORDS = 2, 20  # least lines, and words, of a passage
 MANY_WORDS = 50  # words of a passage of a single line
+REACH = 1000  # lines that an extent goes beyond the outermost anchors with its keeper
 
 _hash = xxhash.xxh3_64_intdigest
-_MASK = (1 << 64) - 1
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+
+def line_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and numbers of words of the lines that hold words; other lines do not count."""
+    hashes, words = array("Q"), array("i")
+    for line in text.split(b"\n"):
+        if count := len(line.split()):
+            hashes.append(_hash(line))
+            words.append(count)
+    return np.frombuffer(hashes, np.uint64), np.frombuffer(words, np.int32)
+
+
+def chunks(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first line of each chunk, and the line after its last one."""
+    n = len(hashes)
+    if not n:
+        return np.zeros(0, int), np.zeros(0, int)
+    with np.errstate(over="ignore"):
+        rolled = hashes[:-1] * _MULTIPLIER + hashes[1:]
+    # Of two gaps next to each other the one with the smaller hash is a boundary.
+    smaller = rolled[:-1] <= rolled[1:]
+    boundary = np.zeros(n - 1, bool)
+    boundary[:-1] |= smaller
+    boundary[1:] |= ~smaller
+    long = words >= LONG_LINE
+    boundary |= long[:-1] | long[1:]
+    starts = np.r_[0, np.flatnonzero(boundary) + 1]
+    return starts, np.r_[starts[1:], n]
+
+
+def is_passage(lines: int, words: int) -> bool:
+    return lines >= LINES and words >= WORDS or words >= MANY_WORDS
+
+
+def runs(hashes: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First line and line after the last of the anchors.
+
+    From each chunk on, the shortest run of chunks with the words of a passage; if that is a single
+    line, also the run with the next chunk.  A passage of over 50 words always holds one, as
+    chunks of several lines have two lines of less than ``LONG_LINE`` words.
+    """
+    starts, ends = chunks(hashes, words)
+    total = np.r_[0, np.cumsum(words)]
+    last = np.searchsorted(total[ends], total[starts] + WORDS)
+    starts, ends, last = starts.tolist(), ends.tolist(), last.tolist()
+    for start, k in zip(starts, last, strict=True):
+        if k < len(ends):
+            yield start, ends[k]
+            if k + 1 < len(ends) and not is_passage(ends[k] - start, int(total[ends[k]] - total[start])):
+                yield start, ends[k + 1]
+
+
+def _sequences(texts: pa.Array) -> pa.Array:
+    """Per text the hashes and words of its lines, and the hash and first line of its anchors."""
+    lines, words, counts, hashes, places = [], [], [0], array("Q"), array("i")
+    for _, part in pieces(texts):
+        for text in part:
+            own, count = line_hashes(text)
+            for start, end in runs(own, count):
+                hashes.append(_hash(own[start:end].tobytes()))
+                places.append(start)
+            lines.append(own.tobytes())
+            words.append(count.tobytes())
+            counts.append(len(hashes))
+    rows = pa.StructArray.from_arrays(
+        [pa.array(np.frombuffer(hashes, np.int64)), pa.array(np.frombuffer(places, np.int32))], ["hash", "start"]
+    )
+    chunked = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), rows)
+    return pa.StructArray.from_arrays(
+        [pa.array(lines, pa.binary()), pa.array(words, pa.binary()), chunked], ["lines", "words", "anchors"]
+    )
 
 
-def chunks(lines: list[bytes]) -> Iterator[tuple[int, int, int]]:
-    """First line, number of lines and number of words of each chunk."""
-    start, words, before, before_long = 0, 0, None, False
-    for i, line in enumerate(lines):
-        count = len(line.split())
-        long, own = count >= LONG_LINE, _hash(line)
-        if before is not None:
-            rolled = ((before * 0x9E3779B97F4A7C15 + own) & _MASK) >> 33
-            if long or before_long or rolled % SPARSE == 0:
-                yield start, i - start, words
-                start, words = i, 0
-        words += count
-        before, before_long = own, long
-    if lines:
-        yield start, len(lines) - start, words
+_SEQUENCES = "struct<lines:binary,words:binary,anchors:array<struct<hash:bigint,start:int>>>"
 
 
-def _signed(number: int) -> int:
-    return number - (1 << 64) if number >> 63 else number
+def _equal(a: np.ndarray, b: np.ndarray, most: int) -> int:
+    """How many values at the beginnings are the same."""
+    n, done, step = min(len(a), len(b), max(0, most)), 0, 16
+    while done < n:
+        end = min(n, done + step)
+        apart = a[done:end] != b[done:end]
+        if apart.any():
+            return done + int(apart.argmax())
+        done, step = end, 2 * step
+    return n
 
 
-def _units(lines: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
-    """First line, line after the last, and bytes of each chunk and each pair of lines with words.
+def extents(
+    own: np.ndarray, words: np.ndarray, keeper: np.ndarray, anchors: list[tuple[int, int]], low: int = 0, same: bool = False
+) -> Iterator[tuple[int, int, int]]:
+    """First line here, first line there and number of lines of the passages equal to the keeper's.
 
-    Blank lines between the two lines of a pair do not count.
+    ``own`` and ``words`` are the lines here from ``low`` on, ``keeper`` all lines there.  ``anchors``
+    are pairs of lines, here and there, with which equal runs begin.  In the ``same`` text a passage
+    and its keeper do not overlap.
     """
-    for start, many, words in chunks(lines):
-        if words:
-            yield start, start + many, b"\n".join(lines[start : start + many])
-    before = None
-    for i, line in enumerate(lines):
-        if line.strip():
-            if before is not None:
-                yield before, i + 1, lines[before] + b"\n" + line
-            before = i
-
-
-def _listed(texts: pa.Array) -> pa.Array:
-    """The hashes of the chunks and pairs of each text, and at how many of its lines each begins."""
-    ends, hashes, counts = [0], array("q"), array("i")
-    for _, part in pieces(texts):
-        for text in part:
-            places: dict[int, set[int]] = {}
-            for start, _, content in _units(text.split(b"\n")):
-                places.setdefault(_signed(_hash(content)), set()).add(start)
-            hashes.extend(places)
-            counts.extend(map(len, places.values()))
-            ends.append(len(hashes))
-    rows = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), pa.array(counts, pa.int32())], ["hash", "n"])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+    done = 0
+    for s, t in sorted(anchors):
+        if s < done or same and s <= t:
+            continue
+        at, room = s - low, s - t if same else len(keeper)
+        after = _equal(own[at:], keeper[t:], room)
+        before = _equal(own[:at][::-1], keeper[:t][::-1], room - after) if after else 0
+        if is_passage(before + after, int(words[at - before : at + after].sum())):
+            done = s + after
+            yield s - before, t - before, before + after
+
+
+def _found(batches: Iterator[pa.RecordBatch], unequal: frozenset[int]) -> Iterator[pa.RecordBatch]:
+    """Extents of rows with a text's lines (from ``low`` on), its anchors, and a keeper's lines."""
+    odd = np.array(sorted(unequal), np.uint64)
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            own, words = np.frombuffer(row["lines"], np.uint64), np.frombuffer(row["words"], np.int32)
+            own = np.where(np.isin(own, odd), ~own, own)
+            keeper = np.frombuffer(row["kept_lines"], np.uint64)
+            same = row["id"] == row["keeper"] and row["digest"] == row["kept_digest"]
+            anchors = [(a["start"], a["there"]) for a in row["anchors"]]
+            for place in extents(own, words, keeper, anchors, row["low"], same):
+                out.append((row["id"], row["digest"], row["keeper"], row["kept_digest"], *place))
+        columns = list(zip(*out, strict=True)) if out else [()] * 7
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _EXTENTS.split(", ")]
+        )
+
+
+_EXTENTS = "id long, digest long, keeper long, kept_digest long, start int, there int, n int"
+
+
+def owed(found: list[dict]) -> list[dict]:
+    """Extents of a text without the lines that an extent with an earlier keeper has."""
+    taken = np.zeros(max((e["start"] + e["n"] for e in found), default=0), bool)
+    out = []
+    for e in sorted(found, key=lambda e: (e["keeper"], e["kept_digest"], e["there"], e["start"], e["n"])):
+        lines = slice(e["start"], e["start"] + e["n"])
+        edges = np.flatnonzero(np.diff(np.r_[True, taken[lines], True].astype(np.int8))).tolist()
+        taken[lines] = True
+        out += [
+            e | {"start": e["start"] + a, "there": e["there"] + a, "n": b - a}
+            for a, b in zip(edges[::2], edges[1::2], strict=True)
+        ]
+    return out
+
+
+_OWED = "array<struct<keeper:bigint,kept_digest:bigint,start:int,there:int,n:int>>"
+
+
+def _owed_all(found: pa.Array) -> pa.Array:
+    names = ("keeper", "kept_digest", "start", "there", "n")
+    rows = [[{k: e[k] for k in names} for e in owed(x)] for x in found.to_pylist()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    return pa.array(rows, pa.list_(pa.struct(list(zip(names, kinds, strict=True)))))
+
+
+def _marks(n: int, going: list[dict], staying: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Per line the number of its extent (-1: none), and whether it goes."""
+    extent = np.full(n, -1)
+    for k, e in enumerate(going):
+        extent[e["start"] : e["start"] + e["n"]] = k
+    goes = extent >= 0
+    for e in staying:
+        goes[e["start"] : e["start"] + e["n"]] = False
+    return extent, goes
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Short runs of lines that their text would lose a part of, and that no one keeper has whole."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            own, words = np.frombuffer(row["lines"], np.uint64), np.frombuffer(row["words"], np.int32)
+            n = len(own)
+            extent, goes = _marks(n, row["going"], row["staying"])
+            total, lost = np.r_[0, np.cumsum(words)], np.r_[0, np.cumsum(goes)]
+            change = np.r_[0, np.cumsum(extent[1:] != extent[:-1])]
+            starts = np.arange(n)
+            ends = np.maximum(np.searchsorted(total, total[:-1] + WORDS), starts + LINES)
+            starts, ends = starts[ends <= n], ends[ends <= n]
+            whole = (extent[starts] >= 0) & (change[starts] == change[ends - 1])
+            for s, e in zip(*(x[(lost[ends] > lost[starts]) & ~whole].tolist() for x in (starts, ends)), strict=True):
+                out.append((_hash(own[s:e].tobytes()), row["id"], s, e - s))
+        hashes = np.array([r[0] for r in out], np.uint64).view(np.int64)
+        columns = [pa.array(hashes), *(pa.array([r[k] for r in out], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32())))]
+        yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "start", "n"])
 
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and bytes of the chunks and pairs found in each text."""
+    """Hash and bytes of the lines that go or are owed something."""
     for batch in batches:
         for first, part in pieces(batch.column(0)):
             rows = set()
-            for text, own in zip(part, batch.column(1).slice(first, len(part)).to_pylist(), strict=True):
-                wanted = {c["hash"] for c in own}
-                for _, _, content in _units(text.split(b"\n")):
-                    if (hashed := _signed(_hash(content))) in wanted:
-                        rows.add((hashed, content))
-            columns = [pa.array([h for h, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.binary())]
+            lists = (batch.column(k).slice(first, len(part)).to_pylist() for k in (1, 2))
+            for text, going, staying in zip(part, *lists, strict=True):
+                lines = [line for line in text.split(b"\n") if line.split()]
+                for e in (*going, *staying):
+                    rows.update((_hash(line), line) for line in lines[e["start"] : e["start"] + e["n"]])
+            hashes = np.array([h for h, _ in rows], np.uint64).view(np.int64)
+            columns = [pa.array(hashes), pa.array([c for _, c in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["hash", "content"])
 
 
-def _cut(text: bytes, found: list[dict]) -> tuple[bytes, int, int]:
+def _cut(text: bytes, going: list[dict], staying: list[dict]) -> tuple[bytes, int, int]:
     """The text without its repeated passages, its number of lines and of lines that went."""
     lines = text.split(b"\n")
-    keeps = {c["hash"]: c["keeps"] for c in found}
-    places = [(start, end, h) for start, end, content in _units(lines) if (h := _signed(_hash(content))) in keeps]
-    first: dict[int, int] = {}
-    for start, _, h in places:
-        first[h] = min(start, first.get(h, start))
-    again = bytearray(len(lines))
-    for start, end, h in places:
-        if not (keeps[h] and start == first[h]):
-            again[start:end] = b"\1" * (end - start)
-    for start, many, words in chunks(lines):
-        if not words and start and again[start - 1]:
-            again[start : start + many] = b"\1" * many  # blank lines go along
-    kept, gone = [], 0
-    for same, run in groupby(lines, lambda _, marks=iter(again): next(marks)):
-        part = list(run)
-        words = sum(len(line.split()) for line in part) if same else 0
-        if same and (len(part) >= LINES and words >= WORDS or words >= MANY_WORDS):
-            gone += len(part)
-        else:
-            kept += part
-    return b"\n".join(kept), len(lines), gone
-
-
-def _cut_all(texts: pa.Array, found: pa.Array) -> pa.Array:
+    full = [k for k, line in enumerate(lines) if line.split()]
+    _, goes = _marks(len(full), going, staying)
+    gone = np.zeros(len(lines), bool)
+    gone[np.array(full, int)[goes]] = True
+    kept, before = [], False
+    for k, line in enumerate(lines):
+        before = bool(gone[k]) if line.split() else before  # blank lines go along
+        gone[k] = before
+        if not before:
+            kept.append(line)
+    return b"\n".join(kept), len(lines), int(gone.sum())
+
+
+def _cut_all(texts: pa.Array, going: pa.Array, staying: pa.Array) -> pa.Array:
     out, lines, gone = [], [], []
     for first, part in pieces(texts):
-        for text, own in zip(part, found.slice(first, len(part)).to_pylist(), strict=True):
-            kept, many, removed = _cut(text, own) if own else (text, text.count(b"\n") + 1, 0)
+        lists = (x.slice(first, len(part)).to_pylist() for x in (going, staying))
+        for text, go, stay in zip(part, *lists, strict=True):
+            kept, many, removed = _cut(text, go, stay) if go else (text, text.count(b"\n") + 1, 0)
             out.append(kept.decode())
             lines.append(many)
             gone.append(removed)
@@ -139,43 +274,111 @@ def _cut_all(texts: pa.Array, found: pa.Array) -> pa.Array:
     )
 
 
-def _by_document(found: DataFrame) -> DataFrame:
-    own = F.collect_set(F.struct("hash", "keeps"))
-    return found.groupBy(F.col("id").alias("__id")).agg(own.alias("__found"))
-
+_PLACE = "array<struct<start:int,n:int>>"
+_PLACES = "2147483648BD"  # lines that one text may have
+
+
+def _extents_of(sequences: DataFrame, unequal: frozenset[int]) -> DataFrame:
+    """All extents of all texts; see ``_EXTENTS``."""
+    places = sequences.select("id", "digest", F.inline("anchors"))
+    # The first place as one number, the key and then the line, as such a minimum needs no sorting.
+    place = F.expr(f"CAST(CAST(id AS DECIMAL(38,0)) * {_PLACES} + start AS DECIMAL(38,0))")
+    again = places.groupBy("hash").agg(F.count(F.lit(1)).alias(ROWS), F.min(place).alias("place"))
+    again = store(again.where(F.col(ROWS) > 1), "repeated-runs")
+    there = F.expr(f"CAST(pmod(place, {_PLACES}) AS INT)").alias("there")
+    keepers = again.select("hash", F.expr(f"(place - pmod(place, {_PLACES})) div {_PLACES}").alias("keeper"), there)
+    own = size_checked_join(places, keepers, ["hash"], "inner", counts=again.select("hash", ROWS))
+    own = own.where((F.col("id") != F.col("keeper")) | (F.col("start") != F.col("there")))
+    anchor = F.collect_set(F.struct("start", "there")).alias("anchors")
+    pairs = store(own.groupBy("id", "digest", "keeper").agg(anchor), "anchors")
+
+    lines = sequences.select("id", "digest", "lines", "words")
+    low = F.greatest(F.array_min("anchors")["start"] - REACH, F.lit(0))
+    high = F.array_max("anchors")["start"] + REACH
+    here = pairs.join(lines, ["id", "digest"])
+    piece = lambda c, width: F.substring(c, low * width + 1, (high - low) * width)
+    here = here.select(
+        "id", "digest", "keeper", "anchors", low.alias("low"), piece(F.col("lines"), 8).alias("lines"), piece(F.col("words"), 4).alias("words")
+    )
+    there = lines.select(F.col("id").alias("keeper"), F.col("digest").alias("kept_digest"), F.col("lines").alias("kept_lines"))
+    counts = store(pairs.groupBy("keeper").agg(F.count(F.lit(1)).alias(ROWS)), "keeper-counts")
+    there = there.join(counts.select("keeper"), "keeper", "left_semi")
+    both = size_checked_join(here, there, ["keeper"], "inner", counts=counts)
+    return both.mapInArrow(lambda batches: _found(batches, unequal), _EXTENTS)
 
-def repeated(docs: DataFrame) -> DataFrame:
-    """What stands more than once: ``id``, ``hash``, and whether this document ``keeps`` it.
 
-    Of the documents with a key.  Hashes that different bytes share are left out.
+def _marked(sequences: DataFrame, unequal: frozenset[int]) -> DataFrame:
+    """Per text with any: the extents that are ``going``, and the places owed to others, ``staying``."""
+    found = _extents_of(sequences, unequal).groupBy("id", "digest").agg(
+        F.collect_set(F.struct("keeper", "kept_digest", "start", "there", "n")).alias("found")
+    )
+    going = found.select("id", "digest", F.arrow_udf(_owed_all, _OWED)("found").alias("going"))
+    going = store(going, "extents")
+    kept = going.select(F.inline("going")).groupBy(F.col("keeper").alias("id"), F.col("kept_digest").alias("digest"))
+    kept = kept.agg(F.collect_set(F.struct(F.col("there").alias("start"), "n")).alias("staying"))
+    both = going.select("id", "digest", F.expr(f"CAST(transform(going, e -> struct(e.start, e.n)) AS {_PLACE})").alias("going"))
+    none = F.array().cast(_PLACE)
+    both = both.join(kept, ["id", "digest"], "full")
+    marked = both.select("id", "digest", F.coalesce("going", none).alias("going"), F.coalesce("staying", none).alias("staying"))
+    return store(marked, "marks")
+
+
+def _with_windows(marked: DataFrame, sequences: DataFrame) -> DataFrame:
+    """Adds to what is ``staying`` the first place of every repeated window at a cut."""
+    losing = marked.where(F.size("going") > 0).join(sequences.select("id", "digest", "lines", "words"), ["id", "digest"])
+    windows = losing.select("id", "lines", "words", "going", "staying").mapInArrow(_windows, "hash long, id long, start int, n int")
+    first = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("id", "start", "n")).alias("place")).where("many > 1")
+    stays = first.select("place.*").groupBy("id").agg(F.collect_set(F.struct("start", "n")).alias("more"))
+    joined = marked.join(stays, "id", "left")
+    staying = F.concat("staying", F.coalesce("more", F.array().cast(_PLACE)))
+    return joined.select("id", "digest", "going", staying.alias("staying"))
+
+
+def marks(docs: DataFrame) -> DataFrame:
+    """What goes and stays of the texts (``id``, ``digest``, ``text``) that repeat anything.
+
+    Of rows with a key.  ``going`` and ``staying`` are places among the lines that hold words: first line and
+    number of lines; what is in both stays.
     """
     docs = docs.where("id is not null")
-    listed = F.arrow_udf(_listed, "array<struct<hash:bigint,n:int>>")
-    rows = docs.select("id", F.inline(listed("text")))
-    more = rows.groupBy("hash").agg(F.sum("n").alias("all"), F.min("id").alias("keeper")).where("`all` > 1")
-    own = rows.join(more, "hash").select("id", "hash", (F.col("id") == F.col("keeper")).alias("keeps"))
-    found = store(own, "repeated-lines")
+    sequences = docs.select("id", "digest", F.arrow_udf(_sequences, _SEQUENCES)("text").alias("all"))
+    sequences = store(sequences.distinct().select("id", "digest", "all.*").where("octet_length(lines) > 0"), "lines")
+    marked = _marked(sequences, frozenset())
     # Grouping by the bytes compares them.
-    texts = docs.join(_by_document(found), F.col("id") == F.col("__id")).select("text", "__found")
+    place = F.struct(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "going", "staying").alias("m")
+    owing = marked.select(place)
+    same = (F.col("id") == F.col("m.__id")) & (F.col("digest") == F.col("m.__digest"))
+    texts = docs.join(owing, same).select("text", "m.going", "m.staying")
     contents = texts.mapInArrow(_contents, "hash bigint, content binary")
     different = contents.groupBy("hash", "content").agg(F.lit(1).alias("one")).groupBy("hash").count()
-    return found.join(different.where("count > 1"), "hash", "left_anti")
+    # Hashes of 64 bits: two or more lines share one about once in ten billion lines.
+    unequal = frozenset(r["hash"] % (1 << 64) for r in different.where("count > 1").select("hash").collect())
+    if unequal:
+        marked = _marked(sequences, unequal)
+    return store(_with_windows(marked.where(F.size("going") > 0), sequences), "cuts")
 
 
 def cut(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "cut") -> DataFrame:
     """Add a struct: the ``text`` without repeated passages, its ``lines``, and those ``gone``.
 
-    Null and empty texts have an empty ``text`` and one line.  Rows without a key
-    keep their text, and no other row loses what only they hold; rows that share a key count as one document.
-    Every row is kept; other columns are untouched, a column of the name ``out`` is replaced.
+    A passage is a run of at least two lines and 20 words, or a line of 50; blank lines between its
+    lines do not count and go along.  Repeats within a text go as well.  Every passage that stands
+    twice in the input stands in the result, cut to windows of 20 words at worst.
+
+    Null and empty texts have an empty ``text`` and one line.  Keys are whole numbers.  Rows without a
+    key keep their text, and no other row loses what only they hold.  Of rows that share a key each text counts once, so
+    full copies of a row lose the same.  Every row is kept; other columns are untouched, a column of the name ``out``
+    is replaced.
     """
-    docs = df.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = _by_document(repeated(docs))
-    joined = df.join(found, F.col(f"`{key}`") == F.col("__id"), "left")
+    content = F.col(f"`{text}`").cast("string")
+    number, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(content)
+    found = marks(df.select(number.alias("id"), digest.alias("digest"), content.alias("text")))
+    found = found.toDF("__id", "__digest", "__going", "__staying")
+    joined = df.join(found, (number == F.col("__id")) & (digest == F.col("__digest")), "left")
     # Not to be moved or repeated by the optimizer, which would cut each text twice.
     call = F.arrow_udf(_cut_all, "struct<text:string,lines:bigint,gone:bigint>").asNondeterministic()
-    none = F.coalesce("__found", F.array().cast(found.schema["__found"].dataType))
-    return joined.withColumn(out, call(F.col(f"`{text}`").cast("string"), none)).drop("__id", "__found")
+    lists = [F.coalesce(c, F.array().cast(_PLACE)) for c in ("__going", "__staying")]
+    return joined.withColumn(out, call(content, *lists)).drop(*found.columns)
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
