@@ -195,18 +195,23 @@ grams AS (
   SELECT template, label, base, len(w) - 1 AS pairs, i - 1 AS place, w[i] AS a, w[i + 1] AS b
   FROM t, unnest(range(1, len(w))) AS s(i)),
 places AS (SELECT r, i - 1 AS pos, w[i] AS a, w[i + 1] AS b FROM d, unnest(range(1, len(w))) AS s(i)),
-lines AS (
-  SELECT r, template, label, base, pairs, pos - place AS diagonal, count(*) AS votes
-  FROM places JOIN grams USING (a, b) GROUP BY ALL),
-cut AS (
-  SELECT *, CASE WHEN base OR diagonal - lag(diagonal) OVER w <= {licenses.NEAR} IS NOT TRUE THEN 1 ELSE 0 END AS apart
-  FROM lines WINDOW w AS (PARTITION BY r, template ORDER BY diagonal)),
-numbered AS (SELECT *, sum(apart) OVER (PARTITION BY r, template ORDER BY diagonal) AS span FROM cut),
+matches AS (SELECT r, template, label, base, pairs, pos, place FROM places JOIN grams USING (a, b)),
+-- Every diagonal with a match begins a span; a place of the template counts where it stands first in it.
+firsts AS (
+  SELECT m.r, m.template, m.label, m.base, m.pairs, d.start, m.place, min(m.pos) AS pos
+  FROM (SELECT DISTINCT r, template, pos - place AS start FROM matches) d
+  JOIN matches m ON m.r = d.r AND m.template = d.template
+    AND m.pos - m.place BETWEEN d.start AND d.start + CASE WHEN m.base THEN 0 ELSE {licenses.DRIFT} END
+  GROUP BY ALL),
+-- And only if it comes after all earlier places of the template.
+ordered AS (
+  SELECT *, pos > coalesce(max(pos) OVER (PARTITION BY r, template, start ORDER BY place
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) AS follows FROM firsts),
 spans AS (
-  SELECT r, label, base, min(diagonal) AS start, least(sum(votes) / pairs, 1.0::DOUBLE) AS share,
-    CASE WHEN base THEN sum(votes) = pairs
-      ELSE sum(votes) >= {licenses.VOTES} AND sum(votes) / pairs >= {licenses.SHARE} END AS found
-  FROM numbered GROUP BY r, template, label, base, pairs, span),
+  SELECT r, label, base, start, count(*) FILTER (follows) / pairs AS share,
+    CASE WHEN base THEN count(*) FILTER (follows) = pairs
+      ELSE count(*) FILTER (follows) >= {licenses.VOTES} AND count(*) FILTER (follows) / pairs >= {licenses.SHARE} END AS found
+  FROM ordered GROUP BY r, template, label, base, pairs, start),
 rows AS (
   SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
     max(start) FILTER (base) AS last_word,

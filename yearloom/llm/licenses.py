@@ -3,9 +3,10 @@
 All pairs of neighbouring words of a text are joined, by their hash and then by the words
 themselves, to the places of the pairs in a few fixed templates.  Each match votes for the
 diagonal "place in the text minus place in the template".  A base phrase stands where a
-diagonal has all its votes.  For longer templates neighbouring diagonals, between which a
-word was put in or left out, are merged, and a span counts if enough of the template is
-there.
+diagonal has all its votes.  For longer templates neighbouring diagonals, between which
+words were put in or left out, are merged to a span that drifts by a few words at most.  A span
+is verified: each place of the template counts once, where it stands first, and
+only if it comes after all earlier places.  It is found if enough of the template is there.
 """
 
 from __future__ import annotations
@@ -37,9 +38,9 @@ TEMPLATES = (
     ("unlicense", False, "this is free and unencumbered software released into the public domain"),
 )
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-NEAR = 2  # diagonals that are merged are this close at most
+DRIFT = 4  # words by which the diagonals of a span differ at most
 SHARE = 0.6  # of the word pairs of a template
-VOTES = 3
+VOTES = 3  # word pairs
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -66,6 +67,22 @@ def _pairs(words: str) -> Column:
     return F.arrays_zip(F.col(words).alias("a"), following.alias("b"))
 
 
+def _verified(span: str) -> Column:
+    """How many places of the template follow each other in the diagonals of a span.
+
+    ``span`` is an array of diagonals (``line``) and the template's places on them (``places``, a bit each),
+    by rising diagonal.
+    """
+    zero = "named_struct('last', -1, 'count', 0)"
+    # Of the diagonals with the place, the first has it first in the text.
+    pos = f"i + filter({span}, d -> (d.places & shiftleft(1L, i)) != 0)[0].line"
+    seen = f"exists({span}, d -> (d.places & shiftleft(1L, i)) != 0)"
+    step = f"CASE WHEN {seen} AND {pos} > s.last THEN named_struct('last', {pos}, 'count', s.count + 1) ELSE s END"
+    found = F.expr(f"aggregate(sequence(0, CAST(pairs AS INT) - 1), {zero}, (s, i) -> {step}).count")
+    places = F.expr(f"bit_count(aggregate({span}, 0L, (s, d) -> s | d.places))")
+    return F.when(places >= VOTES, found).otherwise(F.lit(0))
+
+
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: ``key``, ``n_words``, ``n_base``, ``first_word``, ``last_word``,
     ``base_labels``, ``labels`` and ``score``.
@@ -76,6 +93,9 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     commas, empty if there are none.  ``score`` is the largest share of a template found:
     1 with a base phrase, 0 without any span.  Null and empty texts have no words.  Rows
     that share a key, or have none, are told apart and each give a row.
+
+    ``df`` has to give its rows in the same order if a task is run again, as files and stored tables
+    do: rows are numbered where they are read.
     """
     docs = df.select(
         F.monotonically_increasing_id().alias("row"),
@@ -95,22 +115,19 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     votes = joined.where("template is not null or pos is null or pos = 0")
     template = ["template", "label", "base", "pairs"]
     lines = votes.groupBy("row", "key", "n_words", *template, (F.col("pos") - F.col("at")).alias("line")).agg(
-        F.count("template").alias("votes")
-    )
-    order = Window.partitionBy("row", "template").orderBy("line")
-    apart = F.coalesce(F.col("base") | (F.col("line") - F.lag("line").over(order) > NEAR), F.lit(True))
-    numbered = lines.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(order))
-    spans = numbered.groupBy("row", "key", "n_words", *template, "span").agg(
-        F.min("line").alias("start"), F.sum("votes").alias("votes")
+        F.count("template").alias("votes"), F.bit_or(F.expr("shiftleft(1L, at)")).alias("places")
     )
-    share = F.least(F.col("votes") / F.col("pairs"), F.lit(1.0))
-    base = F.col("base") & (F.col("votes") == F.col("pairs"))
-    other = ~F.col("base") & (F.col("votes") >= VOTES) & (share >= SHARE)
+    near = Window.partitionBy("row", "template").orderBy("line").rangeBetween(0, DRIFT)
+    merged = lines.withColumn("span", F.when(~F.col("base"), F.collect_list(F.struct("line", "places")).over(near)))
+    spans = merged.withColumn("count", F.when(~F.col("base"), _verified("span")).otherwise(F.col("votes")))
+    share = F.col("count") / F.col("pairs")
+    base = F.col("base") & (F.col("count") == F.col("pairs"))
+    other = ~F.col("base") & (F.col("count") >= VOTES) & (share >= SHARE)
     labels = lambda where: F.array_join(F.array_sort(F.collect_set(F.when(where, F.col("label")))), ",")
     result = spans.groupBy("row", "key", "n_words").agg(
         F.count(F.when(base, 1)).alias("n_base"),
-        F.min(F.when(base, F.col("start"))).cast("long").alias("first_word"),
-        F.max(F.when(base, F.col("start"))).cast("long").alias("last_word"),
+        F.min(F.when(base, F.col("line"))).cast("long").alias("first_word"),
+        F.max(F.when(base, F.col("line"))).cast("long").alias("last_word"),
         labels(base).alias("base_labels"),
         labels(base | other).alias("labels"),
         F.coalesce(F.max(F.when(base | other, share)), F.lit(0.0)).alias("score"),
