@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from yearloom.llm import catalog
@@ -32,6 +34,54 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<script src=/js/>var leaked = 1;</script><p>{GOOD}</p>", GOOD),
+        (f"<style media=all/>p{{}}</style><svg/><p>{GOOD}</p>", GOOD),
+        (f"<script>a</scripts>b</script ><p>{GOOD}</p>", GOOD),
+        (f"<body><form action=/><nav>{GOOD}</nav><div><p>{GOOD}</p></div></form></body>", GOOD),
+        (f"<form><div><p>{GOOD}</p></div><div id=comments><p>A {GOOD}</p><p>B {GOOD}</p></div></form>", GOOD),
+        (f"<div class='market-share'><p>{GOOD}</p></div>", GOOD),
+        (f"<div class='social-policy' id=ad-free-reading><p>{GOOD}</p></div><div class=left-sidebar>{GOOD}</div>", GOOD),
+        (f"<div class='content widget'><p>{GOOD}</p></div><div class=widget-2>Short.</div>", GOOD),
+        (f"<div class=comments><div class=widget><p>{GOOD}</p></div></div>", GOOD),
+        (f"<article><p>A short one.</p></article><div class=ad><p>{GOOD}</p></div>", "A short one."),
+        (f"<article><p>{GOOD}</p><p>Photo © a friend.</p></article><p>© all rights</p>", f"{GOOD}\n\nPhoto © a friend."),
+        (f"<p>{GOOD}</p><div class='post-comments'><p>A {GOOD}</p><p>B {GOOD}</p></div><form><p>{GOOD}</p></form>", GOOD),
+        (f"<nav><p>{GOOD}</p></nav><footer><p>{GOOD}</p></footer>", ""),
+        ("<p>don't <b x=\"1>one</b> it's</p>", "don't one it's"),
+        ("<p>a <b c='>' d=\">\">e</b> f", "a e f"),
+        ("<p>a <b c d", "a <b c d"),
+        ("a <b <i>c</i>", "a <b c"),
+    ],
+)
+def test_hard_pages(page, text):
+    assert main_text(page) == text
+
+
+def _seconds(page):
+    start = time.perf_counter()
+    main_text(page)
+    return time.perf_counter() - start
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<a ", "<a b=\"c ", "<a \"<b", "<!-", "<div></p>", "<div>", "</p>", "<p class=x>a", "<form>a", "<li>a<ul>", "<b '", "<a b='\">", "<x =\"<y ='"],
+)
+def test_time_grows_with_the_length(part):
+    """Up to four megabytes of broken markup."""
+    short, long = part * (2**20 // len(part)), part * (2**22 // len(part))
+    assert _seconds(long) < 8 * _seconds(short) + 1
+
+
+def test_many_open_and_stray_elements():
+    pages = ["<div>" * n + "</p>" * n + GOOD for n in (2**16, 2**18)]
+    assert _seconds(pages[1]) < 8 * _seconds(pages[0]) + 1
+    assert main_text(pages[0]) == GOOD
+
+
 def test_deep_and_long_pages():
     assert main_text("<div>" * 5000 + GOOD + "</div>" * 5000) == GOOD
     assert main_text(f"<article>{'<p>' + GOOD + '</p>'}</article>" * 300).count("\n\n") == 299
@@ -44,6 +94,10 @@ def test_messy_rows(spark):
     assert sorted(r["text"] for r in result.collect()) == ["", "", "", GOOD]
     assert extract(pages.limit(0)).count() == 0
     assert result.columns == pages.columns
+    clash = pages.selectExpr("*", "1 AS block", "'x' AS label", "2 AS section", "3 AS page", "4 AS n_chars")
+    found = extract(clash)
+    assert found.columns == clash.columns
+    assert all((r["block"], r["label"], r["section"], r["page"]) == (1, "x", 2, 3) for r in found.collect())
 
 
 def test_query_gives_the_articles(spark, folder):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -29,22 +30,26 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 RAW = frozenset("script style noscript template textarea iframe svg select object math".split())
-ASIDE = frozenset(
-    "nav footer aside form menu dialog head title button label fieldset search".split()
-)
+SELF_CLOSING = frozenset("svg math".split())  # of these, elements that a slash can end
+ASIDE = frozenset("nav footer aside menu dialog head title button label fieldset search".split())
 SECTION = frozenset("article main section".split())
-# Names of page parts, as sites use them in class, id and role.
-ASIDE_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|complementary|contentinfo|"
-    r"cookies?|consent|disqus|footer|gdpr|masthead|menu|modal|nav|navbar|navigation|newsletter|"
-    r"notices?|pagination|popup|promo\w*|related|replies|share|sharing|sidebar|site-?header|"
-    r"social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])",
-    re.I,
+# Names of page parts, as sites use them in class, id and role, and words that go with them.
+PART = frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
+    "complementary contentinfo cookie cookies consent disqus footer gdpr masthead menu modal nav navbar "
+    "navigation newsletter notice notices pagination popup promo promos promotion related replies share "
+    "sharing sidebar siteheader social sponsor sponsors sponsored subscribe toolbar widget widgets".split()
+)
+BESIDE = frozenset(
+    "a area bar block bottom box btn button buttons col column container content desktop fixed float "
+    "form global group header holder icons inline inner items left links list main media mobile module "
+    "outer page panel post posts primary reply right row secondary section side site slot sticky sub tertiary "
+    "the top unit user users wrap wrapper zone".split()
 )
 # Elements that hold the article, whatever their names say, and names that tell what a page has.
 WHOLE = frozenset("html body main article".split())
 _HAS = re.compile(r"(?:^|[_-])(?:no|not|has|with|without|hide|show)[_-].*", re.I | re.S)
-_STATE = re.compile(r"[_-](?:open|opened|closed|enabled|disabled)$", re.I)
+_SPLIT = re.compile(r"[-_\d]+")
 
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -64,21 +69,39 @@ SHORT = 70  # characters below which a block without links is undecided
 LONG = 200
 LINKED = 0.33  # share of link text from which a block is a menu
 DENSE, SPARSE = 0.12, 0.04  # shares of stop words
+MOST = 10  # times the undecided text that an aside has to hold to be the main text
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.S,
-)
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/<>]*)")
+_STOP = re.compile("[<>\"']")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _WORD = re.compile(r"[^\W\d_]+")
 _HEADING = re.compile(r"h[1-6]")
 
 
+def is_part(name: str) -> bool:
+    """Whether a class, id or role names a page part.
+
+    All of its words have to: "left-sidebar" does, "market-share" and "no-sidebar" do not.
+    """
+    words = [w for w in _SPLIT.split(_HAS.sub("", name.lower())) if w]
+    return any(w in PART for w in words) and all(w in PART or w in BESIDE for w in words)
+
+
+@dataclass
+class Aside:
+    """An element whose content is not main text; ``firm`` if that does not depend on its name."""
+
+    firm: bool
+    outer: Aside | None
+    depth: int
+    dense: int = 0  # characters of dense blocks right inside
+    holds: bool = False  # the page's main text after all
+
+
 @dataclass
 class Block:
     section: int
-    aside: bool
+    inside: Aside | None
     heading: bool
     parts: list[tuple[str, bool]] = field(default_factory=list)
 
@@ -95,7 +118,8 @@ class _Reader:
 
     def __init__(self) -> None:
         self.blocks: list[Block] = []
-        self.stack: list[tuple[str, bool, int]] = []  # element, inside an aside, section
+        self.stack: list[tuple[str, Aside | None, int]] = []  # element, aside around it, section
+        self.names: Counter[str] = Counter()  # of open elements
         self.sections = 0
         self.links = 0
         self.block: Block | None = None
@@ -111,43 +135,47 @@ class _Reader:
         if self.block is None:
             if not content.strip():
                 return
-            _, aside, section = self.stack[-1] if self.stack else ("", False, 0)
+            _, aside, section = self.stack[-1] if self.stack else ("", None, 0)
             heading = any(_HEADING.fullmatch(name) for name, _, _ in self.stack[-3:])
             self.block = Block(section, aside, heading)
         self.block.parts.append((content, self.links > 0))
 
     def open(self, name: str, attributes: str) -> None:
-        _, aside, section = self.stack[-1] if self.stack else ("", False, 0)
         if name in BLOCK:
             self.cut()
             # A block element ends an open paragraph and, of its own kind, an open item.
             if self.stack and self.stack[-1][0] == "p" or name in ("li", "td", "tr", "dd", "dt", "option") and self.stack and self.stack[-1][0] == name:
-                self.stack.pop()
+                self.names[self.stack.pop()[0]] -= 1
+        _, aside, section = self.stack[-1] if self.stack else ("", None, 0)
         if name == "a":
             self.links = 1
         if name in VOID:
             return
+        hidden, named = self.marked(name, attributes)
         # A header names the page, unless it stands inside the article.
-        away = name in ASIDE or name == "header" and not section or self.marked(name, attributes)
-        if name in SECTION and not away:
+        firm = hidden or name in ASIDE or name == "header" and not section
+        if firm or named or name == "form":
+            self.cut()
+            aside = Aside(firm, aside, aside.depth + 1 if aside else 0)
+        elif name not in BLOCK:
+            return
+        elif name in SECTION:
             self.sections += 1
             section = self.sections
-        if name in BLOCK or away:
-            if away:
-                self.cut()
-            self.stack.append((name, aside or away, section))
+        self.stack.append((name, aside, section))
+        self.names[name] += 1
 
     @staticmethod
-    def marked(element: str, attributes: str) -> bool:
+    def marked(element: str, attributes: str) -> tuple[bool, bool]:
+        """Whether the element is hidden, and whether it has the name of a page part."""
+        hidden = named = False
         for m in _ATTRIBUTE.finditer(attributes):
             name, given = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name == "hidden" or name == "aria-hidden" and "=" in m[0]:
-                if given.lower() != "false":
-                    return True
+                hidden |= given.lower() != "false"
             elif name in ("class", "id", "role") and element not in WHOLE:
-                if any(ASIDE_NAME.search(_HAS.sub("", x)) for x in given.split() if not _STATE.search(x)):
-                    return True
-        return False
+                named |= any(map(is_part, given.split()))
+        return hidden, named
 
     def close(self, name: str) -> None:
         if name == "a":
@@ -155,45 +183,79 @@ class _Reader:
         if name not in BLOCK and not any(name == n for n, _, _ in self.stack[-4:]):
             return
         self.cut()
-        for k in range(len(self.stack) - 1, -1, -1):
-            if self.stack[k][0] == name:
-                del self.stack[k:]
+        while self.names[name]:  # without an open element of the name there is nothing to end
+            ended = self.stack.pop()[0]
+            self.names[ended] -= 1
+            if ended == name:
                 break
 
 
+def _tag_end(page: str, start: int, last: dict[str, int]) -> tuple[int, bool]:
+    """Where a tag ends, and that it does; else where the next one begins, or the page ends.
+
+    ``last`` has the places of the page's last quotes, which open nothing.
+    """
+    while found := _STOP.search(page, start):
+        at, sign = found.start(), found[0]
+        if sign == ">":
+            return at + 1, True
+        if sign == "<":
+            return at, False
+        start = at + 1
+        before = at - 1
+        while page[before].isspace():
+            before -= 1
+        if page[before] == "=" and at < last[sign]:
+            start = page.index(sign, start) + 1
+    return len(page), False
+
+
 def blocks(page: str) -> list[Block]:
+    """One pass over the page; a tag that does not end is text."""
     reader, start, n = _Reader(), 0, len(page)
+    last = {sign: page.rfind(sign) for sign in "\"'"}
     while start < n:
-        found = _TOKEN.search(page, start)
-        if found is None:
-            reader.text(page[start:])
-            break
-        if found.start() > start:
-            reader.text(page[start : found.start()])
-        start = found.end()
-        name = (found[2] or "").lower()
-        if not name:
-            continue
-        if found[1]:
-            reader.close(name)
-        elif name in RAW:
-            if not found[3].endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, start)
-                start = end.end() if end else n
-        elif name == "br":
-            reader.text(" ")
+        at = page.find("<", start)
+        if at != start:
+            reader.text(page[start : at if at >= 0 else n])
+            if at < 0:
+                break
+        tag = _NAME.match(page, at)
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            start = end + 3 if end >= 0 else n
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at)
+            start = end + 1 if end >= 0 else n
+        elif tag is None:
+            reader.text("<")
+            start = at + 1
         else:
-            reader.open(name, found[3])
+            start, ends = _tag_end(page, tag.end(), last)
+            if not ends:
+                reader.text(page[at:start])
+                continue
+            name, attributes = tag[2].lower(), page[tag.end() : start - 1]
+            if tag[1]:
+                reader.close(name)
+            elif name in RAW:
+                if not (name in SELF_CLOSING and attributes.endswith("/")):
+                    end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, start)
+                    start = end.end() if end else n
+            elif name == "br":
+                reader.text(" ")
+            else:
+                reader.open(name, attributes)
     reader.cut()
     return reader.blocks
 
 
 def judged(block: Block) -> bool | None:
-    """First pass: main text, not main text, or undecided."""
+    """First pass, wherever the block stands: main text, not main text, or undecided."""
     length = len(block.text)
-    if block.aside or block.linked > LINKED * length:
+    if block.linked > LINKED * length:
         return False
-    if "©" in block.text and length < LONG:
+    if "©" in block.text and length < LONG and not block.section:
         return False
     if block.heading or length < SHORT:
         return None
@@ -204,9 +266,40 @@ def judged(block: Block) -> bool | None:
     return None
 
 
+def _around(page: list[Block], first: list[bool | None]) -> None:
+    """Marks the asides that hold the main text after all.
+
+    Where all dense text stands in asides, names and forms have misled: the outermost one that is
+    not firm, nor inside a firm one, and has dense text of its own is no aside, nor what is around it.  Of several the one
+    with the most text.
+    """
+    inside = [(b, b.inside) for b, label in zip(page, first, strict=True) if label]
+    if any(aside is None for _, aside in inside):
+        return
+    outside = sum(len(b.text) for b, label in zip(page, first, strict=True) if b.inside is None and label is None)
+    found: dict[int, Aside] = {}
+    for block, aside in inside:
+        aside.dense += len(block.text)
+        found[id(aside)] = aside
+    best = None
+    for aside in found.values():
+        if best is None or (aside.depth, -aside.dense) < (best.depth, -best.dense):
+            outer = aside
+            while outer is not None and not outer.firm:
+                outer = outer.outer
+            best = aside if outer is None else best
+    if best is not None and best.dense < MOST * outside:
+        return  # a short article beside other parts
+    while best is not None:
+        best.holds = True
+        best = best.outer
+
+
 def labels(page: list[Block]) -> list[bool]:
     """Second pass: undecided blocks follow their nearest decided neighbour."""
     first = [judged(b) for b in page]
+    _around(page, first)
+    first = [False if b.inside is not None and not b.inside.holds else x for b, x in zip(page, first, strict=True)]
     n = len(first)
 
     def sweep(order) -> list[dict[int | None, int]]:
