@@ -295,14 +295,14 @@ def _extents_of(sequences: DataFrame, unequal: frozenset[int]) -> DataFrame:
     lines = sequences.select("id", "digest", "lines", "words")
     low = F.greatest(F.array_min("anchors")["start"] - REACH, F.lit(0))
     high = F.array_max("anchors")["start"] + REACH
-    here = pairs.join(lines, ["id", "digest"])
+    here = lines.join(pairs.hint("merge"), ["id", "digest"])
     piece = lambda c, width: F.substring(c, low * width + 1, (high - low) * width)
     here = here.select(
         "id", "digest", "keeper", "anchors", low.alias("low"), piece(F.col("lines"), 8).alias("lines"), piece(F.col("words"), 4).alias("words")
     )
     there = lines.select(F.col("id").alias("keeper"), F.col("digest").alias("kept_digest"), F.col("lines").alias("kept_lines"))
     counts = store(pairs.groupBy("keeper").agg(F.count(F.lit(1)).alias(ROWS)), "keeper-counts")
-    there = there.join(counts.select("keeper"), "keeper", "left_semi")
+    there = there.join(counts.select("keeper").hint("merge"), "keeper", "left_semi")
     both = size_checked_join(here, there, ["keeper"], "inner", counts=counts)
     return both.mapInArrow(lambda batches: _found(batches, unequal), _EXTENTS)
 
@@ -325,37 +325,40 @@ def _marked(sequences: DataFrame, unequal: frozenset[int]) -> DataFrame:
 
 def _with_windows(marked: DataFrame, sequences: DataFrame) -> DataFrame:
     """Adds to what is ``staying`` the first place of every repeated window at a cut."""
-    losing = marked.where(F.size("going") > 0).join(sequences.select("id", "digest", "lines", "words"), ["id", "digest"])
+    losing = marked.where(F.size("going") > 0).hint("merge")
+    losing = sequences.select("id", "digest", "lines", "words").join(losing, ["id", "digest"])
     windows = losing.select("id", "lines", "words", "going", "staying").mapInArrow(_windows, "hash long, id long, start int, n int")
-    first = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), F.min(F.struct("id", "start", "n")).alias("place")).where("many > 1")
+    place = F.min(F.struct("id", "start", "n")).alias("place")
+    first = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("many"), place).where("many > 1")
     stays = first.select("place.*").groupBy("id").agg(F.collect_set(F.struct("start", "n")).alias("more"))
     joined = marked.join(stays, "id", "left")
     staying = F.concat("staying", F.coalesce("more", F.array().cast(_PLACE)))
-    return joined.select("id", "digest", "going", staying.alias("staying"))
+    return store(joined.select("id", "digest", "going", staying.alias("staying")), "cuts")
 
 
-def marks(docs: DataFrame) -> DataFrame:
-    """What goes and stays of the texts (``id``, ``digest``, ``text``) that repeat anything.
+def sequences(docs: DataFrame) -> DataFrame:
+    """The lines of the texts with words, stored once for each key and digest."""
+    all_of = F.arrow_udf(_sequences, _SEQUENCES)("text").alias("all")
+    rows = docs.where("id is not null").select("id", "digest", all_of).distinct()
+    return store(rows.select("id", "digest", "all.*").where("octet_length(lines) > 0"), "lines")
 
-    Of rows with a key.  ``going`` and ``staying`` are places among the lines that hold words: first line and
-    number of lines; what is in both stays.
+
+def marks(lines: DataFrame, unequal: frozenset[int] = frozenset()) -> DataFrame:
+    """What goes and stays of the texts (``sequences``) that repeat anything.
+
+    ``going`` and ``staying`` are places among the lines that hold words: first line and
+    number of lines; what is in both stays.  Lines with an ``unequal`` hash equal no others.
     """
-    docs = docs.where("id is not null")
-    sequences = docs.select("id", "digest", F.arrow_udf(_sequences, _SEQUENCES)("text").alias("all"))
-    sequences = store(sequences.distinct().select("id", "digest", "all.*").where("octet_length(lines) > 0"), "lines")
-    marked = _marked(sequences, frozenset())
-    # Grouping by the bytes compares them.
-    place = F.struct(F.col("id").alias("__id"), F.col("digest").alias("__digest"), "going", "staying").alias("m")
-    owing = marked.select(place)
-    same = (F.col("id") == F.col("m.__id")) & (F.col("digest") == F.col("m.__digest"))
-    texts = docs.join(owing, same).select("text", "m.going", "m.staying")
-    contents = texts.mapInArrow(_contents, "hash bigint, content binary")
+    return _with_windows(_marked(lines, unequal), lines)
+
+
+def _different(marked: DataFrame) -> frozenset[int]:
+    """Hashes that different lines share, of the lines that go or stay; grouping compares their bytes."""
+    owing = marked.where(F.size("going") + F.size("staying") > 0)
+    contents = owing.mapInArrow(_contents, "hash bigint, content binary")
     different = contents.groupBy("hash", "content").agg(F.lit(1).alias("one")).groupBy("hash").count()
     # Hashes of 64 bits: two or more lines share one about once in ten billion lines.
-    unequal = frozenset(r["hash"] % (1 << 64) for r in different.where("count > 1").select("hash").collect())
-    if unequal:
-        marked = _marked(sequences, unequal)
-    return store(_with_windows(marked.where(F.size("going") > 0), sequences), "cuts")
+    return frozenset(r["hash"] % (1 << 64) for r in different.where("count > 1").select("hash").collect())
 
 
 def cut(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "cut") -> DataFrame:
@@ -372,13 +375,21 @@ def cut(df: DataFrame, key: str = "doc_id", text: str = "text", out: str = "cut"
     """
     content = F.col(f"`{text}`").cast("string")
     number, digest = F.col(f"`{key}`").cast("long"), F.xxhash64(content)
-    found = marks(df.select(number.alias("id"), digest.alias("digest"), content.alias("text")))
-    found = found.toDF("__id", "__digest", "__going", "__staying")
-    joined = df.join(found, (number == F.col("__id")) & (digest == F.col("__digest")), "left")
+    lines = sequences(df.select(number.alias("id"), digest.alias("digest"), content.alias("text")))
+    lists, unequal = ["__going", "__staying"], frozenset()
+    while True:
+        found = marks(lines, unequal).toDF("__id", "__digest", *lists)
+        # The texts are moved once, and what is read from here on is stored with them.
+        joined = df.join(found.hint("merge"), (number == F.col("__id")) & (digest == F.col("__digest")), "left")
+        joined = joined.drop("__id", "__digest").withColumns({c: F.coalesce(c, F.array().cast(_PLACE)) for c in lists})
+        joined = store(joined, "marked-texts")
+        more = _different(joined.select(content.alias("text"), *(F.col(c).alias(c[2:]) for c in lists)))
+        if more <= unequal:
+            break
+        unequal |= more
     # Not to be moved or repeated by the optimizer, which would cut each text twice.
     call = F.arrow_udf(_cut_all, "struct<text:string,lines:bigint,gone:bigint>").asNondeterministic()
-    lists = [F.coalesce(c, F.array().cast(_PLACE)) for c in ("__going", "__staying")]
-    return joined.withColumn(out, call(content, *lists)).drop(*found.columns)
+    return joined.withColumn(out, call(content, *lists)).drop(*lists)
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
