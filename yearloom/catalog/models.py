@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
+from operator import add
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.catalog import star
 from yearloom.catalog.star import PANEL, table
-from yearloom.plans import city, tracking, training
+from yearloom.operators import frames
+from yearloom.plans import city, gram, tracking, training
 from yearloom.session import scratch_path, store
 from yearloom.specs import Family, ModelSpec
 
@@ -50,14 +51,16 @@ def price_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
-    """Slope and intercept of price over quantity, without regularisation."""
-    items = table(spark, folder, "lineitem").select("l_extendedprice", "l_quantity")
-    vectors = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(items)
-    model = LinearRegression(labelCol="l_extendedprice", regParam=0.0, solver="normal").fit(
-        vectors
-    )
-    fit = [(float(model.coefficients[0]), float(model.intercept))]
-    return spark.createDataFrame(fit, "slope double, intercept double").select(
+    """Slope and intercept of price over quantity, by order status and over all, from one pass."""
+    items = table(spark, folder, "lineitem").select("l_linestatus", "l_extendedprice", "l_quantity")
+    origin = {"l_extendedprice": 30_000.0, "l_quantity": 25.0}  # near their means, against rounding
+    parts = gram.sums(items, ["l_quantity"], "l_extendedprice", "l_linestatus", origin)
+    rows = []
+    if parts:
+        line = gram.fit(reduce(add, parts.values()))
+        slope = float(line.coefficients[0])
+        rows.append((slope, line.intercept + origin["l_extendedprice"] - slope * origin["l_quantity"]))
+    return spark.createDataFrame(rows, "slope double, intercept double").select(
         F.round("slope", 4).alias("slope"), F.round("intercept", 4).alias("intercept")
     )
 
@@ -65,7 +68,7 @@ def linear_fit(spark: SparkSession, folder: str) -> DataFrame:
 def cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated errors of every grid point of the row-level model."""
     rows = store(price_rows(spark, folder), "prices")
-    scores = training.cv_table(spark, training.train(rows, PRICE_MODEL))
+    scores = training.cv_table(spark, PRICE_MODEL, training.tune(rows, PRICE_MODEL))
     return scores.withColumns({c: F.to_json(c) for c in ("params", "fold_rmse")})
 
 
@@ -97,7 +100,7 @@ def line_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def line_cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Cross-validated errors of a line, with means imputed inside each fold."""
-    scores = training.cv_table(spark, training.train(line_rows(spark, folder), LINE_MODEL))
+    scores = training.cv_table(spark, LINE_MODEL, training.tune(line_rows(spark, folder), LINE_MODEL))
     return scores.select(
         "experiment",
         "model_type",
@@ -106,6 +109,56 @@ def line_cv_scores(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Two families with several points each: a penalised line, and one tree that is cut at
+# different depths.  Over few values a deep tree predicts their means, so SQL gives the same errors.
+TUNED_MODEL = replace(
+    LINE_MODEL,
+    experiment="Item_Tuned_Prediction",
+    features=("tens",),
+    families=(
+        Family("LinearRegression", "linear", (("regParam", (0.0, 2000.0)), ("elasticNetParam", (0.0, 0.5)))),
+        Family("RandomForestRegressor", "forest", (("numTrees", (1,)), ("bootstrap", (False,)), ("maxDepth", (0, 5)))),
+    ),
+)
+
+
+def tuned_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Cross-validated errors of all points of two families, and the best point of each."""
+    tens = F.ceil(F.col("quantity") / 10).cast("double")
+    grid = training.tune(line_rows(spark, folder).withColumn("tens", tens), TUNED_MODEL)
+    scores = training.cv_table(spark, TUNED_MODEL, grid)
+    return scores.select(
+        "experiment",
+        "model_type",
+        *[F.col("params")[p].alias(c) for p, c in (("regParam", "penalty"), ("elasticNetParam", "mixing"), ("maxDepth", "depth"))],
+        F.round("avg_rmse", 4).alias("avg_rmse"),
+        *[F.round(F.col("fold_rmse")[k], 4).alias(f"fold_{k}") for k in range(TUNED_MODEL.folds)],
+        "best",
+    )
+
+
+def _features(spark: SparkSession, folder: str, spec: ModelSpec) -> DataFrame:
+    """The complete rows of a model, with its features after imputation and its label."""
+    rows = training.model_frame(store(star.master(spark, folder), "master"), spec)
+    features = list(spec.features)
+    filled = frames.mean_imputer(features).fit(rows).transform(rows)
+    return filled.select(
+        *[F.col(f"__key_{k}").alias(k) for k in spec.keys],
+        F.round(spec.label, 4).alias("label"),
+        *[F.round(c + frames.IMPUTED, 4).alias(f"x{i}") for i, c in enumerate(features)],
+    )
+
+
+def incident_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The incident model's feature set."""
+    return _features(spark, folder, INCIDENT_MODEL)
+
+
+def income_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The income model's feature set."""
+    return _features(spark, folder, INCOME_MODEL)
+
+
 def line_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Prices of the line items held out, by the model in production, saved and loaded."""
     base = scratch_path(spark, "tracking")
@@ -172,6 +225,9 @@ def tracked_runs(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "line_cv_scores": line_cv_scores,
+    "tuned_lines": tuned_lines,
+    "incident_features": incident_features,
+    "income_features": income_features,
     "line_predictions": line_predictions,
     "tracked_lines": tracked_lines,
     "forest_group_means": forest_group_means,

@@ -324,6 +324,48 @@ SELECT 'Item_Line_Prediction' AS experiment, 'LinearRegression' AS model_type,
        round(avg(error), 4) AS avg_rmse, round(max(error) FILTER (k = 0), 4) AS fold_0,
        round(max(error) FILTER (k = 1), 4) AS fold_1, round(max(error) FILTER (k = 2), 4) AS fold_2
 FROM errors""",
+    "tuned_lines": """
+WITH item AS (
+  SELECT l_extendedprice AS y, CASE WHEN l_linestatus = 'F' THEN ceil(l_quantity / 10) END AS x, l_orderkey % 3 AS fold
+  FROM lineitem WHERE l_orderkey % 5 > 0),
+means AS (SELECT k, avg(x) AS mean, avg(y) AS flat FROM item, range(3) AS f(k) WHERE fold <> k GROUP BY k),
+parts AS (SELECT k, fold = k AS held, x, coalesce(x, mean) AS full_x, y, flat FROM item, means),
+shapes AS (
+  SELECT k, corr(y, full_x) AS r, stddev_pop(full_x) AS sx, stddev_pop(y) AS sy, avg(full_x) AS mx, avg(y) AS my
+  FROM parts WHERE NOT held GROUP BY k),
+points AS (SELECT p.penalty, m.mixing FROM (VALUES (0.0), (2000.0)) p(penalty), (VALUES (0.0), (0.5)) m(mixing)),
+lines AS (
+  SELECT k, penalty, mixing, mx, my,
+    sign(r) * greatest(abs(r) - mixing * penalty / sy, 0) / (1 + (1 - mixing) * penalty / sy) * sy / sx AS slope
+  FROM shapes, points),
+leaves AS (SELECT k, x, avg(y) AS mean_y FROM parts WHERE NOT held GROUP BY k, x),
+errors AS (
+  SELECT 'LinearRegression' AS model_type, penalty, mixing, NULL AS depth, k,
+    sqrt(avg((y - my - slope * (full_x - mx)) ** 2)) AS error
+  FROM parts JOIN lines USING (k) WHERE held GROUP BY ALL
+  UNION ALL
+  SELECT 'RandomForestRegressor', NULL, NULL, depth, k,
+    sqrt(avg((y - CASE WHEN depth = 0 THEN flat ELSE mean_y END) ** 2))
+  FROM parts JOIN leaves l USING (k), (VALUES (0), (5)) d(depth)
+  WHERE held AND parts.x IS NOT DISTINCT FROM l.x GROUP BY ALL)
+SELECT 'Item_Tuned_Prediction' AS experiment, model_type, penalty::DOUBLE AS penalty, mixing::DOUBLE AS mixing,
+  depth::DOUBLE AS depth, round(avg(error), 4) AS avg_rmse, round(max(error) FILTER (k = 0), 4) AS fold_0,
+  round(max(error) FILTER (k = 1), 4) AS fold_1, round(max(error) FILTER (k = 2), 4) AS fold_2,
+  row_number() OVER (PARTITION BY model_type ORDER BY round(avg(error), 6), mixing) = 1 AS best
+FROM errors GROUP BY model_type, penalty, mixing, depth""",
+    "incident_features": _with(_ALL, """
+SELECT entity_id, year, round(incidence_count::DOUBLE, 4) AS label, round(avg_income_index, 4) AS x0,
+  round(coalesce(avg_price, avg(avg_price) OVER ()), 4) AS x1, round(coalesce(avg_size, avg(avg_size) OVER ()), 4) AS x2,
+  round(coalesce(avg_price_per_sqm, avg(avg_price_per_sqm) OVER ()), 4) AS x3,
+  round(coalesce(property_count, avg(property_count) OVER ()), 4) AS x4
+FROM master WHERE incidence_count IS NOT NULL AND avg_income_index IS NOT NULL"""),
+    "income_features": _with(_ALL, """
+SELECT entity_id, year, round(avg_income_index, 4) AS label, round(incidence_count::DOUBLE, 4) AS x0,
+  round(avg_price, 4) AS x1, round(coalesce(avg_size, avg(avg_size) OVER ()), 4) AS x2,
+  round(coalesce(avg_price_per_sqm, avg(avg_price_per_sqm) OVER ()), 4) AS x3,
+  round(coalesce(property_count, avg(property_count) OVER ()), 4) AS x4,
+  round(coalesce(year, avg(year) OVER ()), 4) AS x5
+FROM master WHERE avg_income_index IS NOT NULL AND incidence_count IS NOT NULL AND avg_price IS NOT NULL"""),
     "line_predictions": f"""
 WITH {_LINES}
 SELECT l_orderkey, l_linenumber, round(slope * coalesce(x, mean) + intercept, 4) AS prediction

@@ -1,12 +1,13 @@
 """Cross-validated regression on a frame of rows with keys, features and a label.
 
-The frame is laid out once by its rows, in a declared number of tasks, and kept; split
-and folds are hashes of the keys, or given expressions.  So the same rows give the same
-models, whatever the input's layout and the session's settings, and a task that runs twice
-sees the same rows in the same order.
-
-Per fold, missing values are imputed and the vector is assembled once, and all grid
-points of all families are fitted on that frame and scored in one pass.
+The frame is kept; split and folds are hashes of the keys, or given expressions.  For
+forests it is laid out once by its rows, in a number of tasks that follows from how many they are.  So
+the same rows give the same models, whatever the input's layout and the session's settings, and a task that
+runs twice sees the same rows in the same order.
+
+All grid points of linear families are cross-validated from sums gathered in one pass, see
+``gram``.  For forests, missing values are imputed and the vector is assembled once per fold, and all
+grid points are fitted on that frame and scored in one pass.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import frames
+from yearloom.plans import gram
 from yearloom.specs import Family, ModelSpec
 
 log = logging.getLogger(__name__)
@@ -94,17 +96,29 @@ def model_frame(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return frames.as_doubles(marked, numbers)
 
 
+TASK_ROWS = 100_000  # of a task; more than MANY_TASKS are only for rows that need them
+MANY_TASKS, MOST_ROWS = 2_000, 10_000_000
+
+
+def layout_tasks(rows: int) -> int:
+    """In how many tasks so many rows are laid out for forests."""
+    return max(1, min(-(-rows // TASK_ROWS), max(MANY_TASKS, -(-rows // MOST_ROWS))))
+
+
 def _laid_out(marked: DataFrame, spec: ModelSpec) -> DataFrame:
-    """Features, label and marks in a layout that only depends on the rows.
+    """Features, label and marks; for forests in a layout that only depends on the rows.
 
-    Each row goes to one of ``spec.partitions`` tasks by a hash of its keys, features and
-    label, and is sorted there, so neither the input's layout nor the session's settings
-    change what trees are sampled.  Rows that share keys are spread; full copies are not.
+    Each row then goes to a task by a hash of its keys, features and label, and is sorted there, so
+    neither the input's layout nor the session's settings change what trees are sampled.  The number of
+    tasks follows from the number of rows, or is given.  Rows that share keys are spread; full copies are not.
     """
     keys = [f"__key_{k}" for k in spec.keys]
     numbers = [*dict.fromkeys([*spec.features, spec.label])]
     frame = marked.select(*keys, *numbers, _SPLIT, _FOLD)
-    laid = frame.repartition(spec.partitions, *keys, *numbers)
+    if all(_by_sums(f) for f in spec.families):
+        return frame.drop(*keys)
+    tasks = spec.partitions or layout_tasks(marked.count())
+    laid = frame.repartition(tasks, *keys, *numbers)
     return laid.sortWithinPartitions(*keys, *numbers).drop(*keys)
 
 
@@ -113,6 +127,7 @@ class _Census:
     rows: dict[str, int]
     fold_rows: dict[int, int]
     known: dict[int, dict[str, int]]
+    means: dict[str, float]  # of all known values
     fingerprint: str
 
 
@@ -126,25 +141,33 @@ def _census(frame: DataFrame, spec: ModelSpec) -> _Census:
         F.count(F.when(~F.isnan(F.col(c)), F.col(c))).alias(f"known_{i}")
         for i, c in enumerate(spec.features)
     ]
+    columns = [*dict.fromkeys([*spec.features, spec.label])]
+    means = [F.avg(F.when(~F.isnan(c), F.col(c))).alias(f"mean_{i}") for i, c in enumerate(columns)]
     groups = (
         frame.groupBy(_SPLIT, _FOLD)
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(value_hash).alias("hash"), *counts)
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(value_hash).alias("hash"), *counts, *means)
         .collect()
     )
     rows, fold_rows, known = {TRAIN: 0, VALIDATION: 0}, {}, {}
+    middle = {}
     for g in groups:
+        for i, c in enumerate(columns):
+            if g[f"mean_{i}"] is not None:
+                middle[c] = middle.get(c, 0.0) + g[f"mean_{i}"] * g["rows"] / sum(x["rows"] for x in groups)
+        if g[_SPLIT] == TRAIN and g[_FOLD] is None and spec.fold:
+            raise ValueError(f"{g['rows']} rows of {spec.experiment} have no fold: {spec.fold} is NULL")
         rows[g[_SPLIT]] += g["rows"]
         if g[_SPLIT] == TRAIN:
             fold_rows[g[_FOLD]] = g["rows"]
             known[g[_FOLD]] = {c: g[f"known_{i}"] for i, c in enumerate(spec.features)}
     content = sorted((g[_SPLIT], g[_FOLD], g["rows"], str(g["hash"])) for g in groups)
     text = json.dumps([asdict(spec), content], sort_keys=True)
-    return _Census(rows, fold_rows, known, hashlib.sha256(text.encode()).hexdigest())
+    return _Census(rows, fold_rows, known, middle, hashlib.sha256(text.encode()).hexdigest())
 
 
 def _usable_folds(census: _Census) -> list[int]:
     """Folds with rows of their own and rows outside."""
-    folds = sorted(f for f in census.fold_rows if f is not None)
+    folds = sorted(census.fold_rows)
     return folds if len(folds) > 1 else []
 
 
@@ -221,13 +244,28 @@ def _errors(models: list, frame: DataFrame, label: str) -> list[float | None]:
     return list(row)
 
 
-def _cross_validate(
-    frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int]
-) -> list[GridPoint]:
-    points = [(family, params) for family in spec.families for params in grid_points(family)]
+# The parameters of a grid that sums can answer.
+_PENALTIES = {"regParam", "elasticNetParam"}
+
+
+def _by_sums(family: Family) -> bool:
+    """Whether a family is cross-validated without fitting it."""
+    return family.kind == "linear" and {name for name, _ in family.grid} <= _PENALTIES
+
+
+def _sums_errors(
+    train: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], census: _Census, points: list[dict]
+) -> list[list[float | None]]:
+    parts = gram.sums(train, features, spec.label, _FOLD, census.means)
+    penalties = [(float(p.get("regParam", 0.0)), float(p.get("elasticNetParam", 0.0))) for p in points]
+    return gram.fold_errors(parts, folds, penalties)
+
+
+def _fits_errors(
+    train: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], points: list[tuple[Family, dict]]
+) -> list[list[float | None]]:
     estimators = [regressor(f, spec.label, spec.seed, params) for f, params in points]
     per_fold = []
-    train = frame.where(F.col(_SPLIT) == TRAIN)
     for fold in folds:
         inside, outside = train.where(F.col(_FOLD) != fold), train.where(F.col(_FOLD) == fold)
         prepare = preparation(features).fit(inside)
@@ -236,15 +274,33 @@ def _cross_validate(
         models = _fit_all(estimators, ready, spec.parallelism)
         held_out = prepare.transform(outside).select("features", spec.label)
         per_fold.append(_errors(models, held_out, spec.label))
+    return [[errors[i] for errors in per_fold] for i in range(len(points))]
+
+
+def _cross_validate(
+    frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], census: _Census
+) -> list[GridPoint]:
+    points = [(family, params) for family in spec.families for params in grid_points(family)]
+    train = frame.where(F.col(_SPLIT) == TRAIN)
+    quick = [i for i, (family, _) in enumerate(points) if _by_sums(family)]
+    slow = [i for i in range(len(points)) if i not in quick]
+    errors: list[list[float | None]] = [[] for _ in points]
+    if folds and quick:
+        found = _sums_errors(train, spec, features, folds, census, [points[i][1] for i in quick])
+        for i, own in zip(quick, found, strict=True):
+            errors[i] = own
+    if folds and slow:
+        found = _fits_errors(train, spec, features, folds, [points[i] for i in slow])
+        for i, own in zip(slow, found, strict=True):
+            errors[i] = own
     result = []
-    for i, (family, params) in enumerate(points):
-        errors = [fold_errors[i] for fold_errors in per_fold]
-        mean = sum(errors) / len(errors) if errors and None not in errors else None
-        result.append(GridPoint(family.name, params, mean, errors))
+    for (family, params), own in zip(points, errors, strict=True):
+        mean = sum(own) / len(own) if own and None not in own else None
+        result.append(GridPoint(family.name, params, mean, own))
     return result
 
 
-def _best(points: list[GridPoint]) -> GridPoint:
+def best_point(points: list[GridPoint]) -> GridPoint:
     """The first point with the lowest mean error; the first of all if none has one."""
     scored = [p for p in points if p.avg_rmse is not None and p.avg_rmse == p.avg_rmse]
     return min(scored, key=lambda p: p.avg_rmse, default=points[0])
@@ -260,7 +316,18 @@ def train(df: DataFrame, spec: ModelSpec) -> Training:
         frame.unpersist()
 
 
-def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
+def tune(df: DataFrame, spec: ModelSpec) -> list[GridPoint]:
+    """The errors of every grid point by cross-validation, and nothing else."""
+    frame = _laid_out(model_frame(df, spec), spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        census, frame, features, folds = _prepared(frame, spec)
+        return _cross_validate(frame, spec, features, folds, census)
+    finally:
+        frame.unpersist()
+
+
+def _prepared(frame: DataFrame, spec: ModelSpec) -> tuple[_Census, DataFrame, list[str], list[int]]:
+    """Counts of the frame, the frame after the null policy, its features, and the folds to use."""
     census = _census(frame, spec)
     total = sum(census.rows.values())
     if total < spec.min_rows:
@@ -270,12 +337,17 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     frame, features = _apply_null_policy(frame, spec, census)
     folds = _usable_folds(census)
     _warn_of_folds(spec, folds)
-    grid = _cross_validate(frame, spec, features, folds)
+    return census, frame, features, folds
+
+
+def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
+    census, frame, features, folds = _prepared(frame, spec)
+    grid = _cross_validate(frame, spec, features, folds, census)
 
     rows = frame.where(F.col(_SPLIT) == TRAIN)
     prepare = preparation(features).fit(rows)
     ready = prepare.transform(rows).select("features", spec.label)
-    best = [_best([p for p in grid if p.family == f.name]) for f in spec.families]
+    best = [best_point([p for p in grid if p.family == f.name]) for f in spec.families]
     models = _fit_all(
         [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
         ready,
@@ -321,21 +393,23 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).select(*kept, "prediction")
 
 
-def cv_table(spark: SparkSession, training: Training) -> DataFrame:
-    """One row per grid point: family, parameters, mean error and the folds' errors."""
+def cv_table(spark: SparkSession, spec: ModelSpec, grid: list[GridPoint]) -> DataFrame:
+    """One row per grid point: family, parameters, mean error, the folds' errors, and whether it is its family's best."""
+    best = [best_point([p for p in grid if p.family == f.name]) for f in spec.families]
     rows = [
         (
-            training.spec.experiment,
+            spec.experiment,
             p.family,
             {k: float(v) for k, v in p.params.items()},
             p.avg_rmse,
             p.fold_rmse,
+            any(p is b for b in best),
         )
-        for p in training.grid
+        for p in grid
     ]
     return spark.createDataFrame(
         rows,
         "experiment string, model_type string, params map<string,double>, "
-        "avg_rmse double, fold_rmse array<double>",
+        "avg_rmse double, fold_rmse array<double>, best boolean",
     )
 

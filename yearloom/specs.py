@@ -131,10 +131,10 @@ class ModelSpec:
     ``keys`` identify a row; split and folds are hashes of them.
     ``all_null`` says what to do with a feature that has no value in some
     training part: ``"raise"``, ``"drop"`` the feature, or fill it with
-    ``"zero"``.  ``partitions`` is the number of tasks that the rows of the training frame are
-    hashed to; tree sampling depends on it, so it is part of the run id.  ``split`` and ``fold``
+    ``"zero"``.  ``partitions`` may give the number of tasks that the rows are hashed to for
+    forests, whose samples depend on it; else it follows from the number of rows.  ``split`` and ``fold``
     may give SQL expressions in place of the hashes: whether a row is trained on, and the
-    number of its fold.
+    number of its fold, never NULL.
     """
 
     experiment: str
@@ -149,7 +149,7 @@ class ModelSpec:
     train_percent: int = 80
     seed: int = 42
     all_null: str = "raise"
-    partitions: int = 32
+    partitions: int | None = None
     parallelism: int = 4
     split: str | None = None
     fold: str | None = None
