@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from yearloom.catalog import star
 from yearloom.catalog.star import PANEL, table
 from yearloom.operators import frames
-from yearloom.plans import city, gram, tracking, training
+from yearloom.plans import bagging, city, gram, tracking, training
 from yearloom.session import scratch_path, store
 from yearloom.specs import Family, ModelSpec
 
@@ -198,6 +198,27 @@ def forest_group_means(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+BAGGED_TREES = 5
+# A number from 0 to 1 for a line item and a tree, by arithmetic that SQL repeats.
+BAGGED_UNIFORM = "((l_orderkey * 7919 + l_linenumber * 104729 + ({tree} + 1) * 15485863) * 48271 % 2147483647) / 2147483647.0D"
+
+
+def bagged_means(spark: SparkSession, folder: str) -> DataFrame:
+    """A forest of deep trees on one feature of a few values, whose samples belong to the rows."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_linenumber").cast("double").alias("line"), F.col("l_quantity").alias("quantity")
+    )
+    items = items.withColumn(bagging.HASH, F.xxhash64("l_orderkey", "l_linenumber"))
+    model = bagging.fit(items, ["line"], "quantity", {"numTrees": BAGGED_TREES, "maxDepth": 7}, uniforms=BAGGED_UNIFORM)
+    trees = [f"__tree_{k}" for k in range(BAGGED_TREES)]
+    scored = model.transform(items).groupBy("line")
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.round(F.max("prediction"), 6).alias("prediction"),
+        F.round(F.max(F.greatest(*trees)) - F.min(F.least(*trees)), 6).alias("spread"),
+    )
+
+
 def _nation_training(spark: SparkSession, folder: str, spec: ModelSpec) -> training.Training:
     master = store(star.master(spark, folder), "master")
     return training.train(master, spec)
@@ -231,6 +252,7 @@ QUERIES = {
     "line_predictions": line_predictions,
     "tracked_lines": tracked_lines,
     "forest_group_means": forest_group_means,
+    "bagged_means": bagged_means,
     "linear_fit": linear_fit,
     "cv_scores": cv_scores,
     "validation_scores": validation_scores,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 _KEY = r"lower(trim(regexp_replace({0}, '\s*-\s*', '-', 'g')))"
 _CENTS = "CAST(floor({0} * 100 + 0.5) AS DOUBLE)"
 
@@ -143,6 +145,11 @@ _CHECKS = {
     "all_rows": ("count(*)", 1_000_000),
 }
 
+# A Poisson variable of mean one from a uniform number u.
+_POISSON = " + ".join(
+    f"(u >= {sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))!r})::INT" for k in range(8)
+)
+
 # Line items for a line through quantity and price, fitted without each fold and as a whole.
 _LINES = """
 item AS (
@@ -383,6 +390,16 @@ FROM item, whole_fit WHERE NOT train""",
 SELECT CAST(l_linenumber AS DOUBLE) AS line, count(*) AS n_rows,
        round(avg(l_quantity), 6) AS prediction
 FROM lineitem GROUP BY 1""",
+    "bagged_means": f"""
+WITH drawn AS (
+  SELECT l_linenumber::DOUBLE AS line, l_quantity AS y, tree,
+    ((l_orderkey * 7919 + l_linenumber * 104729 + (tree + 1) * 15485863) * 48271 % 2147483647) / 2147483647.0 AS u
+  FROM lineitem, range(5) AS t(tree)),
+weighed AS (SELECT line, y, tree, {_POISSON} AS w FROM drawn),
+leaves AS (SELECT line, tree, sum(w * y) / sum(w) AS mean FROM weighed GROUP BY line, tree)
+SELECT line, (SELECT count(*) FROM lineitem WHERE l_linenumber = line) AS n_rows, round(avg(mean), 6) AS prediction,
+  round(max(mean) - min(mean), 6) AS spread
+FROM leaves GROUP BY line""",
     "sorted_preview": """
 SELECT o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 5""",
     "csv_json_round_trip": f"""

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import frames
-from yearloom.plans import gram
+from yearloom.plans import bagging, gram
 from yearloom.specs import Family, ModelSpec
 
 log = logging.getLogger(__name__)
@@ -115,7 +115,9 @@ def _laid_out(marked: DataFrame, spec: ModelSpec) -> DataFrame:
     keys = [f"__key_{k}" for k in spec.keys]
     numbers = [*dict.fromkeys([*spec.features, spec.label])]
     frame = marked.select(*keys, *numbers, _SPLIT, _FOLD)
-    if all(_by_sums(f) for f in spec.families):
+    if any(f.kind == "row_forest" for f in spec.families):
+        frame = frame.withColumn(bagging.HASH, F.xxhash64(*keys, *numbers))
+    if not any(f.kind == "forest" for f in spec.families):
         return frame.drop(*keys)
     tasks = spec.partitions or layout_tasks(marked.count())
     laid = frame.repartition(tasks, *keys, *numbers)
@@ -215,7 +217,7 @@ def preparation(features: list[str]) -> Pipeline:
 def regressor(family: Family, label: str, seed: int, params: dict | None = None) -> Estimator:
     if family.kind == "linear":
         base = LinearRegression(featuresCol="features", labelCol=label)
-    elif family.kind == "forest":
+    elif family.kind in ("forest", "row_forest"):
         base = RandomForestRegressor(featuresCol="features", labelCol=label, seed=seed)
     else:
         raise ValueError(f"unknown family {family.kind!r}")
@@ -261,20 +263,35 @@ def _sums_errors(
     return gram.fold_errors(parts, folds, penalties)
 
 
+def _row_forest(imputed: DataFrame, spec: ModelSpec, features: list[str], params: dict) -> PipelineModel:
+    """A forest whose samples belong to the rows; see ``bagging``."""
+    columns = [c + frames.IMPUTED for c in features]
+    return bagging.fit(imputed, columns, spec.label, params, spec.seed, spec.parallelism)
+
+
 def _fits_errors(
     train: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], points: list[tuple[Family, dict]]
 ) -> list[list[float | None]]:
-    estimators = [regressor(f, spec.label, spec.seed, params) for f, params in points]
-    per_fold = []
+    out: list[list[float | None]] = [[] for _ in points]
+    rowwise = [i for i, (f, _) in enumerate(points) if f.kind == "row_forest"]
+    others = [i for i in range(len(points)) if i not in rowwise]
     for fold in folds:
         inside, outside = train.where(F.col(_FOLD) != fold), train.where(F.col(_FOLD) == fold)
         prepare = preparation(features).fit(inside)
+        for i in rowwise:
+            model = _row_forest(prepare.transform(inside).drop("features"), spec, features, points[i][1])
+            scored = model.transform(prepare.transform(outside).drop("features"))
+            out[i].append(scored.agg(frames.rmse(spec.label, "prediction")).first()[0])
+        if not others:
+            continue
         # Each fit keeps a copy in a form of its own; vectors are made again from the kept frame.
         ready = prepare.transform(inside).select("features", spec.label)
+        estimators = [regressor(points[i][0], spec.label, spec.seed, points[i][1]) for i in others]
         models = _fit_all(estimators, ready, spec.parallelism)
         held_out = prepare.transform(outside).select("features", spec.label)
-        per_fold.append(_errors(models, held_out, spec.label))
-    return [[errors[i] for errors in per_fold] for i in range(len(points))]
+        for i, error in zip(others, _errors(models, held_out, spec.label), strict=True):
+            out[i].append(error)
+    return out
 
 
 def _cross_validate(
@@ -348,22 +365,37 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     prepare = preparation(features).fit(rows)
     ready = prepare.transform(rows).select("features", spec.label)
     best = [best_point([p for p in grid if p.family == f.name]) for f in spec.families]
-    models = _fit_all(
-        [regressor(f, spec.label, spec.seed, b.params) for f, b in zip(spec.families, best)],
-        ready,
-        spec.parallelism,
-    )
+    chosen = list(zip(spec.families, best, strict=True))
+    estimators = [regressor(f, spec.label, spec.seed, b.params) for f, b in chosen if f.kind != "row_forest"]
+    fitted = iter(_fit_all(estimators, ready, spec.parallelism) if estimators else [])
     held_out = prepare.transform(frame.where(F.col(_SPLIT) == VALIDATION))
-    errors = _errors(models, held_out.select("features", spec.label), spec.label)
+    wholes, settings = [], []
+    for family, point in chosen:
+        if family.kind == "row_forest":
+            model = _row_forest(prepare.transform(rows).drop("features"), spec, features, point.params)
+            wholes.append(PipelineModel([*prepare.stages[:-1], *model.stages]))
+            settings.append({k: str(v) for k, v in point.params.items()})
+        else:
+            model = next(fitted).setPredictionCol("prediction")
+            wholes.append(PipelineModel([*prepare.stages, model]))
+            settings.append(_settings(regressor(family, spec.label, spec.seed), model))
+    plain = frame.where(F.col(_SPLIT) == VALIDATION)
+    simple = [w.stages[-1] for w, (f, _) in zip(wholes, chosen, strict=True) if f.kind != "row_forest"]
+    found = iter(_errors(simple, held_out.select("features", spec.label), spec.label) if simple else [])
+    errors = [
+        w.transform(plain).agg(frames.rmse(spec.label, "prediction")).first()[0] if f.kind == "row_forest" else next(found)
+        for w, (f, _) in zip(wholes, chosen, strict=True)
+    ]
+    for w in simple:
+        w.setPredictionCol("prediction")  # the errors were taken under other names
     # What is handed out is read from the input again, as the kept frame is released.
     keys = [f"__key_{k}" for k in spec.keys]
     source = marked.where(F.col(_SPLIT) == VALIDATION).drop(_SPLIT, _FOLD, *keys)
     source, _ = _apply_null_policy(source, spec, census)
     candidates = []
-    for order, (family, point, model, error) in enumerate(
-        zip(spec.families, best, models, errors)
+    for order, (family, point, whole, own, error) in enumerate(
+        zip(spec.families, best, wholes, settings, errors, strict=True)
     ):
-        whole = PipelineModel([*prepare.stages, model.setPredictionCol("prediction")])
         run_id = hashlib.sha256(f"{census.fingerprint}/{family.name}".encode()).hexdigest()[:32]
         candidates.append(
             Candidate(
@@ -372,7 +404,7 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
                 run_id=run_id,
                 features=features,
                 params=point.params,
-                settings=_settings(regressor(family, spec.label, spec.seed), model),
+                settings=own,
                 rmse=error,
                 model=whole,
                 validation=score(whole, source),

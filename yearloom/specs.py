@@ -117,7 +117,11 @@ class PanelSpec:
 
 @dataclass(frozen=True)
 class Family:
-    """A kind of regressor (``"linear"`` or ``"forest"``) and its parameter grid."""
+    """A kind of regressor and its parameter grid.
+
+    ``kind`` is ``"linear"``, ``"forest"``, or ``"row_forest"``: a forest whose samples are drawn by row
+    and tree, so that it needs no layout; it is fitted tree by tree.
+    """
 
     name: str
     kind: str
