@@ -127,3 +127,37 @@ def test_champions_are_found_by_hash_aggregates(spark, plan):
     assert {(r["experiment"], r["run_id"]) for r in best.collect()} == {("a", "r1"), (None, "r7"), ("c", "r8")}
     assert best.columns == runs.columns
     assert "HashAggregate" in plan(best)
+
+
+def test_two_writers_at_once(spark, trainings, tmp_path):
+    """Both have read the tables before either of them wrote."""
+    base = str(tmp_path)
+    first, second = (t.champion.run_id for t in trainings)
+    ids = [tracking.log_training(spark, base, t) for t in trainings]
+    seen = tracking.version_events(spark, base).count()
+    assert seen == 0
+    for run in (first, second, first):  # what each would append; the first one twice
+        tracking._append(spark, base, "Planted", run, [ops.REGISTERED, ops.PROMOTED])
+    assert {(v, r) for v, r, _ in state(spark, base)} == {(1, first), (2, second)}
+    # The same runs are logged by another writer that did not see them.
+    rows = tracking.runs(spark, base).collect()
+    again = spark.createDataFrame(rows, tracking.RUNS).withColumn("logged_at", F.current_timestamp())
+    again.write.mode("append").parquet(f"{base}/runs")
+    assert tracking.runs(spark, base).count() == len(rows) == sum(map(len, ids))
+    tracking.promote(spark, base, "Planted", second)
+    tracking.promote(spark, base, "Planted", first)
+    assert state(spark, base) == {(1, first, "Production"), (2, second, "Archived")}
+    tracking.production_model(spark, base, "Planted")
+
+
+def test_events_in_any_order(spark):
+    """Versions and stages do not depend on how events are ordered or repeated."""
+    events = [
+        ("m", "b", "registered", 2), ("m", "a", "registered", 2), ("m", "c", "registered", 1), ("m", "b", "promoted", 5),
+        ("m", "a", "promoted", 4), ("m", "lost", "promoted", 3), ("n", "a", "registered", 9), ("m", "b", "registered", 7),
+    ]
+    expected = {("m", 1, "c", "None"), ("m", 2, "a", "Archived"), ("m", 3, "b", "Production"), ("n", 1, "a", "None")}
+    for rows in (events, events[::-1] * 2):
+        df = spark.createDataFrame(rows, "name string, run_id string, event string, at int")
+        found = ops.state_of_events(df.withColumn("at", F.timestamp_seconds("at"))).collect()
+        assert {tuple(r) for r in found} == expected and len(found) == 4

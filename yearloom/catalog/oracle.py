@@ -168,7 +168,40 @@ whole_fit AS (
          regr_intercept(y, coalesce(x, mean)) AS intercept
   FROM item, (SELECT avg(x) AS mean FROM item WHERE train) WHERE train)"""
 
+# The orders of each run's files, see the query.
+_ORDER_FILES = """
+order_rows AS (
+  SELECT 'E' || (o_custkey % 40) AS entity_id, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderkey // 10000 AS part,
+    o_orderstatus AS status, floor(o_totalprice * 100 + 0.5)::DOUBLE AS price
+  FROM orders)"""
+
 ORACLE = {
+    "event_registry": """
+WITH firsts AS (
+  SELECT 'model_' || o_custkey AS name, 'run_' || o_orderkey AS run_id, o_orderdate::DATE AS moment, o_orderstatus = 'F' AS promoted
+  FROM orders)
+SELECT name, row_number() OVER (PARTITION BY name ORDER BY moment, run_id) AS version, run_id,
+  CASE WHEN NOT promoted THEN 'None'
+    WHEN row_number() OVER (PARTITION BY name, promoted ORDER BY moment DESC, run_id DESC) = 1 THEN 'Production'
+    ELSE 'Archived' END AS stage
+FROM firsts""",
+    "landing_ledger": f"""
+WITH {_ORDER_FILES},
+first AS (SELECT DISTINCT year, part FROM order_rows WHERE year <> 1997),
+-- A file of 1995 is written anew if an order is left for it; it is another one if an order went.
+second AS (
+  SELECT year, part FROM order_rows WHERE year = 1997 GROUP BY ALL
+  UNION ALL
+  SELECT year, part FROM order_rows WHERE year = 1995 GROUP BY ALL HAVING count(*) FILTER (status <> 'P') > 0)
+SELECT 1 AS run, 'landed' AS event, count(*) AS n_files FROM first
+UNION ALL SELECT 2, 'landed', count(*) FROM second
+UNION ALL SELECT 3, 'withdrawn', count(*) FROM first WHERE year % 10 = 9""",
+    "incremental_master": f"""
+WITH {_ORDER_FILES},
+-- Without orders left for it, a file stays as it was.
+left_over AS (SELECT part FROM order_rows WHERE year = 1995 GROUP BY ALL HAVING count(*) FILTER (status <> 'P') > 0)
+SELECT entity_id, year, avg(price) AS avg_price, count(*) AS n_orders FROM order_rows
+WHERE year % 10 <> 9 AND (year <> 1995 OR status <> 'P' OR part NOT IN (FROM left_over)) GROUP BY ALL""",
     "entity_year_kpis": _with(_ALL, "SELECT * FROM master ORDER BY entity_id, year NULLS FIRST"),
     "reconcile_names": _with(
         [_LOOKUP, _INCIDENTS], "SELECT o_orderkey, raw_name, entity_id FROM named_incidents"

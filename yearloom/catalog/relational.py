@@ -12,9 +12,10 @@ from yearloom.catalog import star
 from yearloom.catalog.star import ENTITY, INCIDENTS, INCOME, LISTINGS, NAME, PANEL, table
 from yearloom.functions import safe_double, year_from_filename
 from yearloom.operators import frames, panel, reconcile, registry
+from yearloom.plans import increments
 from yearloom.session import scratch_path
-from yearloom.sources import landing, readers, writers
-from yearloom.specs import DatasetSpec, LookupSpec, PeriodSpec
+from yearloom.sources import landing, ledger, readers, writers
+from yearloom.specs import DatasetSpec, FactSpec, LookupSpec, Measure, PanelSpec, PeriodSpec
 
 INCIDENT_LABEL, INCOME_LABEL = "incidence_count", "avg_income_index"
 
@@ -379,7 +380,93 @@ def landed_round_trip(spark, folder):
     )
 
 
+# Orders as files of bounded size, by year and range of keys, and a master table kept from them.
+ORDER_FILES = DatasetSpec(
+    name="orders",
+    format="csv",
+    glob="orders/*.csv",
+    schema="entity_id string, year int, price double, status string",
+    name_column="entity_id",
+    period=PeriodSpec("column", ("year",)),
+    multi_line=False,
+)
+ORDER_PANEL = PanelSpec(
+    facts=(FactSpec("orders", (Measure("avg_price", "avg", "price"), Measure("n_orders", "count"))),)
+)
+FILE_ORDERS = 10_000  # keys of a file
+
+
+def _order_files(orders: DataFrame) -> DataFrame:
+    """The contents of the files, as landed ranges."""
+    name = F.format_string("orders-%d-%05d.csv", F.year("o_orderdate"), F.expr(f"o_orderkey div {FILE_ORDERS}"))
+    entity = F.concat(F.lit("E"), F.col("o_custkey") % 40)
+    line = F.concat_ws(",", entity, F.year("o_orderdate"), star.cents("o_totalprice").cast("long"), "o_orderstatus")
+    # No more lines than a file has keys.
+    lines = orders.groupBy(name.alias("file_name")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    text = F.concat(F.lit("entity_id,year,price,status\n"), F.array_join("lines", "\n"), F.lit("\n"))
+    return lines.select(F.lit("orders").alias("dataset"), "file_name", F.lit(0).alias("range_no"), F.encode(text, "UTF-8").alias("content"))
+
+
+def _read_orders(folder: str, name: str) -> DataFrame:
+    spark = SparkSession.getActiveSession()
+    rows = readers.read_dataset(spark, ORDER_FILES, folder)
+    return rows.select("entity_id", "year", "price", F.col("_metadata.file_name").alias(increments.FILE))
+
+
+def _three_runs(spark: SparkSession, folder: str, update: bool = True) -> str:
+    """A ledger and a master table after files were landed, replaced and withdrawn; the folder of both.
+
+    At first there are no files of 1997.  Then those are added, and the files of 1995 lose the
+    orders of status P.  Then the files of 1999 are withdrawn.  A fourth run finds nothing new.
+    """
+    orders, year = table(spark, folder, "orders"), F.year("o_orderdate")
+    source, base = scratch_path(spark, "order-files"), scratch_path(spark, "increments")
+    second = ((year == 1995) & (F.col("o_orderstatus") != "P")) | (year == 1997)
+    globs = ["orders/*.csv", "orders/*.csv", "orders/orders-???[0-8]-*.csv", "orders/orders-???[0-8]-*.csv"]
+    for rows, glob in zip((orders.where(year != 1997), orders.where(second), None, None), globs, strict=True):
+        if rows is not None:
+            landing.restore_files(_order_files(rows), source).count()
+        ledger.land_changes(spark, {"orders": f"{source}/{glob}"}, base)
+        if update:
+            increments.update(spark, base, ORDER_PANEL, _read_orders, buckets=16)
+    return base
+
+
+def landing_ledger(spark, folder):
+    """How many files each run landed and withdrew."""
+    events = ledger.events(spark, _three_runs(spark, folder, update=False))
+    return events.groupBy("run", "event").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def incremental_master(spark, folder):
+    """The master table after files were landed, replaced and withdrawn."""
+    base = _three_runs(spark, folder)
+    return increments.master(spark, base, ORDER_PANEL, "entity_id string, year int, avg_price double, n_orders bigint")
+
+
+def event_registry(spark, folder):
+    """Orders as events of a model registry, every third one noted twice.
+
+    All register a version of their customer's model, those of status F promote it three days later.
+    """
+    orders = table(spark, folder, "orders").select(
+        F.concat(F.lit("model_"), F.col("o_custkey")).alias("name"),
+        F.concat(F.lit("run_"), F.col("o_orderkey")).alias("run_id"),
+        F.col("o_orderdate").cast("date").alias("at"),
+        "o_orderkey",
+        "o_orderstatus",
+    )
+    event = lambda rows, kind, at: rows.select("name", "run_id", F.lit(kind).alias("event"), at.cast("timestamp").alias("at"))
+    first = event(orders, registry.REGISTERED, F.col("at"))
+    again = event(orders.where(F.col("o_orderkey") % 3 == 0), registry.REGISTERED, F.date_add("at", 9))
+    promoted = event(orders.where(F.col("o_orderstatus") == "F"), registry.PROMOTED, F.date_add("at", 3))
+    return registry.state_of_events(first.unionByName(again).unionByName(promoted).unionByName(promoted))
+
+
 QUERIES = {
+    "event_registry": event_registry,
+    "landing_ledger": landing_ledger,
+    "incremental_master": incremental_master,
     "entity_year_kpis": entity_year_kpis,
     "reconcile_names": reconcile_names,
     "unmatched_names": unmatched_names,

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,7 @@ from yearloom.session import store
 LONG_LINE = 5  # words of a line that is a chunk of its own
 LINES, WORDS = 2, 20  # least lines, and words, of a passage
 MANY_WORDS = 50  # words of a passage of a single line
+ROWS_AT_ONCE = 256
 REACH = 1000  # lines that an extent goes beyond the outermost anchors with its keeper
 
 _hash = xxhash.xxh3_64_intdigest
@@ -148,24 +150,43 @@ def extents(
             yield s - before, t - before, before + after
 
 
+def _lists(column: pa.Array) -> list[list[tuple[int, ...]]]:
+    """The lists of structs of whole numbers in a column, as tuples."""
+    ends = np.cumsum(pc.list_value_length(column).fill_null(0)).tolist()
+    rows = list(zip(*(c.to_pylist() for c in column.flatten().flatten()), strict=True))
+    return [rows[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _numbers(content: pa.Scalar, kind: type) -> np.ndarray:
+    return np.frombuffer(content.as_buffer(), kind)
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, as lists take much more room in Python than in Arrow."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(start, ROWS_AT_ONCE)
+
+
 def _found(batches: Iterator[pa.RecordBatch], unequal: frozenset[int]) -> Iterator[pa.RecordBatch]:
     """Extents of rows with a text's lines (from ``low`` on), its anchors, and a keeper's lines."""
     odd = np.array(sorted(unequal), np.uint64)
-    for batch in batches:
+    names = [x.split()[0] for x in _EXTENTS.split(", ")]
+    kinds = [pa.int64()] * 4 + [pa.int32()] * 3
+    for batch in _parts(batches):
         out = []
-        for row in batch.to_pylist():
-            own, words = np.frombuffer(row["lines"], np.uint64), np.frombuffer(row["words"], np.int32)
-            own = np.where(np.isin(own, odd), ~own, own)
-            keeper = np.frombuffer(row["kept_lines"], np.uint64)
-            same = row["id"] == row["keeper"] and row["digest"] == row["kept_digest"]
-            anchors = [(a["start"], a["there"]) for a in row["anchors"]]
-            for place in extents(own, words, keeper, anchors, row["low"], same):
-                out.append((row["id"], row["digest"], row["keeper"], row["kept_digest"], *place))
+        keys = [batch.column(c).to_pylist() for c in ("id", "digest", "keeper", "kept_digest")]
+        rest = (batch.column(c) for c in ("lines", "words", "kept_lines"))
+        for i, d, k, e, lines, words, kept, low, anchors in zip(
+            *keys, *rest, batch.column("low").to_pylist(), _lists(batch.column("anchors")), strict=True
+        ):
+            own = _numbers(lines, np.uint64)
+            if len(odd):
+                own = np.where(np.isin(own, odd), ~own, own)
+            found = extents(own, _numbers(words, np.int32), _numbers(kept, np.uint64), anchors, low, (i, d) == (k, e))
+            out += [(i, d, k, e, *place) for place in found]
         columns = list(zip(*out, strict=True)) if out else [()] * 7
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in _EXTENTS.split(", ")]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 _EXTENTS = "id long, digest long, keeper long, kept_digest long, start int, there int, n int"
@@ -191,30 +212,36 @@ _OWED = "array<struct<keeper:bigint,kept_digest:bigint,start:int,there:int,n:int
 
 def _owed_all(found: pa.Array) -> pa.Array:
     names = ("keeper", "kept_digest", "start", "there", "n")
-    rows = [[{k: e[k] for k in names} for e in owed(x)] for x in found.to_pylist()]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-    return pa.array(rows, pa.list_(pa.struct(list(zip(names, kinds, strict=True)))))
+    kind, parts = pa.list_(pa.struct(list(zip(names, kinds, strict=True)))), []
+    for start in range(0, len(found), ROWS_AT_ONCE):
+        rows = [owed([dict(zip(names, e)) for e in own]) for own in _lists(found.slice(start, ROWS_AT_ONCE))]
+        parts.append(pa.array(rows, kind))
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
-def _marks(n: int, going: list[dict], staying: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+def _marks(n: int, going: list[tuple], staying: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     """Per line the number of its extent (-1: none), and whether it goes."""
     extent = np.full(n, -1)
-    for k, e in enumerate(going):
-        extent[e["start"] : e["start"] + e["n"]] = k
+    for k, (start, many) in enumerate(going):
+        extent[start : start + many] = k
     goes = extent >= 0
-    for e in staying:
-        goes[e["start"] : e["start"] + e["n"]] = False
+    for start, many in staying:
+        goes[start : start + many] = False
     return extent, goes
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Short runs of lines that their text would lose a part of, and that no one keeper has whole."""
-    for batch in batches:
+    for batch in _parts(batches):
         out = []
-        for row in batch.to_pylist():
-            own, words = np.frombuffer(row["lines"], np.uint64), np.frombuffer(row["words"], np.int32)
+        marked = (_lists(batch.column(c)) for c in ("going", "staying"))
+        for i, lines, words, going, staying in zip(
+            batch.column("id").to_pylist(), batch.column("lines"), batch.column("words"), *marked, strict=True
+        ):
+            own, words = _numbers(lines, np.uint64), _numbers(words, np.int32)
             n = len(own)
-            extent, goes = _marks(n, row["going"], row["staying"])
+            extent, goes = _marks(n, going, staying)
             total, lost = np.r_[0, np.cumsum(words)], np.r_[0, np.cumsum(goes)]
             change = np.r_[0, np.cumsum(extent[1:] != extent[:-1])]
             starts = np.arange(n)
@@ -222,7 +249,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts, ends = starts[ends <= n], ends[ends <= n]
             whole = (extent[starts] >= 0) & (change[starts] == change[ends - 1])
             for s, e in zip(*(x[(lost[ends] > lost[starts]) & ~whole].tolist() for x in (starts, ends)), strict=True):
-                out.append((_hash(own[s:e].tobytes()), row["id"], s, e - s))
+                out.append((_hash(own[s:e].tobytes()), i, s, e - s))
         hashes = np.array([r[0] for r in out], np.uint64).view(np.int64)
         columns = [pa.array(hashes), *(pa.array([r[k] for r in out], t) for k, t in ((1, pa.int64()), (2, pa.int32()), (3, pa.int32())))]
         yield pa.RecordBatch.from_arrays(columns, ["hash", "id", "start", "n"])
@@ -230,20 +257,20 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hash and bytes of the lines that go or are owed something."""
-    for batch in batches:
+    for batch in _parts(batches):
         for first, part in pieces(batch.column(0)):
             rows = set()
-            lists = (batch.column(k).slice(first, len(part)).to_pylist() for k in (1, 2))
+            lists = (_lists(batch.column(k).slice(first, len(part))) for k in (1, 2))
             for text, going, staying in zip(part, *lists, strict=True):
                 lines = [line for line in text.split(b"\n") if line.split()]
-                for e in (*going, *staying):
-                    rows.update((_hash(line), line) for line in lines[e["start"] : e["start"] + e["n"]])
+                for start, many in (*going, *staying):
+                    rows.update((_hash(line), line) for line in lines[start : start + many])
             hashes = np.array([h for h, _ in rows], np.uint64).view(np.int64)
             columns = [pa.array(hashes), pa.array([c for _, c in rows], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["hash", "content"])
 
 
-def _cut(text: bytes, going: list[dict], staying: list[dict]) -> tuple[bytes, int, int]:
+def _cut(text: bytes, going: list[tuple], staying: list[tuple]) -> tuple[bytes, int, int]:
     """The text without its repeated passages, its number of lines and of lines that went."""
     lines = text.split(b"\n")
     full = [k for k, line in enumerate(lines) if line.split()]
@@ -262,7 +289,7 @@ def _cut(text: bytes, going: list[dict], staying: list[dict]) -> tuple[bytes, in
 def _cut_all(texts: pa.Array, going: pa.Array, staying: pa.Array) -> pa.Array:
     out, lines, gone = [], [], []
     for first, part in pieces(texts):
-        lists = (x.slice(first, len(part)).to_pylist() for x in (going, staying))
+        lists = (_lists(x.slice(first, len(part))) for x in (going, staying))
         for text, go, stay in zip(part, *lists, strict=True):
             kept, many, removed = _cut(text, go, stay) if go else (text, text.count(b"\n") + 1, 0)
             out.append(kept.decode())

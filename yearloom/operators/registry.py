@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yearloom.operators.joins import size_checked_join
@@ -10,6 +10,7 @@ from yearloom.session import store
 
 # The stages of a model version.
 PRODUCTION, ARCHIVED, NO_STAGE = "Production", "Archived", "None"
+REGISTERED, PROMOTED = "registered", "promoted"
 
 
 def champions(
@@ -29,6 +30,30 @@ def champions(
     return tied.groupBy(group).agg(best).select("best.*")
 
 
+def state_of_events(events: DataFrame) -> DataFrame:
+    """Versions and stages from events (``name``, ``run_id``, ``event``, ``at``) in any order.
+
+    A run's first registration counts.  Versions are numbered by that time, then by run id, so
+    writers that know nothing of each other give no number twice.  The run that was promoted last (of several at
+    one time the one with the largest id) is in production, others that ever were are archived.  An
+    event that is noted again at the same time changes nothing.  Promotions of runs that are not registered do not count.
+    """
+    registered, promoted = F.col("event") == REGISTERED, F.col("event") == PROMOTED
+    runs = events.groupBy("name", "run_id").agg(
+        F.min(F.when(registered, F.col("at"))).alias("__first"), F.max(F.when(promoted, F.col("at"))).alias("__last")
+    )
+    known = runs.where(F.col("__first").isNotNull())
+    numbered = Window.partitionBy("name").orderBy("__first", "run_id")
+    newest = F.max(F.when(F.col("__last").isNotNull(), F.struct("__last", "run_id"))).over(Window.partitionBy("name"))
+    stage = (
+        F.when(F.col("__last").isNull(), F.lit(NO_STAGE))
+        .when(newest["run_id"] == F.col("run_id"), F.lit(PRODUCTION))
+        .otherwise(F.lit(ARCHIVED))
+    )
+    version = F.row_number().over(numbered).cast("long")
+    return known.select("name", version.alias("version"), "run_id", stage.alias("stage"))
+
+
 def next_versions(registry: DataFrame, candidates: DataFrame) -> DataFrame:
     """Give each candidate (``name``, ``run_id``) the version after its model's latest."""
     latest = registry.groupBy("name").agg(F.max("version").alias("latest"))

@@ -1,14 +1,15 @@
-"""Runs and model versions as tables.
+"""Runs and model versions as tables of events.
 
-Both tables only grow: a change of stage is a new row, and the current state of a
-version is its latest row.  So nothing overwrites a table that is being read.
-One writer at a time is assumed.
+Both tables only grow.  What they say is worked out when they are read: a run that was logged twice
+is one run, and version numbers and stages follow from the times and run ids of the events.  So
+several writers at once neither overwrite anything nor give a number twice.
 """
 
 from __future__ import annotations
 
 import json
 import logging
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yearloom.operators.registry import PRODUCTION, champions, register_and_promote
+from yearloom.operators.registry import PRODUCTION, PROMOTED, REGISTERED, champions, state_of_events
 from yearloom.plans.training import Candidate, Training
 
 log = logging.getLogger(__name__)
@@ -26,13 +27,9 @@ RUNS = (
     "params map<string,string>, metrics map<string,double>, model_path string, "
     "signature string, cv_folds int, logged_at timestamp"
 )
-VERSIONS = (
-    "name string, version bigint, run_id string, stage string, change bigint, "
-    "changed_at timestamp"
-)
+EVENTS = "name string, run_id string, event string, at timestamp"
 # The beginnings of run names and of the names of tuned parameters.
 RUN_NAME, TUNED = "Tune_and_Train_", "best_"
-_STATE = ["name", "version", "run_id", "stage"]
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -45,22 +42,19 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def runs(spark: SparkSession, base: str) -> DataFrame:
-    return _read(spark, f"{base}/runs", RUNS)
+    """The logged runs; of one that was logged several times the first row."""
+    logged = _read(spark, f"{base}/runs", RUNS)
+    first = F.min_by(F.struct(*logged.columns), F.struct("logged_at", "model_path")).alias("first")
+    return logged.groupBy("run_id").agg(first).select("first.*")
 
 
-def version_changes(spark: SparkSession, base: str) -> DataFrame:
-    return _read(spark, f"{base}/versions", VERSIONS)
+def version_events(spark: SparkSession, base: str) -> DataFrame:
+    return _read(spark, f"{base}/versions", EVENTS)
 
 
 def registry(spark: SparkSession, base: str) -> DataFrame:
-    """The current stage of every version of every model."""
-    latest = F.max_by(F.struct("run_id", "stage"), "change").alias("latest")
-    return (
-        version_changes(spark, base)
-        .groupBy("name", "version")
-        .agg(latest)
-        .select("name", "version", "latest.run_id", "latest.stage")
-    )
+    """The number and the current stage of every version of every model."""
+    return state_of_events(version_events(spark, base))
 
 
 def signature(candidate: Candidate) -> str:
@@ -81,8 +75,9 @@ def log_training(spark: SparkSession, base: str, training: Training) -> list[str
         if c.run_id in known:
             log.info("run %s is already logged", c.run_id)
             continue
-        path = f"{base}/models/{c.run_id}"
-        c.model.write().overwrite().save(path)
+        # Of its own, so that a writer with the same run does not write over it.
+        path = f"{base}/models/{c.run_id}-{uuid.uuid4().hex[:8]}"
+        c.model.save(path)
         row = (
             training.spec.experiment,
             c.run_id,
@@ -108,20 +103,24 @@ def champion(spark: SparkSession, base: str, run_ids: list[str]) -> DataFrame:
     return champions(scored.withColumn("rmse", F.col("metrics")["rmse"]))
 
 
+def _append(spark: SparkSession, base: str, name: str, run_id: str, events: list[str]) -> None:
+    now = datetime.now(timezone.utc)
+    rows = spark.createDataFrame([(name, run_id, event, now) for event in events], EVENTS)
+    rows.coalesce(1).write.mode("append").parquet(f"{base}/versions")
+
+
 def register(spark: SparkSession, base: str, name: str, run_id: str) -> None:
     """Make the run the next version of the model, in production; once per run."""
-    current = registry(spark, base)
     known = (F.col("name") == name) & (F.col("run_id") == run_id)
-    if not current.where(known).isEmpty():
+    if not version_events(spark, base).where(known).isEmpty():
         log.info("run %s is already a version of %s", run_id, name)
         return
-    candidate = spark.createDataFrame([(name, run_id)], "name string, run_id string")
-    changed = register_and_promote(current, candidate).exceptAll(current.select(*_STATE))
-    last = version_changes(spark, base).agg(F.max("change")).first()[0] or 0
-    rows = changed.withColumn("change", F.lit(last + 1).cast("bigint")).withColumn(
-        "changed_at", F.current_timestamp()
-    )
-    rows.coalesce(1).write.mode("append").parquet(f"{base}/versions")
+    _append(spark, base, name, run_id, [REGISTERED, PROMOTED])
+
+
+def promote(spark: SparkSession, base: str, name: str, run_id: str) -> None:
+    """Put a registered run's version in production; the one that was there becomes archived."""
+    _append(spark, base, name, run_id, [PROMOTED])
 
 
 def track(spark: SparkSession, base: str, training: Training) -> str | None:
