@@ -176,6 +176,29 @@ order_rows AS (
   FROM orders)"""
 
 ORACLE = {
+    "exact_split_counts": """
+WITH ranked AS (
+  SELECT o_orderkey, o_orderstatus, count(*) OVER (PARTITION BY o_orderstatus) AS n,
+    row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey * 48271 % 2147483647) AS place
+  FROM orders)
+SELECT o_orderstatus, CASE WHEN place <= (n * 80 + 50) // 100 THEN 'train' ELSE 'validation' END AS split,
+  count(*) AS n_rows, sum(o_orderkey)::BIGINT AS sum_keys, max(o_orderkey) AS last_key
+FROM ranked GROUP BY ALL""",
+    "carried_quantities": """
+WITH items AS (
+  SELECT l_returnflag, l_orderkey, l_linenumber, max(CASE WHEN l_linestatus = 'F' THEN l_quantity END) AS quantity
+  FROM lineitem GROUP BY ALL)
+SELECT l_returnflag, l_orderkey, l_linenumber,
+  last_value(quantity IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS quantity
+FROM items""",
+    "merged_profile": "\nUNION ALL\n".join(
+        f"SELECT '{years}' AS years, '{column}' AS column_name, count(*) AS row_count, count(*) - count({column}) AS null_count, "
+        f"true AS values_close, {'true' if kind in ('bigint', 'int', 'double') and column not in ('l_discount', 'l_tax') else 'NULL'} AS ranks_close "
+        f"FROM lineitem WHERE {where}"
+        for years, where in (("all", "true"), ("some", "year(l_shipdate) IN (1996, 1998)"))
+        for column, kind in _PROFILED["lineitem"].items()
+    ),
     "event_registry": """
 WITH firsts AS (
   SELECT 'model_' || o_custkey AS name, 'run_' || o_orderkey AS run_id, o_orderdate::DATE AS moment, o_orderstatus = 'F' AS promoted

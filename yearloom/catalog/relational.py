@@ -13,8 +13,8 @@ from yearloom.catalog.star import ENTITY, INCIDENTS, INCOME, LISTINGS, NAME, PAN
 from yearloom.functions import safe_double, year_from_filename
 from yearloom.operators import frames, panel, reconcile, registry
 from yearloom.plans import increments
-from yearloom.session import scratch_path
-from yearloom.sources import landing, ledger, readers, writers
+from yearloom.session import scratch_path, store
+from yearloom.sources import landing, ledger, readers, sketches, writers
 from yearloom.specs import DatasetSpec, FactSpec, LookupSpec, Measure, PanelSpec, PeriodSpec
 
 INCIDENT_LABEL, INCOME_LABEL = "incidence_count", "avg_income_index"
@@ -463,7 +463,60 @@ def event_registry(spark, folder):
     return registry.state_of_events(first.unionByName(again).unionByName(promoted).unionByName(promoted))
 
 
+def exact_split_counts(spark, folder):
+    """Orders split by arithmetic hashes, exactly four fifths of each status."""
+    number = F.col("o_orderkey") * 48271 % 2147483647
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    split = frames.exact_split(orders, ["o_orderkey"], ["o_orderstatus"], number=number)
+    return split.groupBy("o_orderstatus", "split").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("sum_keys"), F.max("o_orderkey").alias("last_key")
+    )
+
+
+def carried_quantities(spark, folder):
+    """Quantities of line items, those of open ones carried from the item before with the same flag."""
+    items = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag",
+        F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("quantity"),
+    )
+    items = items.groupBy("l_returnflag", "l_orderkey", "l_linenumber").agg(F.max("quantity").alias("quantity"))
+    return panel.carried_forward(items, "l_returnflag", ["l_orderkey", "l_linenumber"], ["quantity"])
+
+
+def merged_profile(spark, folder):
+    """Line items profiled by ship year; the profiles of all years, and of two, against exact counts and ranks."""
+    items = table(spark, folder, "lineitem").withColumn("year", F.year("l_shipdate"))
+    kept = store(sketches.part_profiles(items, "year"), "part-profiles")
+    quantiles, numbers = (0.1, 0.5, 0.9), ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+
+    def checked(years: list[int] | None) -> DataFrame:
+        chosen = lambda df, c: df if years is None else df.where(F.col(c).isin(years))
+        merged = store(sketches.merged_profile(chosen(kept, "part"), quantiles), "merged-profile")
+        rows = chosen(items, "year").drop("year")
+        # Six columns with three quantiles each.
+        found = {r["column_name"]: r["quantiles"] for r in merged.select("column_name", "quantiles").collect()}
+        shares = []
+        for c in numbers:
+            fits = F.lit(True)
+            for q, value in zip(quantiles, found.get(c) or [], strict=False):
+                below, upto = F.avg((F.col(c) < value).cast("int")), F.avg((F.col(c) <= value).cast("int"))
+                fits = fits & (below <= q + 0.02) & (upto >= q - 0.02)
+            shares.append(F.struct(F.lit(c).alias("column_name"), fits.alias("ranks_close")))
+        ranks = rows.agg(F.array(*shares).alias("all")).select(F.inline("all"))
+        both = merged.join(landing.exact_distinct(rows), "column_name").join(ranks, "column_name", "left")
+        off = F.abs(F.col("approx_distinct") - F.col("n_distinct")) <= 0.08 * F.col("n_distinct")
+        return both.select(
+            F.lit("all" if years is None else "some").alias("years"), "column_name", "row_count", "null_count",
+            off.alias("values_close"), "ranks_close",
+        )
+
+    return checked(None).unionByName(checked([1996, 1998]))
+
+
 QUERIES = {
+    "exact_split_counts": exact_split_counts,
+    "carried_quantities": carried_quantities,
+    "merged_profile": merged_profile,
     "event_registry": event_registry,
     "landing_ledger": landing_ledger,
     "incremental_master": incremental_master,

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Estimator
 from pyspark.ml.feature import Imputer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from yearloom.operators.joins import fits_broadcast, holds_map, size_checked_join
+from yearloom.session import store
+
 IMPUTED = "_imputed"
 
 
@@ -38,6 +43,88 @@ def key_split(
     return df.withColumn(name, part)
 
 
+_DIGIT = 16  # bits of a hash that are counted at a time
+
+
+def _counted_cut(rows: DataFrame, strata: list[str], number: str, wanted: DataFrame) -> DataFrame:
+    """Per stratum the ``number`` at which its ``__left`` smallest end (``__cut``), and how many of
+    those with that very number belong to them (``__left``).
+
+    The numbers are longs.  They are counted by their first bits; then, of those with the bits that the
+    cut falls in, by the next ones, so no stratum is sorted or seen by one task.
+    """
+    cuts = wanted.withColumn("__cut", F.lit(0).cast("long"))
+    by_count = Window.partitionBy(*strata).orderBy("__bits")
+    for shift in range(64 - _DIGIT, -1, -_DIGIT):
+        bits = F.shiftright(number, shift)
+        if shift < 64 - _DIGIT:
+            bits = bits.bitwiseAND(F.lit((1 << _DIGIT) - 1))
+            joined = size_checked_join(rows, cuts, strata, "inner", null_safe=True, fits=fits_broadcast(cuts))
+            inside = joined.where(F.shiftright(number, shift + _DIGIT) == F.col("__cut"))
+        else:
+            inside = size_checked_join(rows, cuts, strata, "inner", null_safe=True, fits=fits_broadcast(cuts))
+        counts = inside.groupBy(*strata, "__cut", "__left", bits.cast("long").alias("__bits")).count()
+        upto = counts.withColumn("__upto", F.sum("count").over(by_count))
+        hit = upto.where((F.col("__upto") >= F.col("__left")) & (F.col("__upto") - F.col("count") < F.col("__left")))
+        prefix = F.shiftleft("__cut", _DIGIT).bitwiseOR(F.col("__bits")) if shift < 64 - _DIGIT else F.col("__bits")
+        left = F.col("__left") - (F.col("__upto") - F.col("count"))
+        cuts = store(hit.select(*strata, left.alias("__left"), prefix.alias("__cut")), "split-cuts")
+    return cuts
+
+
+def exact_split(
+    df: DataFrame,
+    keys: list[str],
+    strata: list[str],
+    train_percent: int = 80,
+    seed: int = 42,
+    number: Column | None = None,
+    name: str = "split",
+) -> DataFrame:
+    """Mark exactly ``train_percent`` of each stratum's rows as ``train``, rounded half up.
+
+    Those are the rows with the smallest hashes of their keys, the same ones in every layout.
+    Rows that share keys are told apart by hashes of all columns; which of full copies are
+    taken makes no difference.  NULL is a stratum of its own.  ``number`` replaces the hash of the keys by another long.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys], F.lit(seed)) if number is None else number.cast("long")
+    plain = [f"`{f.name}`" for f in df.schema.fields if not holds_map(f.dataType)]
+    rows = df.withColumns({"__key_hash": hashed, "__row_hash": F.xxhash64(*plain)})
+    names = [f"__stratum_{i}" for i in range(len(strata))]
+    rows = rows.withColumns({n: F.col(f"`{s}`") for n, s in zip(names, strata, strict=True)})
+    share = F.floor((F.count(F.lit(1)) * train_percent + 50) / 100).alias("__left")
+    wanted = rows.groupBy(*names).agg(share).where("__left > 0")
+    first = _counted_cut(rows.select(*names, "__key_hash"), names, "__key_hash", store(wanted, "split-sizes"))
+    first = store(first.select(*names, F.col("__cut").alias("__key_cut"), "__left"), "split-keys")
+    # Rows with the very hash of the cut: mostly one for each stratum.
+    tied = size_checked_join(rows, first, names, "inner", null_safe=True).where(F.col("__key_hash") == F.col("__key_cut"))
+    second = _counted_cut(
+        tied.select(*names, "__row_hash"), names, "__row_hash", first.select(*names, "__left")
+    ).select(*names, F.col("__cut").alias("__row_cut"), F.col("__left").alias("__copies"))
+    cuts = store(first.drop("__left").join(_null_safe_names(second, names), _same(names)).drop(*[f"__r{n}" for n in names]), "split-ends")
+    marked = size_checked_join(rows, cuts, names, "left", null_safe=True)
+    key, row = F.col("__key_hash"), F.col("__row_hash")
+    same_key = key == F.col("__key_cut")
+    copy = same_key & (row == F.col("__row_cut"))
+    # Full copies at the cut are numbered; others need no order.
+    number_of = F.row_number().over(Window.partitionBy(*names, "__row_hash").orderBy("__key_hash"))
+    inside = (key < F.col("__key_cut")) | (same_key & (row < F.col("__row_cut")))
+    part = F.when(F.coalesce(inside, F.lit(False)), "train").otherwise("validation")
+    is_copy = F.coalesce(copy, F.lit(False))
+    rest = marked.where(~is_copy).withColumn(name, part)
+    copies = marked.where(is_copy).withColumn("__nth", number_of)
+    copies = copies.withColumn(name, F.when(F.col("__nth") <= F.col("__copies"), "train").otherwise("validation")).drop("__nth")
+    return rest.unionByName(copies).select(*[f"`{c}`" for c in df.columns if c != name], name)
+
+
+def _null_safe_names(df: DataFrame, names: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"__r{n}" for n in names})
+
+
+def _same(names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__r{n}")) for n in names])
+
+
 def random_split(
     df: DataFrame, train_percent: int = 80, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:

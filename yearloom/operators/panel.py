@@ -201,3 +201,35 @@ def mean_fill(
     return joined.withColumns(
         {c: F.coalesce(safe_double(F.col(f"`{c}`")), F.col(f"`__mean_{c}`")) for c in columns}
     ).drop(*[f"__mean_{c}" for c in columns])
+
+
+def carried_forward(df: DataFrame, group: str, order: list[str], columns: list[str]) -> DataFrame:
+    """Replace NULLs in ``columns`` by the group's last known value before the row in ``order``.
+
+    Equal to ``last_value(x ignore nulls)`` over the group, but a group of any size is cut: rows are placed by
+    ranges of group and order, and stored.  The last values of a group's ranges, one row for each, tell what every range
+    begins with; each range then only looks at its own rows.  ``order`` has to tell the rows of a group apart.
+    """
+    placed = df.repartitionByRange(F.col(f"`{group}`"), *[F.col(f"`{c}`") for c in order])
+    placed = store(placed.withColumn("__range", F.spark_partition_id()), "ranges")
+    keys = [F.col(f"`{group}`").alias("__group"), F.col("__range")]
+    position = F.struct(*[F.col(f"`{c}`") for c in order])
+    last = [F.max_by(F.col(f"`{c}`"), F.when(F.col(f"`{c}`").isNotNull(), position)).alias(f"__last_{i}") for i, c in enumerate(columns)]
+    ends = placed.groupBy(*keys).agg(*last)
+    before = Window.partitionBy("__group").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = ends.select(
+        F.col("__group"),
+        F.col("__range").alias("__begins"),
+        *[F.last(f"__last_{i}", ignorenulls=True).over(before).alias(f"__carry_{i}") for i in range(len(columns))],
+    )
+    begins = store(begins, "range-begins")
+    own = Window.partitionBy(group, "__range").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = placed.withColumns({f"__own_{i}": F.last(F.col(f"`{c}`"), ignorenulls=True).over(own) for i, c in enumerate(columns)})
+    same = F.col(f"`{group}`").eqNullSafe(F.col("__group")) & (F.col("__range") == F.col("__begins"))
+    joined = filled.join(begins, same, "left")
+    return joined.select(
+        *[
+            F.coalesce(f"__own_{columns.index(c)}", f"__carry_{columns.index(c)}").alias(c) if c in columns else F.col(f"`{c}`")
+            for c in df.columns
+        ]
+    )
