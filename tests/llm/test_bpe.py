@@ -41,6 +41,73 @@ def test_long_words_are_encoded_through_a_small_buffer(library, monkeypatch, buf
         assert ids(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def streamed(word):
+    """Tokens of a word, how many of them came before its end, and the most symbols held."""
+    v = bpe.vocabulary(PATH)
+    coder, out, held = bpe.Transducer(v), [], 0
+    symbols = word.decode("latin-1").translate(v.letters)
+    for k, symbol in enumerate(symbols):
+        coder.feed(symbol, k + 1 == len(symbols))
+        held = max(held, len(coder.read))
+        if k + 1 < len(symbols):
+            out += coder.stable()
+    return [*out, *coder.path(len(coder.read))], len(out), held
+
+
+def test_tokens_are_emitted_before_the_end_of_words(folder):
+    """On the given documents, symbol by symbol: nothing emitted ever changes."""
+    import duckdb
+
+    v, coder = bpe.vocabulary(PATH), bpe.encoder(PATH)
+    texts = duckdb.sql(f"SELECT text FROM '{folder}/documents.parquet' WHERE text IS NOT NULL LIMIT 60").fetchall()
+    words = sorted({w for (t,) in texts for w in coder.words(t)})
+    early = several = 0
+    for word in words:
+        tokens, before, _ = streamed(word.encode())
+        assert tokens == coder.short.ids(word.encode()) == [v.ids[t] for t in bpe.merged(v.symbols(word.encode()), v.ranks)]
+        early += before
+        several += len(tokens) - 1
+    assert len(words) > 3000 and early > 0.3 * several  # of those that are not the last of their word
+
+
+def test_memory_does_not_grow_with_the_word():
+    r, v = random.Random(6), bpe.vocabulary(PATH)
+    for letters in (b"abcdefghijthein", b"a", b"ab", b"the", b"=-_", b"ha"):
+        short, long = (bytes(r.choice(letters) for _ in range(n)) for n in (600, 6000))
+        for word in (short, long, letters * 300):
+            tokens, early, held = streamed(word)
+            assert tokens == [v.ids[t] for t in bpe.merged(v.symbols(word), v.ranks)]
+            assert held <= v.lookahead + v.longest + 1
+            assert early > 0.8 * (len(tokens) - v.lookahead)
+
+
+def test_borders_of_small_lists():
+    class Small(bpe.Vocabulary):
+        def __init__(self, merges):
+            self.ranks, self.suffix = {m: k for k, m in enumerate(merges)}, ""
+            self.names = [*"abc", *(a + b for a, b in merges)]
+            self.ids = {t: k for k, t in enumerate(self.names)}
+            self.longest = max(map(len, self.ids))
+            self._take_apart()
+
+    r = random.Random(9)
+    for _ in range(300):
+        merges, parts = [], list("abc")
+        for _ in range(r.randrange(1, 9)):
+            pair = r.choice(parts), r.choice(parts)
+            if "".join(pair) not in parts:
+                merges.append(pair)
+                parts.append("".join(pair))
+        v = Small(merges)
+        for _ in range(20):
+            word = "".join(r.choice("abc") for _ in range(r.randrange(1, 14)))
+            coder, out = bpe.Transducer(v), []
+            for symbol in word:
+                coder.feed(symbol)
+                out += coder.stable()
+            assert [v.names[t] for t in out + coder.path(len(coder.read))] == bpe.merged(list(word), v.ranks), (merges, word)
+
+
 def test_special_strings_and_blocks(library, monkeypatch):
     text = "A<|endoftext|>b <|STARTOFTEXT|> " + "wörd's 12 " * 200 + "<|startoftext|>"
     expected = library.encode(text, add_special_tokens=False).ids

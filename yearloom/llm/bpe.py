@@ -1,16 +1,19 @@
 """Byte-pair encoding and decoding of whole texts, as a streaming transducer.
 
-A word is encoded from left to right.  A buffer of symbols is merged as if nothing
-followed; every token that ends at least ``lookahead`` symbols before the end of the buffer
-can no longer change, whatever follows, and is emitted.  Memory is bounded by the buffer
-and not by the word.
-
-Why that many symbols suffice: let two words share their first n symbols.  Before any
+A word is read from left to right, symbol by symbol.  For every beginning of it the transducer
+knows the last token that the beginning would have by itself, and where that token starts: of
+all tokens that end there it is the only one that can follow the last token of the shorter beginning, as
+no rule would have joined anything across their border.  So the tokens of all beginnings are a
+tree, and the word's tokens are the path to its end.
+
+What follows can only continue from a beginning after which a longer token may still be open.
+Tokens on the paths of all of those can no longer change and are emitted.  How many symbols it
+takes at most follows from the rules.  Let two words share their first n symbols.  Before any
 merge they share n one-symbol tokens.  A rule (a, b) shortens this common run of tokens
 only if it joins the last shared token, a, to what follows in one of the words.  After
 that, what follows begins with a, so the next rule (c, d) that shortens the run is a later
 one whose d begins with a.  The longest such chain, weighed by the lengths of its left
-parts, is the most that is ever lost.
+parts, is the most that is ever lost; memory is bounded by it and not by the word.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ import heapq
 import json
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -34,8 +38,10 @@ from tokenizers import Tokenizer
 from yearloom.llm.common import add_columns, pieces
 
 MEMO_WORDS = 150_000  # remembered words of one worker
+MEMO_BORDERS = 150_000  # remembered pairs of tokens
+MEMO_BEGINNINGS = 150_000  # remembered beginnings of words
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
-BUFFER = 4096  # symbols merged at a time beyond the lookahead
+BUFFER = 64  # symbols read before stable tokens are emitted
 ID_BITS = 20  # of an id in a rule
 ID_MASK = (1 << ID_BITS) - 1
 NO_RULE = 1 << 60
@@ -76,6 +82,47 @@ class Vocabulary:
         self.by_id = [None if s is None else self.packed[s] for s in self.names]
         self.longest = max(map(self._length, self.ids))
         self.lookahead = sufficient_lookahead(merges, self._length)
+        self._take_apart()
+
+    def _take_apart(self) -> None:
+        # What each token is made of, by which rule; the first rule counts.
+        self.made = {a + b: (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
+        self.borders: dict[int, bool] = {}
+        # Tokens that the rules do make of their own symbols, as all of a trained list.
+        self.known = {t: i for t, i in self.ids.items() if len(t.removesuffix(self.suffix) or t) == 1}
+        for t, (rank, a, b) in sorted(self.made.items(), key=lambda item: item[1][0]):
+            if a in self.known and b in self.known and self._apart(a, b, rank):
+                self.known[t] = self.ids[t]
+
+    @functools.cached_property
+    def beginnings(self) -> frozenset[str]:
+        """All beginnings of tokens that go on; an end of word is no symbol, but more than none."""
+        return frozenset(t[:k] for t in self.known for k in range(1, len(t.removesuffix(self.suffix)) + (t.endswith(self.suffix) and self.suffix != "")))
+
+    def follows(self, left: int, right: int) -> bool:
+        """Whether both tokens stay apart where the one follows the other."""
+        pair = left << ID_BITS | right
+        found = self.borders.get(pair)
+        if found is None:
+            if len(self.borders) >= MEMO_BORDERS:
+                self.borders.clear()
+            found = self.borders[pair] = self._apart(self.names[left], self.names[right], len(self.ranks))
+        return found
+
+    def _apart(self, left: str, right: str, before: int) -> bool:
+        """Takes both apart, the later rule first, and looks for one across the border before that."""
+        while True:
+            across = self.ranks.get((left, right))
+            if across is not None and across < before:
+                return False
+            one, other = self.made.get(left), self.made.get(right)
+            if one is None and other is None:
+                return True
+            if other is None or one is not None and one[0] > other[0]:
+                before, left = one[0], one[2]
+            else:
+                # Of equal rules the one further left is applied first.
+                before, right = other[0] + 1, other[1]
 
     def _length(self, symbols: str) -> int:
         return len(symbols) - len(self.suffix) * bool(self.suffix and symbols.endswith(self.suffix)) or 1
@@ -104,11 +151,11 @@ def sufficient_lookahead(merges: list[tuple[str, str]], length=len) -> int:
     return most
 
 
-SHORT = 24  # symbols up to which the plain loop is the faster one
-
-
 def merged_ids(parts: list[int], rules: dict[int, int]) -> list[int]:
-    """Apply the rules to the ids of a short word, best rule first and from left to right."""
+    """Apply the rules to the ids of a whole word, best rule first and from left to right.
+
+    This and ``merged`` say what a word's tokens are; tests compare with them.
+    """
     get = rules.get
     found = [get(a << ID_BITS | b, NO_RULE) for a, b in pairwise(parts)]
     while found and (best := min(found)) != NO_RULE:
@@ -150,6 +197,114 @@ def merged(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
     return [p for p in parts if p is not None]
 
 
+def _last_token(v: Vocabulary, read: str, left: list[int], guess: int, tail: str = "") -> tuple[int, int]:
+    """The one token that ends what was read and can follow what is before it, and where it starts.
+
+    ``left`` has the last tokens of all shorter beginnings (-1: none).  ``guess`` is a likely start, not
+    farther back than a token can be long.
+    """
+    known, borders, n, j = v.known.get, v.borders.get, len(read), guess
+    first = n - v.longest if n > v.longest else 0
+    while True:
+        token = known(read[j:] + tail if tail else read[j:])
+        if token is not None:
+            before = left[j]
+            if before < 0 or (fits := borders(before << ID_BITS | token)) or fits is None and v.follows(before, token):
+                return token, j
+        # From the guess to the end, then from the beginning to the guess.
+        j += 1
+        if j == n:
+            j = first
+        if j == guess:
+            raise ValueError("a symbol is not in the vocabulary")
+
+
+class Transducer:
+    """Encodes one word of any length symbol by symbol; see the module."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.read = ""  # symbols since the last emitted token
+        self.last = [-1]  # by place in ``read``: the token that ends there
+        self.start = [0]
+
+    def feed(self, symbols: str, end: bool = False) -> None:
+        """Read more symbols; with ``end`` the last of them ends the word."""
+        v = self.vocabulary
+        for k, symbol in enumerate(symbols):
+            self.read += symbol
+            tail = v.suffix if end and k + 1 == len(symbols) else ""
+            guess = max(self.start[-1], len(self.read) - v.longest)
+            token, start = _last_token(v, self.read, self.last, guess, tail)
+            self.last.append(token)
+            self.start.append(start)
+
+    def path(self, place: int) -> list[int]:
+        """The tokens up to a place."""
+        out = []
+        while place:
+            out.append(self.last[place])
+            place = self.start[place]
+        return out[::-1]
+
+    def stable(self) -> list[int]:
+        """Tokens that no continuation changes; they are given once."""
+        read, n, opened = self.read, len(self.read), self.vocabulary.beginnings
+        # From which places a token may go on beyond what was read.
+        front = {n} | {q for q in range(max(0, n - self.vocabulary.longest), n) if read[q:] in opened}
+        while len(front) > 1:  # back to where their paths meet
+            farthest = max(front)
+            front.discard(farthest)
+            front.add(self.start[farthest])
+        place = front.pop()
+        out = self.path(place)
+        if place:
+            self.read = read[place:]
+            self.last = self.last[place:]
+            self.start = [0, *(max(0, k - place) for k in self.start[place + 1 :])]
+        return out
+
+
+class Beginnings:
+    """The same for short words, remembering the tokens of all beginnings as a tree of symbols.
+
+    Words mostly begin like others, so few of their symbols are new.  Forgets everything when full.
+    """
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.forget()
+
+    def forget(self) -> None:
+        self.after: dict[int, int] = {}  # beginning and next byte to longer beginning
+        self.token, self.start = array("i", [-1]), array("i", [0])
+
+    def ids(self, word: bytes) -> list[int]:
+        v = self.vocabulary
+        if len(self.token) >= MEMO_BEGINNINGS:
+            self.forget()
+        after, token, start = self.after, self.token, self.start
+        read = word.decode("latin-1").translate(v.letters)
+        at, places, left, n, longest = 0, [0], [-1], len(word), v.longest
+        for k in range(n - 1):
+            step = at << 8 | word[k]
+            longer = after.get(step)
+            if longer is None:
+                longer = after[step] = len(token)
+                found, begin = _last_token(v, read[: k + 1], left, max(start[at], k + 1 - longest))
+                token.append(found)
+                start.append(begin)
+            at = longer
+            places.append(at)
+            left.append(token[at])
+        last, place = _last_token(v, read, left, max(start[at], n - longest), v.suffix)
+        out = [last]
+        while place:
+            out.append(left[place])
+            place = start[places[place]]
+        return out[::-1]
+
+
 class _Memo(dict):
     """Packed ids of short words; forgets everything when full, so memory stays bounded."""
 
@@ -158,18 +313,11 @@ class _Memo(dict):
 
     def __missing__(self, word: str) -> bytes:
         content = word.encode()
-        if len(content) > MEMO_LENGTH:
-            return b"".join(self.encoder.word_ids(content))
-        v = self.encoder.vocabulary
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        if len(content) > SHORT:
-            found = b"".join(self.encoder.word_ids(content))
-        else:
-            parts = [v.inner[b] for b in content]
-            parts[-1] = v.final[content[-1]]
-            found = b"".join([v.by_id[i] for i in merged_ids(parts, v.rules)])
-        self[word] = found
+        found = b"".join(self.encoder.word_ids(content))
+        if len(content) <= MEMO_LENGTH:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -220,26 +368,22 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.memo = _Memo(self)
+        self.short = Beginnings(vocabulary)
         special = "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
 
     def word_ids(self, word: bytes) -> Iterator[bytes]:
-        """The packed ids of one word; holds one buffer of symbols at a time."""
-        v = self.vocabulary
-        window = v.lookahead + v.longest + BUFFER
-        start = 0
-        while len(word) - start > window:
-            buffer = list(word[start : start + window].decode("latin-1").translate(v.letters))
-            stable = window - v.lookahead
-            end = 0
-            for token in merged(buffer, v.ranks):
-                if end + len(token) > stable:
-                    break
-                end += len(token)
-                yield v.packed[token]
-            start += end
-        for token in merged(v.symbols(word[start:]), v.ranks):
-            yield v.packed[token]
+        """The packed ids of one word; holds a bounded number of symbols at a time."""
+        v, size = self.vocabulary, len(word)
+        if size <= BUFFER:
+            yield from map(v.by_id.__getitem__, self.short.ids(word))
+            return
+        coder = Transducer(v)
+        for start in range(0, size, BUFFER):
+            end = start + BUFFER >= size
+            coder.feed(word[start : start + BUFFER].decode("latin-1").translate(v.letters), end)
+            for token in coder.path(len(coder.read)) if end else coder.stable():
+                yield v.by_id[token]
 
     def blocks(self, text: str) -> Iterator[str]:
         """Pieces of the text, cut where white space stands, so no word is cut."""
