@@ -60,13 +60,28 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    path = f"{shared_folder(spark).rstrip('/')}/yearloom/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; deleted when the application ends."""
+    path = f"{_own_folder(spark, shared_folder(spark).rstrip('/'))}/{label}-{uuid.uuid4().hex}"
     if _scopes:
         _scopes[-1].append(path)
     return path
 
 
+_own: dict[tuple[str, str], str] = {}
+
+
+def _own_folder(spark: SparkSession, shared: str) -> str:
+    """This application's folder in the shared one, which its file system deletes at the end."""
+    key = (spark.sparkContext.applicationId, shared)
+    if key not in _own:
+        _own[key] = f"{shared}/yearloom/{key[0]}-{uuid.uuid4().hex[:8]}"
+        place = spark._jvm.org.apache.hadoop.fs.Path(_own[key])
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(place)
+        system.deleteOnExit(place)
+    return _own[key]
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
