@@ -74,11 +74,12 @@ def test_messy_rows_and_few_labels(spark, messy, same_extras, labels):
 
 
 def test_held_out_accuracy(spark, folder):
+    folder = folder.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     rows = catalog.op4_toxicity(spark, folder)
     assert rows.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
     for row in rows.collect():
         assert row["held_out"] == (zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0)
         assert row["predicted"] == (row["score"] >= 0.5)
-    known = rows.join(labels, "doc_id").collect()
-    assert sum(r["predicted"] == r["toxic"] for r in known) >= 0.85 * len(known)
+    known = rows.where("held_out").join(labels, "doc_id").collect()
+    assert len(known) > 40 and sum(r["predicted"] == r["toxic"] for r in known) >= 0.85 * len(known)
