@@ -152,6 +152,9 @@ def test_files_come_back_from_ranges(spark, files, tmp_path_factory):
     written = landing.restore_files(landed, str(back)).collect()
     assert {r["length"] for r in written} == {len(c) for c in contents.values()}
     assert {p.name: p.read_bytes() for p in (back / "d").iterdir() if p.suffix == ".csv"} == contents
+    times = {p.name: p.stat().st_mtime for p in (back / "d").iterdir() if p.read_bytes()}
+    known = {r["file_name"]: r["modification_time"].timestamp() for r in landed.where("modification_time IS NOT NULL").collect()}
+    assert known and all(times[name] == pytest.approx(t, abs=0.01) for name, t in known.items())
     with pytest.raises(ValueError, match="share a name"):
         landing.restore_files(landed.unionByName(landed), str(back))
 

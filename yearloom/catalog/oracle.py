@@ -208,6 +208,10 @@ SELECT name, row_number() OVER (PARTITION BY name ORDER BY moment, run_id) AS ve
     WHEN row_number() OVER (PARTITION BY name, promoted ORDER BY moment DESC, run_id DESC) = 1 THEN 'Production'
     ELSE 'Archived' END AS stage
 FROM firsts""",
+    "quarantined_csv": """
+SELECT CASE WHEN c_mktsegment <> 'FURNITURE' THEN c_mktsegment END AS c_mktsegment, count(*) AS n_rows,
+  count(*) FILTER (c_mktsegment = 'FURNITURE') AS n_spoiled
+FROM customer GROUP BY 1""",
     "landing_ledger": f"""
 WITH {_ORDER_FILES},
 first AS (SELECT DISTINCT year, part FROM order_rows WHERE year <> 1997),

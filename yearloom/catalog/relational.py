@@ -381,7 +381,7 @@ def landed_round_trip(spark, folder):
 
 
 # Orders as files of bounded size, by year and range of keys, and a master table kept from them.
-ORDER_FILES = DatasetSpec(
+YEARLY_FILES = DatasetSpec(
     name="orders",
     format="csv",
     glob="orders/*.csv",
@@ -390,7 +390,7 @@ ORDER_FILES = DatasetSpec(
     period=PeriodSpec("column", ("year",)),
     multi_line=False,
 )
-ORDER_PANEL = PanelSpec(
+YEARLY_PANEL = PanelSpec(
     facts=(FactSpec("orders", (Measure("avg_price", "avg", "price"), Measure("n_orders", "count"))),)
 )
 FILE_ORDERS = 10_000  # keys of a file
@@ -409,10 +409,27 @@ def _order_files(orders: DataFrame) -> DataFrame:
 
 def _read_orders(folder: str, name: str) -> DataFrame:
     spark = SparkSession.getActiveSession()
-    rows = readers.read_dataset(spark, ORDER_FILES, folder)
+    rows = readers.read_dataset(spark, YEARLY_FILES, folder)
     return rows.select("entity_id", "year", "price", F.col("_metadata.file_name").alias(increments.FILE))
 
 
+CHECKED_CSV = replace(CUSTOMER_FILES, corrupt_column="bad_record")
+
+
+def quarantined_csv(spark, folder):
+    """Customers as CSV, those of segment FURNITURE with text for a balance; what fits and what does not."""
+    base = scratch_path(spark, "landing")
+    bad = F.when(F.col("c_mktsegment") == "FURNITURE", F.lit("n/a"))
+    rows = table(spark, folder, "customer").withColumn("c_acctbal", F.coalesce(bad, F.col("c_acctbal").cast("string")))
+    writers.write_table(rows, f"{base}/customers", "csv")
+    landed = readers.read_dataset(spark, CHECKED_CSV, base)
+    good = readers.good_records(landed, CHECKED_CSV).select("c_mktsegment", F.lit(None).cast("string").alias("record"))
+    corrupt = readers.corrupt_records(landed, CHECKED_CSV).select(F.lit(None).cast("string").alias("c_mktsegment"), "record")
+    return good.unionByName(corrupt).groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.contains("record", F.lit("n/a"))).alias("n_spoiled")
+    )
+
+
 def _three_runs(spark: SparkSession, folder: str, update: bool = True) -> str:
     """A ledger and a master table after files were landed, replaced and withdrawn; the folder of both.
 
@@ -428,7 +445,7 @@ def _three_runs(spark: SparkSession, folder: str, update: bool = True) -> str:
             landing.restore_files(_order_files(rows), source).count()
         ledger.land_changes(spark, {"orders": f"{source}/{glob}"}, base)
         if update:
-            increments.update(spark, base, ORDER_PANEL, _read_orders, buckets=16)
+            increments.update(spark, base, YEARLY_PANEL, _read_orders, buckets=16)
     return base
 
 
@@ -441,7 +458,7 @@ def landing_ledger(spark, folder):
 def incremental_master(spark, folder):
     """The master table after files were landed, replaced and withdrawn."""
     base = _three_runs(spark, folder)
-    return increments.master(spark, base, ORDER_PANEL, "entity_id string, year int, avg_price double, n_orders bigint")
+    return increments.master(spark, base, YEARLY_PANEL, "entity_id string, year int, avg_price double, n_orders bigint")
 
 
 def event_registry(spark, folder):
@@ -518,6 +535,7 @@ QUERIES = {
     "carried_quantities": carried_quantities,
     "merged_profile": merged_profile,
     "event_registry": event_registry,
+    "quarantined_csv": quarantined_csv,
     "landing_ledger": landing_ledger,
     "incremental_master": incremental_master,
     "entity_year_kpis": entity_year_kpis,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import os
 from collections.abc import Iterable, Iterator
 from functools import reduce
 from itertools import groupby
@@ -147,13 +148,16 @@ def restore_files(ranges: DataFrame, target: str) -> DataFrame:
 
     ``target`` is a folder that all executors reach.  A file is written by one task, range
     after range, so only one range is in memory.  A task that runs again writes the same
-    file anew.  Files of one dataset that share a name are an error.
+    file anew.  Files of one dataset that share a name are an error.  On a file system with times that
+    can be set (paths of a shared mount), files keep their ``modification_time``, if the ranges have it.
     """
     clash = ranges.where("range_no = 0").groupBy("dataset", "file_name").count().where("count > 1")
     if not clash.isEmpty():
         raise ValueError("files of one dataset share a name")
     total = ranges.agg(F.sum(F.octet_length("content"))).first()[0] or 0
-    placed = ranges.select("dataset", "file_name", "range_no", "content").repartition(
+    time = F.col("modification_time") if "modification_time" in ranges.columns else F.lit(None)
+    seconds = time.cast("timestamp").cast("double").alias("seconds")
+    placed = ranges.select("dataset", "file_name", "range_no", "content", seconds).repartition(
         max(1, -(-total // TASK_BYTES)), "dataset", "file_name"
     )
     ordered = placed.sortWithinPartitions("dataset", "file_name", "range_no")
@@ -163,22 +167,26 @@ def restore_files(ranges: DataFrame, target: str) -> DataFrame:
 
 
 def _write_files(batches: Iterator[pa.RecordBatch], target: str) -> Iterator[pa.RecordBatch]:
-    at, stream, done, length = None, None, [], 0
+    at, stream, done, length, system, place, changed = None, None, [], 0, None, "", None
 
     def finish() -> None:
         if stream is not None:
             stream.close()
+            if changed is not None and isinstance(system, pyarrow.fs.LocalFileSystem):
+                os.utime(place, (changed, changed))
             done.append((at[0], "/".join((target, *at)), length))
 
     for batch in batches:
         names = zip(batch.column("dataset").to_pylist(), batch.column("file_name").to_pylist(), strict=True)
-        for own, content in zip(names, batch.column("content"), strict=True):
+        times = batch.column("seconds").to_pylist()
+        for own, content, seconds in zip(names, batch.column("content"), times, strict=True):
             if own != at:
                 finish()
-                at, length = own, 0
+                at, length, changed = own, 0, seconds
                 system, folder = _file_system(f"{target}/{own[0]}" if ":" in target else f"file:{target}/{own[0]}")
                 system.create_dir(folder, recursive=True)
-                stream = system.open_output_stream(f"{folder}/{own[1]}")
+                place = f"{folder}/{own[1]}"
+                stream = system.open_output_stream(place)
             stream.write(content.as_buffer())
             length += len(content.as_buffer())
     finish()
