@@ -233,7 +233,8 @@ def find(
     # Not to be moved or repeated by the optimizer, which would make each set twice.
     content = F.arrow_udf(lambda texts: _sets(texts, size), "binary").asNondeterministic()
     # A key that several texts share is one class with all their sets.
-    chosen = docs.join(wanted, "id", "left_semi").select("id", content("text").alias("content"))
+    # Keys of a share of all rows: beyond small tables they are always merged with the texts.
+    chosen = docs.join(wanted.hint("merge"), "id", "left_semi").select("id", content("text").alias("content"))
     chosen = chosen.select("id", "content", (F.octet_length("content") / 8).cast("long").alias("n"))
     sets = store(chosen.where("n > 0"), "near-sets")
 
