@@ -293,7 +293,7 @@ def find(
     items = benchmark.select(
         F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("name"),
         F.coalesce(F.col(f"`{item_text}`").cast("string"), F.lit("")).alias("words"),
-    )
+    ).distinct()  # rows that are repeated would all be in one block
     size = items.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     count = -(-size // BLOCK_BYTES) or 1
     block = F.pmod(F.xxhash64("name", "words"), F.lit(count))
