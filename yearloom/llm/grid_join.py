@@ -24,7 +24,7 @@ from yearloom.session import store
 COSINE = 0.93
 AXES = 8  # leading directions that boxes are kept for
 SORTED = 4  # of these, the ones that vectors are sorted by
-BLOCK = 1024  # vectors
+BLOCK = 2048  # vectors; a block is sent to every block that it may be near to
 LEAF = 128  # vectors of an interval that is compared as a whole
 SLACK = 1e-9  # for rounding, where distances only rule pairs out
 
@@ -178,11 +178,14 @@ def _pair(table: pa.Table, cosine: float) -> pa.Table:
     if len(sides) == 1:
         np.fill_diagonal(near, False)
     found = []
-    linked = near.any(1)
-    found.append((ids[0][linked], (near @ copies[1])[linked], ids[0][rows[linked]]))
+    r, c = np.nonzero(near)
+    counts = np.bincount(r, copies[1][c], near.shape[0]).astype(np.int64)
+    linked = counts > 0
+    found.append((ids[0][linked], counts[linked], ids[0][rows[linked]]))
     if len(sides) == 2:
-        linked = near.any(0)
-        found.append((ids[1][linked], (near.T @ copies[0])[linked], ids[0][columns[linked]]))
+        counts = np.bincount(c, copies[0][r], near.shape[1]).astype(np.int64)
+        linked = counts > 0
+        found.append((ids[1][linked], counts[linked], ids[0][columns[linked]]))
     return pa.table(
         {name: pa.array(np.concatenate(v), pa.int64()) for name, v in zip(("id", "n", "root"), zip(*found, strict=True), strict=True)}
     )
