@@ -83,4 +83,4 @@ def test_messy_and_empty_tables(spark, folder, rows):
 
 def test_every_operator_has_its_query():
     names = [name for name in catalog.QUERIES if name.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
