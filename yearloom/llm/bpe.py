@@ -37,9 +37,9 @@ from tokenizers import Tokenizer
 
 from yearloom.llm.common import add_columns, pieces
 
-MEMO_WORDS = 150_000  # remembered words of one worker
-MEMO_BORDERS = 150_000  # remembered pairs of tokens
-MEMO_BEGINNINGS = 150_000  # remembered beginnings of words
+MEMO_WORDS = 140_000  # remembered words of one worker
+MEMO_BORDERS = 80_000  # remembered pairs of tokens
+MEMO_BEGINNINGS = 60_000  # remembered beginnings of words
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
 BUFFER = 64  # symbols read before stable tokens are emitted
 ID_BITS = 20  # of an id in a rule
@@ -70,20 +70,22 @@ class Vocabulary:
         self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
         names = {i: s for s, i in chain(self.ids.items(), self.specials.items())}
         self.names = [names.get(i) for i in range(max(names, default=-1) + 1)]
-        self.packed = {s: np.int32(i).tobytes() for i, s in names.items()}
         self.letters = _byte_letters()
-        # Pair of ids to rank and id of what it makes, and the ids of single bytes.
-        self.rules = {
-            self.ids[a] << ID_BITS | self.ids[b]: rank << ID_BITS | self.ids[a + b]
-            for (a, b), rank in self.ranks.items()
-        }
         self.inner = [self.ids[c] for c in self.letters]
         self.final = [self.ids[c + self.suffix] for c in self.letters]
-        self.by_id = [None if s is None else self.packed[s] for s in self.names]
+        self.by_id = [np.int32(i).tobytes() for i in range(len(self.names))]
         self.longest = max(map(self._length, self.ids))
         self.lookahead = sufficient_lookahead(merges, self._length)
         self._take_apart()
 
+    @functools.cached_property
+    def rules(self) -> dict[int, int]:
+        """Pair of ids to rank and id of what it makes."""
+        return {
+            self.ids[a] << ID_BITS | self.ids[b]: rank << ID_BITS | self.ids[a + b]
+            for (a, b), rank in self.ranks.items()
+        }
+
     def _take_apart(self) -> None:
         # What each token is made of, by which rule; the first rule counts.
         self.made = {a + b: (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
@@ -306,18 +308,23 @@ class Beginnings:
 
 
 class _Memo(dict):
-    """Packed ids of short words; forgets everything when full, so memory stays bounded."""
+    """Packed ids of short words.  Two halves: when one is full, the one before is forgotten."""
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
+        self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        content = word.encode()
-        found = b"".join(self.encoder.word_ids(content))
-        if len(content) <= MEMO_LENGTH:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = found
+        found = self.before.get(word)
+        if found is None:
+            content = word.encode()
+            found = b"".join(self.encoder.word_ids(content))
+            if len(content) > MEMO_LENGTH:
+                return found
+        if len(self) >= MEMO_WORDS // 2:
+            self.before = dict(self)
+            self.clear()
+        self[word] = found
         return found
 
 
@@ -411,7 +418,7 @@ class Encoder:
             plain = [block] if self.special is None else self.special.split(block)
             for k, piece in enumerate(plain):
                 if k % 2:
-                    yield self.vocabulary.packed[piece]
+                    yield self.vocabulary.by_id[self.vocabulary.specials[piece]]
                 elif piece:
                     yield b"".join(map(self.memo.__getitem__, self.words(piece)))
 
