@@ -7,7 +7,8 @@ runs twice sees the same rows in the same order.
 
 All grid points of linear families are cross-validated from sums gathered in one pass, see
 ``gram``.  For forests, missing values are imputed and the vector is assembled once per fold, and all
-grid points are fitted on that frame and scored in one pass.
+grid points are fitted on that frame and scored in one pass.  Of points that differ in depth only, the
+deepest is fitted and the others are cut from it, see ``shallow``.
 """
 
 from __future__ import annotations
@@ -23,11 +24,11 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import frames
-from yearloom.plans import bagging, gram
+from yearloom.plans import bagging, gram, shallow
 from yearloom.specs import Family, ModelSpec
 
 log = logging.getLogger(__name__)
@@ -235,13 +236,24 @@ def _fit_all(estimators: list[Estimator], frame: DataFrame, parallelism: int) ->
         return list(pool.map(fit, estimators))
 
 
-def _errors(models: list, frame: DataFrame, label: str) -> list[float | None]:
-    """Validation errors of several models, in one pass over the frame."""
+# Rows of the fits that run at the same time.  Each keeps its rows in memory, in a form of its own; one of
+# more rows than this fills a cluster alone.
+TOGETHER_ROWS = 2_000_000
+
+
+def _at_once(spec: ModelSpec, rows: int) -> int:
+    """How many fits on so many rows run at the same time."""
+    return max(1, min(spec.parallelism, TOGETHER_ROWS // max(1, rows)))
+
+
+def _errors(models: list, frame: DataFrame, label: str, cut: list[Column] = ()) -> list[float | None]:
+    """Validation errors of several models, then of other predictions, in one pass over the frame."""
     scored = frame
     for i, model in enumerate(models):
         scored = model.setPredictionCol(f"prediction_{i}").transform(scored)
+    scored = scored.withColumns({f"prediction_{i}": column for i, column in enumerate(cut, len(models))})
     row = scored.agg(
-        *[frames.rmse(label, f"prediction_{i}").alias(f"e{i}") for i in range(len(models))]
+        *[frames.rmse(label, f"prediction_{i}").alias(f"e{i}") for i in range(len(models) + len(cut))]
     ).first()
     return list(row)
 
@@ -270,11 +282,15 @@ def _row_forest(imputed: DataFrame, spec: ModelSpec, features: list[str], params
 
 
 def _fits_errors(
-    train: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], points: list[tuple[Family, dict]]
+    train: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], census: _Census, points: list[tuple[Family, dict]]
 ) -> list[list[float | None]]:
     out: list[list[float | None]] = [[] for _ in points]
     rowwise = [i for i, (f, _) in enumerate(points) if f.kind == "row_forest"]
     others = [i for i in range(len(points)) if i not in rowwise]
+    source = [shallow.sources(points)[i] if f.kind == "forest" else i for i, (f, _) in enumerate(points)]
+    fitted = [i for i in others if source[i] == i]
+    others = [*fitted, *(i for i in others if source[i] != i)]
+    columns = [c + frames.IMPUTED for c in features]
     for fold in folds:
         inside, outside = train.where(F.col(_FOLD) != fold), train.where(F.col(_FOLD) == fold)
         prepare = preparation(features).fit(inside)
@@ -286,10 +302,13 @@ def _fits_errors(
             continue
         # Each fit keeps a copy in a form of its own; vectors are made again from the kept frame.
         ready = prepare.transform(inside).select("features", spec.label)
-        estimators = [regressor(points[i][0], spec.label, spec.seed, points[i][1]) for i in others]
-        models = _fit_all(estimators, ready, spec.parallelism)
-        held_out = prepare.transform(outside).select("features", spec.label)
-        for i, error in zip(others, _errors(models, held_out, spec.label), strict=True):
+        estimators = [regressor(points[i][0], spec.label, spec.seed, points[i][1]) for i in fitted]
+        rows = sum(n for other, n in census.fold_rows.items() if other != fold)
+        models = _fit_all(estimators, ready, _at_once(spec, rows))
+        whole = dict(zip(fitted, models, strict=True))
+        cut = [shallow.prediction(whole[source[i]], points[i][1][shallow.DEPTH], columns) for i in others[len(fitted) :]]
+        held_out = prepare.transform(outside).select("features", *columns, spec.label)
+        for i, error in zip(others, _errors(models, held_out, spec.label, cut), strict=True):
             out[i].append(error)
     return out
 
@@ -307,7 +326,7 @@ def _cross_validate(
         for i, own in zip(quick, found, strict=True):
             errors[i] = own
     if folds and slow:
-        found = _fits_errors(train, spec, features, folds, [points[i] for i in slow])
+        found = _fits_errors(train, spec, features, folds, census, [points[i] for i in slow])
         for i, own in zip(slow, found, strict=True):
             errors[i] = own
     result = []
@@ -367,7 +386,7 @@ def _train(frame: DataFrame, marked: DataFrame, spec: ModelSpec) -> Training:
     best = [best_point([p for p in grid if p.family == f.name]) for f in spec.families]
     chosen = list(zip(spec.families, best, strict=True))
     estimators = [regressor(f, spec.label, spec.seed, b.params) for f, b in chosen if f.kind != "row_forest"]
-    fitted = iter(_fit_all(estimators, ready, spec.parallelism) if estimators else [])
+    fitted = iter(_fit_all(estimators, ready, _at_once(spec, census.rows[TRAIN])) if estimators else [])
     held_out = prepare.transform(frame.where(F.col(_SPLIT) == VALIDATION))
     wholes, settings = [], []
     for family, point in chosen:
