@@ -167,3 +167,15 @@ def test_query_equals_the_library(spark, folder, library):
 def test_empty_table(messy):
     result = bpe.decode(bpe.encode(messy.limit(0), PATH), PATH)
     assert result.count() == 0
+
+
+def test_only_beginnings_that_a_token_follows_are_remembered():
+    coder = bpe.Encoder(bpe.vocabulary(PATH), words=4)
+    v, r = coder.vocabulary, random.Random(8)
+    words = ["".join(r.choice(["the", "ing", "ou", "é", "x", "ver"]) for _ in range(6)) for _ in range(300)]
+    for word in words:
+        content = word.encode()
+        assert coder.short.ids(content) == [v.ids[t] for t in bpe.merged(v.symbols(content), v.ranks)]
+    assert len(coder.short.last) < len({w.encode()[:k] for w in words for k in range(1, len(w.encode()))}) / 2
+    list(coder.ids(" ".join(words)))
+    assert len(coder.memo) <= 2 and len(coder.memo.before) <= 2

@@ -23,9 +23,8 @@ import heapq
 import json
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +36,16 @@ from tokenizers import Tokenizer
 
 from yearloom.llm.common import add_columns, pieces
 
-MEMO_WORDS = 140_000  # remembered words of one worker
+MEMO_WORDS = 100_000  # remembered words of one worker, if not said otherwise
 MEMO_BORDERS = 80_000  # remembered pairs of tokens
 MEMO_BEGINNINGS = 60_000  # remembered beginnings of words
 MEMO_LENGTH = 48  # bytes of the longest word that is remembered
 BUFFER = 64  # symbols read before stable tokens are emitted
+ENDING = 3  # symbols that tell how long a token can be
+START_BITS = 8  # of where a token of a short word starts
 ID_BITS = 20  # of an id in a rule
 ID_MASK = (1 << ID_BITS) - 1
+START_MASK = (1 << START_BITS) - 1
 NO_RULE = 1 << 60
 BLOCK = 1 << 16  # ids decoded, or characters read, at a time
 
@@ -65,7 +67,10 @@ class Vocabulary:
         model = content["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.suffix: str = model.get("end_of_word_suffix") or ""
-        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.pre_tokenizer = content["pre_tokenizer"]
+        same = {t: t for t in self.ids}  # one object for all mentions of a token
+        pairs = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+        merges = [(same.get(a, a), same.get(b, b)) for a, b in pairs]
         self.ranks = {pair: rank for rank, pair in enumerate(merges)}
         self.specials = {t["content"]: t["id"] for t in content["added_tokens"]}
         names = {i: s for s, i in chain(self.ids.items(), self.specials.items())}
@@ -88,13 +93,23 @@ class Vocabulary:
 
     def _take_apart(self) -> None:
         # What each token is made of, by which rule; the first rule counts.
-        self.made = {a + b: (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
+        same = {t: t for t in self.ids}
+        self.made = {same.get(a + b, a + b): (rank, a, b) for (a, b), rank in reversed(self.ranks.items())}
         self.borders: dict[int, bool] = {}
         # Tokens that the rules do make of their own symbols, as all of a trained list.
         self.known = {t: i for t, i in self.ids.items() if len(t.removesuffix(self.suffix) or t) == 1}
         for t, (rank, a, b) in sorted(self.made.items(), key=lambda item: item[1][0]):
             if a in self.known and b in self.known and self._apart(a, b, rank):
                 self.known[t] = self.ids[t]
+        # Symbols of the longest token with an ending; others have fewer symbols than an ending.
+        self.reach: dict[str, int] = {}
+        for t in self.known:
+            end = t[-ENDING - len(self.suffix) * self.ends(t) :]
+            self.reach[end] = max(self.reach.get(end, 0), self._length(t))
+
+    def ends(self, token: str) -> bool:
+        """Whether a token stands at the end of words only."""
+        return self.suffix != "" and token.endswith(self.suffix)
 
     @functools.cached_property
     def beginnings(self) -> frozenset[str]:
@@ -268,50 +283,55 @@ class Transducer:
 
 
 class Beginnings:
-    """The same for short words, remembering the tokens of all beginnings as a tree of symbols.
+    """The same for short words, remembering the last token of beginnings and where it starts.
 
-    Words mostly begin like others, so few of their symbols are new.  Forgets everything when full.
+    Words mostly begin like others.  Of a word's beginnings only those are looked at that a token of the
+    vocabulary can follow.  Forgets everything when full.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.forget()
-
-    def forget(self) -> None:
-        self.after: dict[int, int] = {}  # beginning and next byte to longer beginning
-        self.token, self.start = array("i", [-1]), array("i", [0])
+        self.last: dict[str, int] = {}
+
+    def _last(self, read: str, tail: str = "") -> int:
+        """The one token that ends what was read and can follow what is before it, and where it starts."""
+        v, last = self.vocabulary, self.last
+        known, borders, n, whole = v.known.get, v.borders.get, len(read), read + tail
+        longest = v.reach.get(whole[-ENDING - len(tail) :], ENDING - 1)
+        for start in range(n - longest if n > longest else 0, n):
+            token = known(whole[start:])
+            if token is None:
+                continue
+            if not start:
+                return token << START_BITS
+            before = read[:start]
+            found = last.get(before)
+            if found is None:
+                found = last[before] = self._last(before)
+            left = found >> START_BITS
+            fits = borders(left << ID_BITS | token)
+            if fits or fits is None and v.follows(left, token):
+                return token << START_BITS | start
+        raise ValueError("a symbol is not in the vocabulary")
 
     def ids(self, word: bytes) -> list[int]:
-        v = self.vocabulary
-        if len(self.token) >= MEMO_BEGINNINGS:
-            self.forget()
-        after, token, start = self.after, self.token, self.start
+        v, last = self.vocabulary, self.last
+        if len(last) >= MEMO_BEGINNINGS:
+            last.clear()
         read = word.decode("latin-1").translate(v.letters)
-        at, places, left, n, longest = 0, [0], [-1], len(word), v.longest
-        for k in range(n - 1):
-            step = at << 8 | word[k]
-            longer = after.get(step)
-            if longer is None:
-                longer = after[step] = len(token)
-                found, begin = _last_token(v, read[: k + 1], left, max(start[at], k + 1 - longest))
-                token.append(found)
-                start.append(begin)
-            at = longer
-            places.append(at)
-            left.append(token[at])
-        last, place = _last_token(v, read, left, max(start[at], n - longest), v.suffix)
-        out = [last]
-        while place:
-            out.append(left[place])
-            place = start[places[place]]
+        found = self._last(read, v.suffix)
+        out = [found >> START_BITS]
+        while start := found & START_MASK:
+            found = last[read[:start]]
+            out.append(found >> START_BITS)
         return out[::-1]
 
 
 class _Memo(dict):
     """Packed ids of short words.  Two halves: when one is full, the one before is forgotten."""
 
-    def __init__(self, encoder: Encoder):
-        self.encoder = encoder
+    def __init__(self, encoder: Encoder, words: int):
+        self.encoder, self.words = encoder, words
         self.before: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
@@ -321,7 +341,7 @@ class _Memo(dict):
             found = b"".join(self.encoder.word_ids(content))
             if len(content) > MEMO_LENGTH:
                 return found
-        if len(self) >= MEMO_WORDS // 2:
+        if len(self) >= self.words // 2:
             self.before = dict(self)
             self.clear()
         self[word] = found
@@ -348,10 +368,14 @@ class Scripts:
     characters does not have yet.  The library itself tells which; they are other signs.
     """
 
-    def __init__(self, path: str):
-        every = "".join(map(chr, chain(range(0xD800), range(0xE000, 0x110000))))
-        recent = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
-        cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+    def __init__(self, pre_tokenizer: dict):
+        every = batched(map(chr, chain(range(0xD800), range(0xE000, 0x110000))), BLOCK)
+        signs = chain.from_iterable(regex.findall(r"[\p{L}\p{N}]", "".join(some)) for some in every)
+        recent = [c for c in signs if unicodedata.category(c) == "Cn"]
+        # Without the vocabulary, which words do not depend on.
+        model = {"type": "BPE", "vocab": {}, "merges": []}
+        library = Tokenizer.from_str(json.dumps({"added_tokens": [], "pre_tokenizer": pre_tokenizer, "model": model}))
+        cut = library.pre_tokenizer.pre_tokenize_str
         new = "".join(c for c in recent if len(cut(f"!{c}")) == 1)
         letter, digit = (rf"[\p{{{c}}}--[{new}]]" if new else rf"\p{{{c}}}" for c in "LN")
         other = rf"(?:[^\p{{White_Space}}\p{{L}}\p{{N}}]{f'|[{new}]' if new else ''})"
@@ -364,7 +388,7 @@ class Scripts:
 
 @functools.cache
 def scripts(path: str) -> Scripts:
-    return Scripts(path)
+    return Scripts(vocabulary(path).pre_tokenizer)
 
 
 class Encoder:
@@ -372,9 +396,9 @@ class Encoder:
 
     SPACE = regex.compile(r"[\t\n\r ]")
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, words: int = MEMO_WORDS):
         self.vocabulary = vocabulary
-        self.memo = _Memo(self)
+        self.memo = _Memo(self, words)
         self.short = Beginnings(vocabulary)
         special = "|".join(map(regex.escape, sorted(vocabulary.specials, key=len, reverse=True)))
         self.special = regex.compile(f"({special})") if special else None
@@ -448,13 +472,13 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    return Encoder(vocabulary(path))
+def encoder(path: str, words: int = MEMO_WORDS) -> Encoder:
+    return Encoder(vocabulary(path), words)
 
 
-def encode_array(texts: pa.Array, path: str) -> pa.Array:
+def encode_array(texts: pa.Array, path: str, words: int = MEMO_WORDS) -> pa.Array:
     """List of ids for each text."""
-    coder, rows = encoder(path), []
+    coder, rows = encoder(path, words), []
     for _, part in pieces(texts):
         rows += [b"".join(coder.ids(text.decode())) for text in part]
     ends = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
@@ -474,7 +498,7 @@ def decode_array(ids: pa.Array, path: str) -> pa.Array:
 
 
 def encode(
-    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+    df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None, words: int = MEMO_WORDS
 ) -> DataFrame:
     """Add the ids of each whole text as an array of integers.
 
@@ -482,12 +506,12 @@ def encode(
     that name takes what the ids decode to, in the same pass.  Null and empty texts give an
     empty array.  Every row is kept, repeated ones too; other columns are untouched, and
     columns of the names ``ids`` and ``decoded`` are replaced.  The text's special strings
-    give their ids.
+    give their ids.  A worker remembers the ids of as many ``words``, some 200 bytes each.
     """
     added = {ids: ArrayType(IntegerType())} | ({decoded: StringType()} if decoded else {})
 
     def call(texts: pa.Array) -> list[pa.Array]:
-        found = encode_array(texts, path)
+        found = encode_array(texts, path, words)
         return [found, decode_array(found, path)] if decoded else [found]
 
     return add_columns(df, text, added, call)
