@@ -48,7 +48,11 @@ def _nodes(tree: Model, depth: int) -> tuple[np.ndarray, ...]:
 
 def prediction(model: Model, depth: int, features: list[str]) -> Column:
     """What a forest on the numbers ``features`` would predict had it been grown to a smaller depth."""
-    trees = [_nodes(tree, depth) for tree in model.trees]
+    return walked([_nodes(tree, depth) for tree in model.trees], depth, features)
+
+
+def walked(trees: list[tuple[np.ndarray, ...]], depth: int, features: list[str]) -> Column:
+    """The mean of what trees say, each after so many steps from its first node; see ``_nodes``."""
 
     # Uses nothing of this package, which the executors then need not have.
     def call(*values: pa.Array) -> pa.Array:

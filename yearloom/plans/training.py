@@ -8,7 +8,8 @@ runs twice sees the same rows in the same order.
 All grid points of linear families are cross-validated from sums gathered in one pass, see
 ``gram``.  For forests, missing values are imputed and the vector is assembled once per fold, and all
 grid points are fitted on that frame and scored in one pass.  Of points that differ in depth only, the
-deepest is fitted and the others are cut from it, see ``shallow``.
+deepest is fitted and the others are cut from it, see ``shallow``.  Where many rows share few intervals of the
+features, the same forests are grown from merged rows, see ``merged``.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yearloom.operators import frames
-from yearloom.plans import bagging, gram, shallow
+from yearloom.plans import bagging, gram, merged, shallow
 from yearloom.specs import Family, ModelSpec
 
 log = logging.getLogger(__name__)
@@ -291,6 +292,7 @@ def _fits_errors(
     fitted = [i for i in others if source[i] == i]
     others = [*fitted, *(i for i in others if source[i] != i)]
     columns = [c + frames.IMPUTED for c in features]
+    forests = [i for i in others if points[i][0].kind == "forest"]
     for fold in folds:
         inside, outside = train.where(F.col(_FOLD) != fold), train.where(F.col(_FOLD) == fold)
         prepare = preparation(features).fit(inside)
@@ -302,17 +304,49 @@ def _fits_errors(
             continue
         # Each fit keeps a copy in a form of its own; vectors are made again from the kept frame.
         ready = prepare.transform(inside).select("features", spec.label)
-        estimators = [regressor(points[i][0], spec.label, spec.seed, points[i][1]) for i in fitted]
-        rows = sum(n for other, n in census.fold_rows.items() if other != fold)
-        models = _fit_all(estimators, ready, _at_once(spec, rows))
-        whole = dict(zip(fitted, models, strict=True))
-        cut = [shallow.prediction(whole[source[i]], points[i][1][shallow.DEPTH], columns) for i in others[len(fitted) :]]
         held_out = prepare.transform(outside).select("features", *columns, spec.label)
-        for i, error in zip(others, _errors(models, held_out, spec.label, cut), strict=True):
-            out[i].append(error)
+        estimators = {i: regressor(points[i][0], spec.label, spec.seed, points[i][1]) for i in fitted}
+        rows = sum(n for other, n in census.fold_rows.items() if other != fold)
+        found = _cells_errors(ready, held_out, estimators, {i: (source[i], points[i][1]) for i in forests}, rows, census, spec)
+        left = [i for i in others if i not in found]
+        fits = [i for i in left if source[i] == i]
+        models = _fit_all([estimators[i] for i in fits], ready, _at_once(spec, rows)) if fits else []
+        whole = dict(zip(fits, models, strict=True))
+        cut = [shallow.prediction(whole[source[i]], points[i][1][shallow.DEPTH], columns) for i in left[len(fits) :]]
+        if left:
+            found |= zip(left, _errors(models, held_out, spec.label, cut), strict=True)
+        for i in others:
+            out[i].append(found[i])
     return out
 
 
+def _cells_errors(
+    ready: DataFrame,
+    held_out: DataFrame,
+    estimators: dict[int, Estimator],
+    forests: dict[int, tuple[int, dict]],
+    rows: int,
+    census: _Census,
+    spec: ModelSpec,
+) -> dict[int, float | None]:
+    """Errors of forests, each with the one that it is cut from and its parameters, by ``merged``; none if that does not suit."""
+    grown = [i for i, (source, _) in forests.items() if source == i]
+    parameters = {name for _, params in forests.values() for name in params}
+    if not grown or not merged.suits([estimators[i] for i in grown], parameters, rows):
+        return {}
+    found = merged.grow(ready, [estimators[i] for i in grown], rows)
+    if found is None:
+        return {}
+    whole, cuts = dict(zip(grown, found[0], strict=True)), found[1]
+    origin = census.means.get(spec.label, 0.0)
+    cells = merged.cell_sums(held_out.select("features", spec.label), estimators[grown[0]], cuts, origin)
+    said = [
+        merged.prediction(whole[source], params.get(shallow.DEPTH, whole[source].depth), cuts)
+        for source, params in forests.values()
+    ]
+    return dict(zip(forests, merged.errors(cells, said, origin), strict=True))
+
+
 def _cross_validate(
     frame: DataFrame, spec: ModelSpec, features: list[str], folds: list[int], census: _Census
 ) -> list[GridPoint]:
